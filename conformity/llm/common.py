@@ -66,7 +66,7 @@ def drop_saved(*frames: DataFrame) -> None:
                 p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def numbered(df: DataFrame, group: list[str], order: list[Column], name: str, per_task: int = 50_000) -> DataFrame:
+def numbered(df: DataFrame, group: list[str], order: list[Column], name: str, per_task: int = 8192) -> DataFrame:
     """Add ``name``: gapless numbers from 0 within each ``group``, without one task per group.
 
     Rows are dealt to hash bins of about ``per_task`` rows, numbered there, and shifted by the sizes of
@@ -90,3 +90,13 @@ def numbered(df: DataFrame, group: list[str], order: list[Column], name: str, pe
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Inner join on ``keys``; the key columns are never null here, so plain equality keeps every row."""
     return left.join(right, keys)
+
+
+#: Keys are sent to every task up to this many rows (of about 40 bytes); beyond it both sides are shuffled.
+BROADCAST_ROWS = 500_000
+
+
+def small(keys: DataFrame, rows: int | None = None) -> DataFrame:
+    """``keys`` with a broadcast hint if counting shows that they are few enough."""
+    n = keys.count() if rows is None else rows
+    return F.broadcast(keys) if n <= BROADCAST_ROWS else keys

@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, quality, sharding, token_files, warc
+from . import decontaminate, html_text, packing, quality, sharding, token_files, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shard": sharding.op1_shard,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_warc_archive": warc.op4_warc_archive,
+    "op5_decontaminate": decontaminate.op5_decontaminate,
+    "op7_html_text": html_text.op7_html_text,
     "op8_token_files": token_files.op8_token_files,
+    "op9_toxicity": toxicity.op9_toxicity,
     "op10_quality_rules": quality.op10_quality_rules,
 }
 ORACLE_SQL: dict[str, str] = {"op4_warc_archive": warc.OP4_SQL}
