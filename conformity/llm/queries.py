@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_text, packing, quality, sharding, token_files, toxicity, warc
+from . import decontaminate, html_text, near_dup, packing, quality, sharding, token_files, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shard": sharding.op1_shard,
+    "op2_near_duplicates": near_dup.op2_near_duplicates,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_warc_archive": warc.op4_warc_archive,
     "op5_decontaminate": decontaminate.op5_decontaminate,
@@ -18,4 +19,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_quality_rules": quality.op10_quality_rules,
 }
-ORACLE_SQL: dict[str, str] = {"op4_warc_archive": warc.OP4_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_near_duplicates": near_dup.OP2_SQL, "op4_warc_archive": warc.OP4_SQL}
