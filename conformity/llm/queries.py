@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_text, near_dup, packing, quality, sharding, token_files, toxicity, warc
+from . import decontaminate, html_text, near_dup, packing, quality, sharding, suffix_dedup, token_files, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shard": sharding.op1_shard,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_warc_archive": warc.op4_warc_archive,
     "op5_decontaminate": decontaminate.op5_decontaminate,
+    "op6_suffix_dedup": suffix_dedup.op6_suffix_dedup,
     "op7_html_text": html_text.op7_html_text,
     "op8_token_files": token_files.op8_token_files,
     "op9_toxicity": toxicity.op9_toxicity,
