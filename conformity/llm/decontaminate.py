@@ -190,13 +190,17 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that no benchmark item contaminates."""
     spark = prepare(docs.sparkSession)
     for block in blocks_of(benchmark):
-        shared = spark.sparkContext.broadcast(block)
+        docs = docs.where(_clean(spark.sparkContext.broadcast(block))(F.col("text").cast("string")))
+    return docs
 
-        def clean(texts: pd.Series, shared=shared) -> pd.Series:
-            return pd.Series([not hits for hits in _index(shared).find(list(texts))], dtype=bool)
 
-        docs = docs.where(pandas_udf(clean, "boolean")(F.col("text").cast("string")))
-    return docs
+def _clean(shared):
+    """Whether a text has no hit in a broadcast block."""
+
+    def clean(texts: pd.Series) -> pd.Series:
+        return pd.Series([not hits for hits in _index(shared).find(list(texts))], dtype=bool)
+
+    return pandas_udf(clean, "boolean")
 
 
 def op5_decontaminate(spark, sf_dir: str) -> DataFrame:
