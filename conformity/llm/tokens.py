@@ -13,6 +13,8 @@ import re
 import struct
 from collections.abc import Iterable
 
+import numpy as np
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: The character classes of the byte-level splitter for code points below U+02B0.
@@ -24,7 +26,10 @@ PIECES = re.compile(
     rf"|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+"
 )
 OTHER = re.compile("[^\x00-ʯ]")
-KEPT_PIECES = 400_000
+#: Pieces with white space after their first character, or that start with other white space than a blank.
+INNER_SPACE = re.compile(rf"^.[{SPACES}]|^[\t-\r\u0085\xa0]|^ $", re.S)
+#: A worker keeps the pieces of the last one to two times so many new ones.
+KEPT_PIECES = 300_000
 _loaded: dict[str, PieceEncoder] = {}
 
 
@@ -37,19 +42,39 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        # between two pieces, a line break is a piece of its own with one id
+        self.line_break = self.tokenizer.encode("\n", add_special_tokens=False).ids
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in found]
 
+    def _learn(self, pieces: list[str]) -> None:
+        """Encode new pieces a few thousand to a text, one a line, and cut the ids at the line breaks."""
+        if len(self.line_break) != 1:
+            self.known.update(zip(pieces, self._whole(pieces), strict=True))
+            return
+        odd = [p for p in pieces if INNER_SPACE.search(p)]
+        self.known.update(zip(odd, self._whole(odd), strict=True))
+        plain = list(set(pieces).difference(odd))
+        for at in range(0, len(plain), 4096):
+            part = plain[at : at + 4096]
+            (found,) = self.tokenizer.encode_batch_fast(["\n".join(part)], add_special_tokens=False)
+            ids = np.array(found.ids, "<u4")
+            cuts = (np.flatnonzero(ids == self.line_break[0]) * 4).tolist()
+            held = ids.tobytes()
+            starts = [0, *[c + 4 for c in cuts]]
+            self.known.update(zip(part, [held[a:b] for a, b in zip(starts, [*cuts, len(held)], strict=True)], strict=True))
+
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """The ids of each text, without an end id."""
         split: list[list[str] | None] = []
         whole: list[str] = []
-        new: set[str] = set()
+        seen: set[str] = set()
         if len(self.known) > KEPT_PIECES:
-            self.known = {}
-        known = self.known
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
         for text in texts:
             if OTHER.search(text) or any(s in text for s in self.special):
                 split.append(None)
@@ -57,10 +82,12 @@ class PieceEncoder:
                 continue
             pieces = PIECES.findall(text)
             split.append(pieces)
-            new.update(p for p in pieces if p not in known)
+            seen.update(pieces)
+        new = seen - known.keys()
         if new:
-            missing = list(new)
-            known.update(zip(missing, self._whole(missing), strict=True))
+            again = new & older.keys()
+            known.update((p, older[p]) for p in again)
+            self._learn(list(new - again))
         rest = iter(self._whole(whole)) if whole else iter(())
         return [next(rest) if p is None else b"".join(map(known.__getitem__, p)) for p in split]
 
