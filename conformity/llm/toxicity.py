@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -32,9 +31,9 @@ from pyspark.sql.functions import pandas_udf
 
 from .common import prepare
 
-TRAIN_DOCS = 5000
+TRAIN_DOCS = 2500
 CHAIN = 64
-BITS = 18
+BITS = 20
 MIN_DOCS = 4
 #: A cue may occur in this share of the documents of the other class, relative to its share of toxic ones.
 MAX_LEAK = 0.05
@@ -160,50 +159,52 @@ def document_features(found: list[np.ndarray]) -> np.ndarray:
     return np.array(rows).reshape(-1, 3)
 
 
-def cue_features(texts: list[str], toxic: np.ndarray) -> set[str]:
-    """Names of words and leading parts that occur in toxic documents and hardly elsewhere."""
-    yes, no = Counter(), Counter()
-    memo: dict[str, list[str]] = {}
-    for text, y in zip(texts, toxic, strict=True):
-        seen: set[str] = set()
-        for token in set(text.split()):
-            if token not in memo:
-                memo[token] = [p for p in parts(token) if p[0] != "s"]
-            seen.update(memo[token])
-        (yes if y else no).update(seen)
+def cue_slots(documents: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
+    """Whether each feature slot marks toxic tokens: it occurs in enough toxic documents, in hardly any
+    other, and more one-sidedly than chance explains for any slot of such counts (invented rare words fall
+    into toxic documents by luck)."""
+    yes, no = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.int64)
+    for found, y in zip(documents, toxic, strict=True):
+        (yes if y else no)[found] += 1
     n1, n0 = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
     least = min(MIN_DOCS, max(2, n1 // 20))
-    return {p for p, n in yes.items() if n >= least and p != "w:" and no[p] / n0 <= MAX_LEAK * n / n1 - (0.5 / n0 if no[p] else 0)}
-
-
-def significant(cues: set[str], texts: list[str], toxic: np.ndarray) -> set[str]:
-    """Cues that chance does not explain: rare invented words fall in toxic documents by luck, so a cue
-    must be much more frequent than the share of toxic rows makes likely."""
-    yes, no = Counter(), Counter()
-    for text, y in zip(texts, toxic, strict=True):
-        seen = {p for token in set(text.split()) for p in parts(token) if p in cues}
-        (yes if y else no).update(seen)
-    share = float(toxic.mean())
-    # P(all n occurrences in toxic documents) if the word were neutral, over all words of such counts
-    return {p for p in cues if (yes[p] + no[p]) * np.log(max(share, 1e-9)) < np.log(1e-3 / max(len(cues), 1)) * (1 if no[p] == 0 else 1.5)}
+    clear = (yes >= least) & (no / n0 <= MAX_LEAK * yes / n1)
+    # P(all occurrences in toxic documents) of a neutral slot, over all slots that are clear by count
+    chance = (yes + no) * np.log(max(float(toxic.mean()), 1e-9))
+    return clear & (chance < np.log(1e-3 / max(1, int(clear.sum()))) * np.where(no > 0, 1.5, 1.0))
 
 
 def train(texts: list[str], toxic: np.ndarray, weight: np.ndarray | None = None, rounds: int = 80, rate: float = 0.5, l2: float = 1e-4) -> Tagger:
     """Fit the field on token labels from document labels, then the document regression."""
     toxic = np.asarray(toxic, bool)
     weight = np.ones(len(texts)) if weight is None else np.asarray(weight, float)
-    cues = significant(cue_features(texts, toxic), texts, toxic)
     vocabulary: dict[str, int] = {}
-    ids, lengths, marks = [], [], []
-    for text, y in zip(texts, toxic, strict=True):
-        tokens = text.split()
-        ids += [vocabulary.setdefault(t, len(vocabulary)) for t in tokens]
-        lengths.append(len(tokens))
-        marks += [bool(y)] * len(tokens)
-    words = list(vocabulary)
-    cue = np.array([any(p in cues for p in parts(w)) for w in words], bool)
-    ids, lengths = np.array(ids, np.int64), np.array(lengths, np.int64)
-    label = np.array(marks, bool) & cue[ids] if len(ids) else np.zeros(0, bool)
+    split = [np.fromiter((vocabulary.setdefault(t, len(vocabulary)) for t in text.split()), np.int32) for text in texts]
+    lengths = np.array([len(x) for x in split], np.int64)
+    ids = np.concatenate([*split, np.zeros(0, np.int32)]).astype(np.int64)
+    # slots of each word, in a row: those of word w are flat[bounds[w] : bounds[w + 1]]; endings are no cues
+    flat_list, counts, leading = [], [], []
+    for w in vocabulary:
+        x = slots(w)
+        flat_list += x
+        leading += [True] * (len(x) - 1) + [False]
+        counts.append(len(x))
+    flat, leading = np.array(flat_list, np.int64), np.array(leading, bool)
+    del flat_list
+    owner = np.repeat(np.arange(len(counts)), counts)
+    bounds = np.concatenate([[0], np.cumsum(np.array(counts, np.int64))])
+
+    def found(word_ids: np.ndarray) -> np.ndarray:
+        at = np.unique(word_ids)
+        rows = np.concatenate([np.arange(bounds[w], bounds[w + 1]) for w in at]) if len(at) else np.zeros(0, np.int64)
+        return np.unique(flat[rows][leading[rows]])
+
+    cues = cue_slots([found(x) for x in split], toxic)
+    cues[slots("")[0]] = False
+    cue = np.bincount(owner, (cues[flat] & leading).astype(float), len(counts)) > 0
+    marks = np.repeat(toxic, lengths)
+    del split
+    label = marks & cue[ids] if len(ids) else np.zeros(0, bool)
     table, place = chains(lengths, ids.astype(float), -1.0)
     table = table.astype(np.int64)
     truth = np.zeros(table.size, bool)
@@ -214,18 +215,15 @@ def train(texts: list[str], toxic: np.ndarray, weight: np.ndarray | None = None,
     table, truth = table[used], truth[used]
     real = table >= 0
     at = np.where(real, table, 0)
-    lists = [slots(w) for w in words]
-    flat = np.array([s for x in lists for s in x], np.int64)
-    owner = np.repeat(np.arange(len(words)), [len(x) for x in lists])
     weights, transition, bias = np.zeros(1 << BITS), np.zeros((2, 2)), -3.0
     g2, t2, b2 = np.full(1 << BITS, 1e-6), np.full((2, 2), 1e-6), 1e-6
     scale = 1.0 / max(1, int(truth.sum()))
     for _ in range(rounds):
-        emit = bias + np.bincount(owner, weights[flat], len(words))
+        emit = bias + np.bincount(owner, weights[flat], len(counts))
         emission = np.where(real, emit[at], -20.0)
         forward, backward, p = marginals(emission, transition)
         miss = np.where(real, truth - p, 0.0)
-        by_word = np.bincount(at.ravel(), miss.ravel(), len(words))
+        by_word = np.bincount(at.ravel(), miss.ravel(), len(counts))
         g = np.bincount(flat, by_word[owner], 1 << BITS) * scale - l2 * weights
         # expected transitions from pair marginals
         ahead = backward[:, 1:] + emission[:, 1:]
@@ -243,7 +241,7 @@ def train(texts: list[str], toxic: np.ndarray, weight: np.ndarray | None = None,
         transition += 0.2 * rate * gt / np.sqrt(t2)
         transition -= transition[0, 0]
         bias += rate * gb / np.sqrt(b2)
-    tagger = Tagger(weights, float(bias), transition, np.zeros(3))
+    tagger = Tagger(weights.astype(np.float32), float(bias), transition, np.zeros(3))
     x = np.concatenate([document_features(tagger.token_marginals(texts[a : a + 500])[0]) for a in range(0, len(texts), 500)])
     beta = np.zeros(3)
     for _ in range(50):  # Newton steps with a small ridge
@@ -273,13 +271,14 @@ def train_on(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> Tagg
     chosen = ways[0].unionByName(ways[1])  # 2 * most rows at most
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
     rows = texts.dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
-    toxic = np.array([r["toxic"] == 1 for r in rows], bool)
+    toxic, known_texts = np.array([r["toxic"] == 1 for r in rows], bool), [r["text"] or "" for r in rows]
     if not len(rows) or toxic.all() or not toxic.any():
         odds = -40.0 if not len(rows) or not toxic.any() else 40.0
         return Tagger(np.zeros(1 << BITS), -20.0, np.zeros((2, 2)), np.array([odds, 0.0, 0.0]))
     share = np.array([totals.get(0, 0) / max(1, int((~toxic).sum())), totals.get(1, 0) / max(1, int(toxic.sum()))])
     weight = np.minimum(share[toxic.astype(int)], 20.0)
-    return train([r["text"] or "" for r in rows], toxic, weight)
+    del rows
+    return train(known_texts, toxic, weight)
 
 
 def score_documents(docs: DataFrame, tagger: Tagger) -> DataFrame:
