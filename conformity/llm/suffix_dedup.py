@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import drop_saved, prepare, saved
+from .common import claim, drop_saved, prepare, saved
 
 LENGTH = 400
 GRAM = 100
@@ -50,7 +50,6 @@ HEAVY = 1500
 RANGE = 16
 #: Bytes whose windows are picked at once; positions inside need ``POSITION`` bits.
 CHUNK, POSITION = 1 << 20, 21
-SPANS_SENT = 200_000
 ANCHORS = "h long, rh binary, k1 long, k2 long, lo int, hi int"
 
 _table = np.random.default_rng(4711).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -139,6 +138,7 @@ def anchors(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("suffix", _powers.clear)
         keys, texts, bases, held = [], [], [], 0
         for batch in batches:
             for k1, k2, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -258,10 +258,8 @@ def _texts_of(wanted: DataFrame, docs: DataFrame, name: str) -> DataFrame:
     by_doc = wanted.groupBy(F.col("rep.k1").alias("k1"), F.col("rep.k2").alias("k2")).agg(
         F.collect_list(F.struct("h", "rh", "cnt", "classes", F.col("rep.lo").alias("lo"), F.col("rep.hi").alias("hi"))).alias("want")
     )
-    by_doc = saved(by_doc, f"{name}-docs")
-    n = by_doc.count()
     source = keyed(docs).where(F.octet_length("text") >= LENGTH)
-    met = source.join(F.broadcast(by_doc) if n <= SPANS_SENT // 4 else by_doc, ["k1", "k2"])
+    met = source.join(saved(by_doc, f"{name}-docs"), ["k1", "k2"])
     # repeated rows of a document bring the same bytes: one of them stays
     sliced = met.select(F.encode("text", "UTF-8").alias("text"), F.explode("want").alias("w")).select(
         "w.*", F.substring("text", F.col("w.lo") + 1, F.col("w.hi") - F.col("w.lo") + LENGTH).alias("bytes")
@@ -273,6 +271,7 @@ def _indexed(regions: DataFrame) -> DataFrame:
     """h, rh, first, last: runs of window starts (from the class's first) that other classes repeat."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("suffix", _powers.clear)
         rows: list[tuple[int, bytes, bytes]] = []
         held, last, seen = 0, None, set()
 
@@ -308,6 +307,7 @@ def _heavy(regions: DataFrame) -> DataFrame:
     """Like ``_indexed``, for hashes with any number of classes: ranges of windows, then single windows."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("suffix", _powers.clear)
         digest = xxhash.xxh3_128_digest
         for batch in batches:
             out: tuple[list, ...] = tuple([] for _ in range(6))
@@ -419,7 +419,7 @@ def _with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("k1"),
         F.xxhash64(text).alias("k2"),
     )
-    return row.join(F.broadcast(spans) if spans.count() <= SPANS_SENT else spans, ["k1", "k2"], "left")
+    return row.join(spans, ["k1", "k2"], "left")
 
 
 def dedup_report(docs: DataFrame) -> DataFrame:
