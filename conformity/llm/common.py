@@ -6,11 +6,18 @@ Only folders that every executor sees are used: ``spark.checkpoint.dir`` as the
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import ctypes
+import gc
 import os
+import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -38,7 +45,9 @@ def shared_dir(spark: SparkSession) -> str:
         if held.isDefined():
             base = held.get()
         else:
-            base = "file://" + tempfile.mkdtemp(prefix="conformity-")
+            own = tempfile.mkdtemp(prefix="conformity-")
+            atexit.register(shutil.rmtree, own, ignore_errors=True)
+            base = f"file://{own}"
             spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
 
@@ -100,3 +109,22 @@ def small(keys: DataFrame, rows: int | None = None) -> DataFrame:
     """``keys`` with a broadcast hint if counting shows that they are few enough."""
     n = keys.count() if rows is None else rows
     return F.broadcast(keys) if n <= BROADCAST_ROWS else keys
+
+
+_holder: dict[str, object] = {"name": None, "clear": None}
+
+
+def claim(name: str, clear: Callable[[], object] | None = None) -> None:
+    """Say that operator ``name`` works in this Python worker, at the start of a task.
+
+    Workers outlive stages. What another operator kept in this one (hashes of words, a vocabulary) is
+    let go, so that a pipeline needs the memory of its largest stage, not of all of them.
+    """
+    if _holder["name"] != name:
+        if _holder["clear"]:
+            _holder["clear"]()
+            gc.collect()
+        _holder["name"], _holder["clear"] = name, clear
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # returns freed memory to the system where libc can
+            ctypes.CDLL(None).malloc_trim(0)

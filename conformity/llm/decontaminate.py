@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import prepare
+from .common import claim, prepare
 
 SPAN = 11
 #: Positions that count, by mask.
@@ -35,7 +35,7 @@ MASKS = ((0, 1, 3, 4, 7, 9, 10), (0, 2, 3, 5, 6, 8, 10), (0, 1, 2, 5, 8, 9, 10))
 WINDOW, SHARE = 16, 0.75
 MIN_WORDS = 6
 BLOCK_WORDS = 1_000_000
-KEPT_WORDS = 400_000
+KEPT_WORDS = 150_000
 WORD = re.compile(r"\w+")
 MULTIPLIERS = np.array([xxhash.xxh3_64_intdigest(str(i)) | 1 for i in range(SPAN)], np.uint64)
 HITS = "doc_id long, item_id long, start_word int, end_word int, item_start int, n_equal int"
@@ -142,8 +142,14 @@ def aligned(doc: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, in
 _indexes: dict[int, tuple[object, SeedIndex]] = {}
 
 
+def _release() -> None:
+    _hashes.clear()
+    _indexes.clear()
+
+
 def _index(shared) -> SeedIndex:
     """This worker's index of a broadcast block (built once, kept for the last block)."""
+    claim("decontaminate", _release)
     items = shared.value
     held = _indexes.get(0)
     if held is None or held[0] is not items:

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, saved
+from .common import claim, prepare, saved
 
 MIN_PAGES = 5
 IMPORTANCE = 0.3
@@ -293,6 +293,7 @@ def extract_main_text(pages: DataFrame, threshold: float = IMPORTANCE, min_pages
         joined = dealt.join(salted, ["host", "salt"], "left")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("html", _seen.clear)
         sets: dict[tuple, frozenset] = {}
         for batch in batches:
             htmls, lows = batch.column(2).to_pylist(), batch.column(3).to_pylist()

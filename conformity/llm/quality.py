@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import prepare, saved
+from .common import claim, prepare, saved
 
 WINDOW = 5
 MIN_WORDS = 10
@@ -84,6 +84,7 @@ def text_metrics(text: str | None) -> tuple[int, ...]:
 
 
 def _measure(texts: pd.Series) -> pd.DataFrame:
+    claim("quality")
     return pd.DataFrame([text_metrics(t) for t in texts], columns=[c.split()[0] for c in METRICS.split(", ")], dtype="int64")
 
 

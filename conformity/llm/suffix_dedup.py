@@ -45,8 +45,8 @@ from .common import claim, drop_saved, prepare, saved
 LENGTH = 400
 GRAM = 100
 #: Bytes of text that one index covers at most (apart from a single hash's classes).
-INDEX_BYTES = 1 << 20
-HEAVY = 1500
+INDEX_BYTES = 1 << 19
+HEAVY = 1000
 RANGE = 16
 #: Bytes whose windows are picked at once; positions inside need ``POSITION`` bits.
 CHUNK, POSITION = 1 << 20, 21
@@ -167,15 +167,15 @@ def suffix_order(symbols: np.ndarray) -> tuple[np.ndarray, list[tuple[int, np.nd
     while True:
         order = np.argsort(key)
         ordered = key[order]
-        steps = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
-        rank = np.empty(n, np.int64)
+        steps = np.zeros(n, np.int32)
+        np.cumsum(ordered[1:] != ordered[:-1], out=steps[1:])
+        rank = np.empty(n, np.int32)
         rank[order] = steps
         ranks.append((size, rank))
         if steps[-1] == n - 1:
             return order, ranks
-        ahead = np.zeros(n, np.int64)
-        ahead[: max(0, n - size)] = rank[size:] + 1
-        key = rank * (n + 1) + ahead
+        key = rank * np.int64(n + 1)
+        key[: max(0, n - size)] += rank[size:] + 1
         size *= 2
 
 

@@ -15,6 +15,8 @@ from collections.abc import Iterable
 
 import numpy as np
 
+from .common import claim
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: The character classes of the byte-level splitter for code points below U+02B0.
@@ -94,6 +96,7 @@ class PieceEncoder:
 
 def encoder(path: str) -> PieceEncoder:
     """This worker's encoder for a vocabulary file."""
+    claim("tokens", _loaded.clear)
     if path not in _loaded:
         _loaded[path] = PieceEncoder(path)
     return _loaded[path]

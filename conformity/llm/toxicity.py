@@ -29,9 +29,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import prepare
+from .common import claim, prepare
 
-TRAIN_DOCS = 2500
+TRAIN_DOCS = 2000
 CHAIN = 64
 BITS = 20
 MIN_DOCS = 4
@@ -199,7 +199,14 @@ def train(texts: list[str], toxic: np.ndarray, weight: np.ndarray | None = None,
         rows = np.concatenate([np.arange(bounds[w], bounds[w + 1]) for w in at]) if len(at) else np.zeros(0, np.int64)
         return np.unique(flat[rows][leading[rows]])
 
-    cues = cue_slots([found(x) for x in split], toxic)
+    # copies of a toxic document repeat all its rare words: a toxic occurrence counts once per context
+    size = len(counts) + 1
+    context = (np.concatenate([[0], ids[:-1] + 1]) * size + ids + 1) * size + np.concatenate([ids[1:] + 1, [0]]) if len(ids) else ids
+    fresh = np.zeros(len(ids), bool)
+    fresh[np.unique(context, return_index=True)[1]] = True
+    ends = np.cumsum(lengths)
+    cues = cue_slots([found(x[fresh[b - len(x) : b]] if y else x) for x, b, y in zip(split, ends.tolist(), toxic, strict=True)], toxic)
+    del context, fresh
     cues[slots("")[0]] = False
     cue = np.bincount(owner, (cues[flat] & leading).astype(float), len(counts)) > 0
     marks = np.repeat(toxic, lengths)
@@ -210,8 +217,8 @@ def train(texts: list[str], toxic: np.ndarray, weight: np.ndarray | None = None,
     truth = np.zeros(table.size, bool)
     truth[place] = label
     truth = truth.reshape(table.shape)
-    # all chains with a toxic token, and every third of the others
-    used = truth.any(1) | (np.arange(len(table)) % 3 == 0)
+    # all chains with a toxic token, and every fourth of the others
+    used = truth.any(1) | (np.arange(len(table)) % 4 == 0)
     table, truth = table[used], truth[used]
     real = table >= 0
     at = np.where(real, table, 0)
@@ -287,6 +294,7 @@ def score_documents(docs: DataFrame, tagger: Tagger) -> DataFrame:
     shared = spark.sparkContext.broadcast(tagger)
 
     def scored(texts: pd.Series) -> pd.Series:
+        claim("toxicity")
         return pd.Series(shared.value.scores(["" if t is None else t for t in texts]))
 
     score = pandas_udf(scored, "double")(F.col("text").cast("string"))
