@@ -11,8 +11,10 @@ group, and one round is a few joins on it:
    on the border is split;
 3. moved cells join those already there.
 
-A round never raises the number of cut edges, and rounds stop when none moves. Unlinked documents then
-fill what each shard has left. The law is ``rows``: shard sizes differ by one document at most.
+A round never raises the number of cut edges, and rounds stop when none moves. While rounds run, a shard may
+hold up to ``SLACK`` times its share of documents, so that full shards can still exchange; then what exceeds
+a share goes to shards with room, whole keys first as far as they fit. Unlinked documents fill what each
+shard has left. The law is ``rows``: shard sizes differ by one document at most.
 
 A null text counts as no text: 8 bytes, unlinked; its checksum is that of the empty text. Empty texts are
 equal texts. Repeated rows are placed each. Null doc_ids are placed like others. An empty table gives no
@@ -28,6 +30,7 @@ from .common import drop_saved, numbered, prepare, saved
 
 SHARDS = 24
 ROUNDS = 6
+SLACK = 2
 #: Bins that a shard's wanted moves are summed in before single moves are ordered: 32 by gain, 16 by hash.
 GAIN_BINS, HASH_BINS = 32, 16
 
@@ -75,19 +78,20 @@ def _round(cells: DataFrame, free: list[int]) -> DataFrame:
     )
 
 
-def propagate(cells: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> tuple[DataFrame, list[int]]:
-    """Cells after at most ``rounds`` rounds, and the linked documents per shard."""
+def loads(cells: DataFrame, shards: int) -> tuple[list[int], int]:
+    """Documents per shard, and the number of cells."""
+    found = {r["shard"]: r for r in cells.groupBy("shard").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("cells")).collect()}
+    return [found[s]["n"] if s in found else 0 for s in range(shards)], sum(r["cells"] for r in found.values())
 
-    def loads(table: DataFrame) -> tuple[list[int], int]:
-        found = {r["shard"]: r for r in table.groupBy("shard").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("cells")).collect()}
-        return [found[s]["n"] if s in found else 0 for s in range(len(quotas))], sum(r["cells"] for r in found.values())
 
-    load, count = loads(cells)
+def propagate(cells: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> tuple[DataFrame, list[int]]:
+    """Cells after at most ``rounds`` rounds under the quotas, and the linked documents per shard."""
+    load, count = loads(cells, len(quotas))
     for _ in range(rounds):
-        after = saved(_round(cells, [q - x for q, x in zip(quotas, load, strict=True)]), "shard-cells")
+        after = saved(_round(cells, [max(0, q - x) for q, x in zip(quotas, load, strict=True)]), "shard-cells")
         drop_saved(cells)
         cells = after
-        before, (load, count) = (load, count), loads(cells)
+        before, (load, count) = (load, count), loads(cells, len(quotas))
         if (load, count) == before:
             break
     return cells, load
@@ -106,8 +110,9 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
     # the start: each key's documents dealt round, so that all shards are even and no text is ahead
     start = F.pmod(F.xxhash64("key") + F.col("__rank"), F.lit(shards)).cast("int")
     cells = members.groupBy("key", start.alias("shard")).agg(F.count(F.lit(1)).alias("n"))
+    cells, _ = propagate(saved(cells, "shard-cells"), [SLACK * q for q in quotas], rounds)
     cells = saved(_fit(cells, quotas), "shard-cells")
-    cells, load = propagate(cells, quotas, rounds)
+    load, _ = loads(cells, shards)
     # ranks of a key go to its cells in order of size, then shard
     ahead = Window.partitionBy("key").orderBy(F.desc("n"), "shard").rowsBetween(Window.unboundedPreceding, -1)
     spans = cells.withColumn("lo", F.coalesce(F.sum("n").over(ahead), F.lit(0)))
@@ -128,9 +133,9 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
 
 
 def _fit(cells: DataFrame, quotas: list[int]) -> DataFrame:
-    """Cells within the quotas: rows over a shard's quota (hash imbalance when nearly all documents are
-    linked) go to shards with room, in the order of key."""
-    load = {r["shard"]: r["n"] for r in cells.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
+    """Cells within the quotas: rows over a shard's quota go to shards with room, in the order of key, so
+    that only keys at the borders of ranges are cut."""
+    load = dict(enumerate(loads(cells, len(quotas))[0]))
     over = [max(0, load.get(s, 0) - q) for s, q in enumerate(quotas)]
     if not any(over):
         return cells
