@@ -12,9 +12,11 @@ a class is linked with another if the sets' Jaccard similarity is at least 80 %.
    with every other member: as many pairs as members, never all pairs.
 3. Sizes that exclude the similarity and sketches that differ by over five standard deviations remove
    pairs; the rest are verified on the full sets of the whole texts.
-4. Verified links give components. A bucket whose members all are in one component is done. Of the others,
-   members of different components (the pivot aside: its pairs are decided) are paired in blocks, and
-   pairs that sketches do not exclude are verified; then components are computed again.
+4. Verified links give components. A bucket whose members all are in one component is done. For the
+   members of the others (the pivots aside: their pairs are decided), shingles that few of them have are
+   found: what is not rare, and what of the rare two members share, bounds their similarity from above,
+   exactly. Members of different components that neither this bound nor the sketches exclude are paired in
+   blocks and verified; then components are computed again.
 
 No step groups a bucket, class or component in one task or on the driver, and no member is left out.
 
@@ -35,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_saved, prepare, saved, small
+from .common import claim, drop_saved, prepare, saved, small
 
 PERCENT = 80
 BANDS, ROWS = 32, 4
@@ -43,8 +45,9 @@ SAMPLES = BANDS * ROWS
 SKETCH_BITS = 512
 #: Similarity below which a sketch excludes a pair: over five standard deviations under 0.8.
 SKETCH_FLOOR = 0.55
-KEPT_WORDS = 400_000
+KEPT_WORDS = 150_000
 BLOCK = 2000
+RARE = 64
 
 _random = np.random.default_rng(20240229)
 MULTIPLY = (_random.integers(0, 1 << 31, SAMPLES, dtype=np.uint64) * 2 + 1).astype(np.uint32)
@@ -111,6 +114,7 @@ def signatures(docs: DataFrame) -> DataFrame:
     prepare(docs.sparkSession)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("near-dup", _words.clear)
         for batch in batches:
             sizes, digests, bands, sketches = [], [], [], []
             for text in batch.column(1).to_pylist():
@@ -145,17 +149,54 @@ def similar_enough(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * shared >= PERCENT * (len(a) + len(b) - shared)
 
 
+def _bounded(a: str, b: str) -> F.Column:
+    """What is not rare, and the rare shingles that both have, allow the similarity."""
+    most = F.least(F.col(f"{a}.common"), F.col(f"{b}.common")) + F.size(F.array_intersect(f"{a}.rare", f"{b}.rare"))
+    return most * 100 >= (F.col(f"{a}.n") + F.col(f"{b}.n") - most) * PERCENT
+
+
+def texts_of(keys: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
+    """key and text of classes; a doc_id on several rows brings texts of other classes too."""
+    wanted = saved(reps.select("key", "doc").join(keys, "key"), "near-wanted")
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text"))
+    return saved(narrow.join(small(wanted), "doc").select("key", "text"), "near-texts")
+
+
+def rare_shingles(keys: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
+    """key, own (its shingles that no other of ``keys`` has) and rare (those that up to ``RARE`` have)."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("near-dup", _words.clear)
+        for batch in batches:
+            owners, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for key, owner, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                s = shingles(text)
+                if xxhash.xxh3_128_digest(s.tobytes()) == key:
+                    owners.append(np.full(len(s), owner)), found.append(s.view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(owners)), pa.array(np.concatenate(found))], names=["owner", "shingle"])
+
+    # a row that repeats a class's text makes its shingles look less rare, which only excludes less
+    rows = texts_of(keys, reps, docs).select("key", F.xxhash64("key").alias("owner"), "text").mapInArrow(spread, "owner long, shingle long")
+    rows = saved(rows, "near-shingles")
+    few = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("held")).where(F.col("held") <= RARE)
+    found = rows.join(few, "shingle").groupBy("owner").agg(
+        F.count_if(F.col("held") == 1).alias("own"), F.collect_set(F.when(F.col("held") > 1, F.col("shingle"))).alias("rare")
+    )
+    found = saved(found, "near-rare")
+    drop_saved(rows)
+    return keys.join(found, F.xxhash64(keys["key"]) == found["owner"]).select("key", "own", "rare")
+
+
 def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b: digests) whose full sets are similar enough."""
     wanted = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-    wanted = saved(reps.select("key", "doc").join(wanted, "key"), "near-wanted")
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text"))
-    texts = saved(narrow.join(small(wanted), "doc"), "near-texts")
+    texts = texts_of(wanted, reps, docs)
     joined = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a").join(
         texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b"
     )
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("near-dup", _words.clear)
         last: tuple[bytes | None, str | None, np.ndarray | None] = (None, None, None)
         for batch in batches:
             ok = []
@@ -169,7 +210,7 @@ def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     found = saved(joined.select("a", "b", "text_a", "text_b").mapInArrow(verify, "a binary, b binary"), "near-links")
-    drop_saved(texts, wanted)
+    drop_saved(texts)
     return found
 
 
@@ -179,20 +220,19 @@ def components(links: DataFrame, reps: DataFrame) -> DataFrame:
     Rounds of "take the least label among the neighbours, then that label's own label", each written to the
     shared folder, until no label changes: logarithmic in the longest path.
     """
-    both = links.select(F.col("a").alias("key"), F.col("b").alias("other")).unionByName(links.select(F.col("b").alias("key"), F.col("a").alias("other"))).distinct()
+    ends = lambda x, y: F.struct(F.col(x).alias("key"), F.col(y).alias("other"))
+    both = links.select(F.explode(F.array(ends("a", "b"), ends("b", "a"), ends("a", "a"), ends("b", "b"))).alias("e")).select("e.*").distinct()
     both = saved(both, "near-edges")
-    own = F.struct(F.col("doc"), F.col("key"))
-    labels = saved(both.select("key").distinct().join(reps.select("key", "doc"), "key").select("key", own.alias("comp")), "near-labels")
+    labels = reps.select("key", F.struct("doc", "key").alias("comp"))
     while True:
-        near = both.join(labels.withColumnRenamed("key", "other"), "other").groupBy("key").agg(F.min("comp").alias("near"))
-        least = labels.join(near, "key").select("key", "comp", F.least("comp", "near").alias("least"))
+        # every class is its own neighbour too, which brings its label along
+        met = both.join(labels.withColumnRenamed("key", "other"), "other")
+        least = met.groupBy("key").agg(F.min("comp").alias("least"), F.min(F.when(F.col("key") == F.col("other"), F.col("comp"))).alias("was"))
         roots = least.select(F.col("key").alias("root"), F.col("least").alias("root_comp"))
-        jumped = least.join(roots, F.col("least.key") == F.col("root")).select("key", F.col("comp").alias("was"), F.least("least", "root_comp").alias("comp"))
+        jumped = least.join(roots, F.col("least.key") == F.col("root")).select("key", "was", F.least("least", "root_comp").alias("comp"))
         after = saved(jumped, "near-labels")
-        changed = after.where("was <> comp").limit(1).count()
-        drop_saved(labels)
         labels = after.select("key", "comp")
-        if not changed:
+        if not after.where("was <> comp").limit(1).count():
             drop_saved(both)
             return labels
 
@@ -207,7 +247,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .select(F.col("digest").alias("key"), F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "sketch", "bands")
     )
     reps = saved(reps, "near-classes")
-    exploded = reps.select("key", F.explode("bands").alias("bucket"))
+    exploded = reps.select("key", F.posexplode("bands").alias("band", "bucket"))
     buckets = exploded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = saved(exploded.join(buckets, "bucket"), "near-members")
     weights = members.groupBy("key").agg(F.sum("size").alias("weight"))
@@ -221,17 +261,28 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     comps = components(links, reps)
     # buckets that hold more than one component: all but the pivot, whose pairs are decided
     own = F.struct(F.col("doc"), F.col("key"))
-    labelled = members.join(pivots, "bucket").where("key <> pivot").join(reps.select("key", "doc", "n", "sketch"), "key").join(comps, "key", "left")
-    labelled = labelled.select("bucket", "key", F.coalesce("comp", own).alias("comp"), F.struct("n", "sketch").alias("s"))
+    labelled = members.join(pivots, "bucket").where("key <> pivot").join(reps.select("key", "doc", "n", "sketch", "bands"), "key").join(comps, "key", "left")
+    labelled = labelled.select("bucket", "band", "key", F.coalesce("comp", own).alias("comp"), F.struct("n", "sketch", F.slice("bands", 1, F.col("band")).alias("before")).alias("s"))
     mixed = labelled.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("left")).where("lo <> hi")
     mixed = mixed.select("bucket", F.ceil(F.col("left") / BLOCK).cast("int").alias("blocks"))
     open_ = saved(labelled.join(mixed, "bucket"), "near-open")
+    # a member whose own shingles leave too little needs no partner at all
+    scarce = rare_shingles(open_.select("key").distinct(), reps, docs)
+    open_ = open_.join(scarce, "key", "left").withColumn("own", F.coalesce("own", F.lit(0))).where(f"(s.n - own) * 100 >= s.n * {PERCENT}")
+    none = F.array().cast("array<long>")
+    # classes whose shingles are rare for the most part are bounded by their own ones alone
+    rare = F.when(F.size("rare") * 2 <= F.col("s.n"), F.col("rare")).otherwise(none)
+    open_ = open_.withColumn("rare", F.coalesce(rare, none))
+    open_ = open_.withColumn("s", F.struct("s.n", "s.sketch", "s.before", (F.col("s.n") - F.col("own") - F.size("rare")).alias("common"), "rare"))
+    open_ = saved(open_.drop("own", "rare"), "near-open")
     left = open_.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")).drop("blocks")
     right = open_.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
     l, r = left.alias("l"), right.alias("r")
+    # a pair that meets in several buckets counts in the first: if a member is a pivot there, it is decided
+    first_met = ~F.exists(F.zip_with("l.s.before", "r.s.before", lambda x, y: x == y), lambda same: same)
     met = l.join(
         r,
-        (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.block") == F.col("r.block")) & (F.col("l.comp") < F.col("r.comp")) & _plausible("l.s", "r.s"),
+        (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.block") == F.col("r.block")) & (F.col("l.comp") < F.col("r.comp")) & _plausible("l.s", "r.s") & first_met & _bounded("l.s", "r.s"),
     ).select(F.col("l.key").alias("a"), F.col("r.key").alias("b"))
     tried = first.unionByName(first.select(F.col("b").alias("a"), F.col("a").alias("b")))
     more = saved(met.distinct().join(tried, ["a", "b"], "left_anti"), "near-candidates")
