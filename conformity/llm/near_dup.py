@@ -150,8 +150,13 @@ def similar_enough(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def _bounded(a: str, b: str) -> F.Column:
-    """What is not rare, and the rare shingles that both have, allow the similarity."""
-    most = F.least(F.col(f"{a}.common"), F.col(f"{b}.common")) + F.size(F.array_intersect(f"{a}.rare", f"{b}.rare"))
+    """What is not rare, and the rare shingles that both have, allow the similarity.
+
+    Without the lists of both, the fewer rare shingles of the two bound those that they share.
+    """
+    listed = F.col(f"{a}.rare").isNotNull() & F.col(f"{b}.rare").isNotNull()
+    shared = F.when(listed, F.size(F.array_intersect(f"{a}.rare", f"{b}.rare"))).otherwise(F.least(f"{a}.n_rare", f"{b}.n_rare"))
+    most = F.least(F.col(f"{a}.common"), F.col(f"{b}.common")) + shared
     return most * 100 >= (F.col(f"{a}.n") + F.col(f"{b}.n") - most) * PERCENT
 
 
@@ -187,6 +192,15 @@ def rare_shingles(keys: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFram
     return keys.join(found, F.xxhash64(keys["key"]) == found["owner"]).select("key", "own", "rare")
 
 
+def bounded_side() -> list[F.Column]:
+    """common, n_rare and rare (null if the list is long) of a class's n, own and rare shingles."""
+    n_rare = F.coalesce(F.when(F.col("rare").isNotNull(), F.size("rare")), F.lit(0))
+    none = F.array().cast("array<long>")
+    # classes whose shingles are rare for the most part go without the list
+    listed = F.when(n_rare * 2 <= F.col("n"), F.coalesce("rare", none))
+    return [(F.col("n") - F.coalesce("own", F.lit(0)) - n_rare).alias("common"), n_rare.alias("n_rare"), listed.alias("rare")]
+
+
 def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b: digests) whose full sets are similar enough."""
     wanted = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
@@ -269,12 +283,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # a member whose own shingles leave too little needs no partner at all
     scarce = rare_shingles(open_.select("key").distinct(), reps, docs)
     open_ = open_.join(scarce, "key", "left").withColumn("own", F.coalesce("own", F.lit(0))).where(f"(s.n - own) * 100 >= s.n * {PERCENT}")
-    none = F.array().cast("array<long>")
-    # classes whose shingles are rare for the most part are bounded by their own ones alone
-    rare = F.when(F.size("rare") * 2 <= F.col("s.n"), F.col("rare")).otherwise(none)
-    open_ = open_.withColumn("rare", F.coalesce(rare, none))
-    open_ = open_.withColumn("s", F.struct("s.n", "s.sketch", "s.before", (F.col("s.n") - F.col("own") - F.size("rare")).alias("common"), "rare"))
-    open_ = saved(open_.drop("own", "rare"), "near-open")
+    open_ = open_.withColumn("n", F.col("s.n")).withColumn("s", F.struct("s.n", "s.sketch", "s.before", *bounded_side()))
+    open_ = saved(open_.drop("n", "own", "rare"), "near-open")
     left = open_.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")).drop("blocks")
     right = open_.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
     l, r = left.alias("l"), right.alias("r")

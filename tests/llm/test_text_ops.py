@@ -66,6 +66,29 @@ def test_components_match_brute_force(spark, seed, clash):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in out)
 
 
+def test_rare_shingles_bound_similarity_from_above(spark):
+    rng = random.Random(11)
+    template = words(rng, 61, 10**6).split()
+    texts = [" ".join(template + words(rng, rng.randrange(5, 20), 10**6).split()) for _ in range(near_dup.RARE + 6)]
+    # rare shares just under and over one half, in pairs that differ by few of the frequent or of the rare shingles
+    for rare in (56, 59, 60, 61, 64):
+        tail = words(rng, rare, 10**6).split()
+        texts += [" ".join(template[cut:] + tail[: rare - less]) for cut in (0, 1, 2, 5) for less in (0, 1, 3)]
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate(texts)]
+    sets = [set(zip(t.split(), t.split()[1:], strict=False)) for t in texts]
+    docs = docs_frame(spark, rows)
+    reps = near_dup.signatures(docs).select(F.col("digest").alias("key"), F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n")).localCheckpoint()
+    found = near_dup.rare_shingles(reps.select("key"), reps, docs)
+    sides = reps.join(found, "key", "left").select("doc", "n", F.struct("n", *near_dup.bounded_side()).alias("s")).localCheckpoint()
+    lists = {r["n"] for r in sides.where("s.rare IS NULL").collect()}, {r["n"] for r in sides.where("size(s.rare) > 0").collect()}
+    assert lists[0] and lists[1]
+    near = sides.alias("l").join(sides.alias("r"), F.col("l.doc") < F.col("r.doc")).where(near_dup._bounded("l.s", "r.s"))
+    held = {(r[0], r[1]) for r in near.select("l.doc", "r.doc").collect()}
+    alike = {(a, b) for b in range(len(sets)) for a in range(b) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert len(alike) > 200 and alike <= held
+    assert len(held) < len(sets) * (len(sets) - 1) / 2
+
+
 def test_no_documents_no_components(spark):
     assert near_dup.near_duplicates(docs_frame(spark, [])).count() == 0
     rows = [(2, "a b c", "en", "s", 1), (1, "A b c", "en", "s", 1), (3, None, "en", "s", 1), (None, "x", None, None, None)]
