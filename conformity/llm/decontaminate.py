@@ -1,16 +1,16 @@
 """Benchmark decontamination with spaced seeds.
 
 Words (``\\w+``, lower case) become 64-bit hashes. A seed is the hash of the words that a fixed mask picks
-from ``SPAN`` consecutive words; the masks ignore different positions, so that a passage with some words
-replaced still has seeds in common with its item. Seeds of every document meet the seeds of all benchmark
+from consecutive words; the masks of an item's length ignore different positions, so that a passage with
+as many words replaced as are allowed still has a seed in common with its item, wherever they are. Seeds of every document meet the seeds of all benchmark
 items in a hash join (a bitmap, then the sorted seeds); each hit fixes an alignment, and the alignment is
 verified on the words themselves: a document is contaminated by an item if some ``WINDOW`` consecutive
 words of the item (all of it, if it is shorter) agree with the document's in at least ``SHARE`` of the
 places.
 
 The benchmark goes through the documents in blocks of at most about ``BLOCK_WORDS`` words, each small
-enough to be with every task; documents are never shuffled. Items of ``MIN_WORDS`` to ``SPAN - 1`` words
-are looked up whole; shorter ones (and null or empty ones) are no evidence and are not searched. Null and
+enough to be with every task; documents are never shuffled. Items of less than
+``MIN_WORDS`` words (and null or empty ones) are no evidence and are not searched. Null and
 empty texts have no hits. Repeated rows are reported each. With an empty table there are no hits.
 """
 
@@ -29,15 +29,23 @@ from pyspark.sql.functions import pandas_udf
 
 from .common import claim, prepare
 
-SPAN = 11
-#: Positions that count, by mask.
-MASKS = ((0, 1, 3, 4, 7, 9, 10), (0, 2, 3, 5, 6, 8, 10), (0, 1, 2, 5, 8, 9, 10))
+#: Positions that count, by mask, for items of at least so many words: wherever the replaced words that ``SHARE``
+#: allows in the shortest such item (or ``WINDOW``) are, some mask at some start picks none of them.
+MASKS = {
+    15: ((0, 1, 2, 4, 6, 7), (0, 1, 4, 8, 9, 10), (0, 1, 3, 7, 10, 11), (0, 1, 3, 6, 8, 9), (0, 1, 2, 7, 11, 12), (0, 3, 8, 10, 11, 12)),
+    11: (
+        (0, 1, 2, 4, 5, 6), (0, 1, 2, 5, 7, 8), (0, 1, 3, 6, 7, 8), (0, 3, 4, 5, 6, 7),
+        (0, 1, 2, 9, 10, 11), (0, 1, 2, 3, 4, 7), (0, 1, 5, 7, 9, 10), (0, 3, 5, 6, 8, 11),
+    ),
+    7: ((0, 1, 2, 3, 5), (0, 3, 4, 5, 6), (0, 1, 2, 5, 6), (0, 1, 2, 4, 7), (0, 2, 4, 6, 7), (0, 1, 3, 4, 5), (0, 1, 3, 6, 7)),
+    6: ((0, 1, 2, 3, 4), (0, 1, 2, 3, 5), (0, 1, 2, 4, 5), (0, 1, 3, 4, 5), (0, 2, 3, 4, 5)),
+}
 WINDOW, SHARE = 16, 0.75
 MIN_WORDS = 6
 BLOCK_WORDS = 1_000_000
 KEPT_WORDS = 150_000
 WORD = re.compile(r"\w+")
-MULTIPLIERS = np.array([xxhash.xxh3_64_intdigest(str(i)) | 1 for i in range(SPAN)], np.uint64)
+MULTIPLIERS = np.array([xxhash.xxh3_64_intdigest(str(i)) | 1 for i in range(13)], np.uint64)
 HITS = "doc_id long, item_id long, start_word int, end_word int, item_start int, n_equal int"
 _hashes: dict[str, int] = {}
 
@@ -56,7 +64,7 @@ def word_hashes(text: str) -> np.ndarray:
 
 
 def seeds(h: np.ndarray, mask: tuple[int, ...], number: int) -> np.ndarray:
-    """Seed of each start in ``h``; masks and lengths are told apart by their number."""
+    """Seed of each start in ``h``; masks are told apart by their number."""
     n = len(h) - max(mask)
     if n <= 0:
         return np.zeros(0, np.uint64)
@@ -74,13 +82,13 @@ class SeedIndex:
     def __init__(self, items: list[tuple[int, str]]):
         self.ids = [i for i, _ in items]
         self.words = [word_hashes(t or "") for _, t in items]
-        self.masks: list[tuple[tuple[int, ...], int]] = list(zip(MASKS, range(len(MASKS)), strict=True))
-        short = {len(h) for h in self.words if MIN_WORDS <= len(h) < SPAN}
-        self.masks += [(tuple(range(n)), len(MASKS) + n) for n in sorted(short)]
+        least = [max((n for n in MASKS if n <= len(h)), default=0) for h in self.words]
+        numbered = {n: [(mask, 100 * n + i) for i, mask in enumerate(MASKS[n])] for n in sorted(set(least) - {0})}
+        self.masks: list[tuple[tuple[int, ...], int]] = [m for masks in numbered.values() for m in masks]
         parts = []
         for k, h in enumerate(self.words):
-            for mask, number in self.masks:
-                if number < len(MASKS) if len(h) >= SPAN else number == len(MASKS) + len(h):
+            if least[k]:
+                for mask, number in numbered[least[k]]:
                     s = seeds(h, mask, number)
                     parts.append((s, np.full(len(s), k, np.int64), np.arange(len(s))))
         none = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))

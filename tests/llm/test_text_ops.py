@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -217,6 +218,19 @@ def test_passages_are_found_with_words_replaced_and_clean_text_is_left(spark):
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter(r[0] for r in rows if r[0] not in {i for i, _, _ in plants} | {110, 111, 114})
 
 
+@pytest.mark.parametrize("n", range(6, 18))
+def test_every_placement_of_replaced_words_is_found(n):
+    item = [f"v{i}" for i in range(n)]
+    index = decontaminate.SeedIndex([(1, " ".join(item))])
+    window = min(n, decontaminate.WINDOW)
+    most = int(window * (1 - decontaminate.SHARE))
+    places = list(combinations(range(window), most))
+    texts = [" ".join(f"x{i}" if i in set(at) else w for i, w in enumerate(item)) for at in places]
+    assert all(index.find(texts))
+    short = [" ".join(f"x{i}" if i in set(at) else w for i, w in enumerate(item[:window])) for at in combinations(range(window), most + 1)]
+    assert not any(index.find(short))
+
+
 def test_benchmark_blocks_find_the_same(spark, monkeypatch):
     rng = random.Random(8)
     items = [(i, words(rng, 30, 10**6)) for i in range(12)]
