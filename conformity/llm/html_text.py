@@ -1,7 +1,8 @@
 """Main text of web pages by site style trees.
 
 The DOMs of one host are merged into a tree whose nodes are element paths (tag with its class and id,
-digits dropped). Equal pages count once. For each node the tree holds
+digits dropped). Pages of equal main content count once,
+whatever stands around it. For each node the tree holds
 
 * its presentation: the sequences of child elements seen, whose entropy over the host's pages is the
   node's presentation importance (one style on all pages: 0);
@@ -11,7 +12,7 @@ digits dropped). Equal pages count once. For each node the tree holds
 
 A branch's importance is the style-weighted mean of its own presentation importance and the content
 importance below it, less its link share. Branches of low importance are removed from every page of the
-host. Elements whose role HTML itself states (navigation, footers, forms, scripts, asides, advert or
+host, but never ``html``, ``body``, ``main`` or ``article`` itself. Elements whose role HTML itself states (navigation, footers, forms, scripts, asides, advert or
 comment classes and so on) are presentation nodes of no importance and go on any host.
 
 A null or empty html gives an empty text; a page without a host (null url too) shares a tree with others
@@ -39,6 +40,9 @@ GAMMA = 0.9
 BROADCAST_BYTES = 8 << 20
 SALTS = 32
 
+#: Paths of elements that are never removed whole.
+KEPT_TAGS = r">(html|body|main|article)(\.[^>]*)?$"
+
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
@@ -202,6 +206,13 @@ def main_text(page: str | None, low: frozenset[str] = frozenset()) -> str:
     return " ".join(b[1] for b in found if not low or not _under(b[0], low))
 
 
+def content_digest(found: list[tuple[str, str, int, int]]) -> int:
+    """Digest of a page's main content: of the blocks in ``main`` or ``article``, or of those that are not mostly links."""
+    kept = [b for b in found if any(step.split(".", 1)[0] in ("main", "article") for step in b[0].split(">"))]
+    kept = kept or [b for b in found if 2 * b[3] <= b[2]] or found
+    return _hash("\n".join(b[1] for b in kept))
+
+
 def _hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
@@ -217,9 +228,9 @@ def tree_features(pages: DataFrame) -> DataFrame:
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: tuple[list, ...] = tuple([] for _ in range(7))
-            hosts, digests, htmls = (batch.column(i).to_pylist() for i in range(3))
-            for host, digest, page in zip(hosts, digests, htmls, strict=True):
+            for host, page in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
                 found, styles = blocks(page)
+                digest = content_digest(found)
                 rows = {(0, path, _hash(text)): (n, k) for path, text, n, k in found}
                 rows |= {(1, path, _hash(style)): (0, 0) for path, style in styles}
                 for (kind, path, feature), (n, k) in rows.items():
@@ -229,7 +240,7 @@ def tree_features(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=names)
 
     names = ["host", "page", "kind", "path", "feature", "chars", "link_chars"]
-    narrow = pages.where(F.length("html") > 0).select("host", F.xxhash64("html").alias("page"), "html")
+    narrow = pages.where(F.length("html") > 0).select("host", "html")
     return narrow.mapInArrow(parse, "host string, page long, kind int, path string, feature long, chars long, link_chars long")
 
 
@@ -275,7 +286,7 @@ def branch_importance(features: DataFrame) -> DataFrame:
 def low_branches(pages: DataFrame, threshold: float = IMPORTANCE, min_pages: int = MIN_PAGES) -> DataFrame:
     """host and the array of its paths of low importance."""
     scored = branch_importance(tree_features(pages))
-    low = scored.where((F.col("pages") >= min_pages) & (F.col("importance") < threshold))
+    low = scored.where((F.col("pages") >= min_pages) & (F.col("importance") < threshold) & ~F.col("path").rlike(KEPT_TAGS))
     return low.groupBy("host").agg(F.array_sort(F.collect_set("path")).alias("low"))
 
 

@@ -268,6 +268,16 @@ def test_main_text(spark):
     assert html_text.extract_main_text(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("wrap", ["article", "div"])
+def test_copies_of_few_articles_keep_their_text(spark, wrap):
+    texts = [f"Report {k} on rivers and lakes of the north." for k in range(2)]
+    page = "<html><body><div class='ad-box'>Offer {i}</div><div class='left'><a href='/{i}'>Link {i}</a></div><{w}><p>{t}</p></{w}></body></html>"
+    rows = [(i, "http://mirror.org/%d" % i, page.format(i=i, t=texts[i % 2], w=wrap)) for i in range(12)]
+    rows += [(20 + i, "http://one.org/%d" % i, page.format(i=i, t=texts[0], w=wrap)) for i in range(6)]
+    out = html_text.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert all(texts[r["page_id"] % 2 if r["page_id"] < 20 else 0] in r["text"] for r in out) and len(out) == 18
+
+
 def test_importance_follows_entropy(spark):
     rng = random.Random(10)
     rows = [(i, "http://h/", SHELL.format(i=i, text=words(rng, 30, 10**6))) for i in range(10)]
