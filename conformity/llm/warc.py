@@ -11,7 +11,8 @@ record's bytes in a WARC file are ``header || payload || CRLF CRLF`` (the payloa
 
 Of the records whose payloads are equal and at least ``min_bytes`` long, the one with the smallest page_id
 is a response and the others are revisits that refer to it; all smaller ones are responses. A null html is
-an empty payload, a null url an empty target; a null page_id sorts after all others; among rows with the
+an empty payload, a null url an empty target, line ends of any kind in a url are percent-encoded in the header
+(the ``url`` column keeps it exactly); a null page_id sorts after all others; among rows with the
 smallest page_id repeated, one (the first by url) is the response. An empty table gives an empty archive.
 """
 
@@ -26,6 +27,8 @@ CRLF = "\r\n"
 BASE32_HEX, BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 #: One archive's date, so that the same pages give the same bytes.
 DATE = "2024-01-01T00:00:00Z"
+#: Characters that some reader of headers takes for a line's end, and what a target URI has in their place.
+ESCAPED = {c: "".join(f"%{b:02X}" for b in c.encode()) for c in "\r\n\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"}
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -36,6 +39,12 @@ def base32_sha1(data: Column) -> Column:
     return F.translate(F.concat(*groups), BASE32_HEX, BASE32)
 
 
+def _one_line(url: Column) -> Column:
+    for c, escape in ESCAPED.items():
+        url = F.replace(url, F.lit(c), F.lit(escape))
+    return F.coalesce(url, F.lit(""))
+
+
 def _headers(kind: Column) -> Column:
     """The exact header block of a record, ending with the blank line before the payload."""
     revisit = kind == "revisit"
@@ -52,7 +61,7 @@ def _headers(kind: Column) -> Column:
         line("WARC-Type", kind),
         line("WARC-Record-ID", named(F.col("page_id"))),
         line("WARC-Date", F.lit(DATE)),
-        line("WARC-Target-URI", F.coalesce(F.regexp_replace("url", r"[\r\n]", " "), F.lit(""))),
+        line("WARC-Target-URI", _one_line(F.col("url"))),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),
         F.when(revisit, F.concat(line("WARC-Profile", F.lit(REVISIT_PROFILE)), line("WARC-Refers-To", named(F.col("refers_to"))))).otherwise(F.lit("")),
         line("Content-Type", F.lit("application/http; msgtype=response")),
@@ -119,27 +128,40 @@ def read_archive(spark, folder: str) -> DataFrame:
 
 
 def field(name: str) -> Column:
-    """A named field of a record's WARC header."""
-    return F.nullif(F.regexp_extract(F.decode("header", "UTF-8"), rf"(?m)^{name}: (.*)$", 1), F.lit(""))
+    """A named field of a record's WARC header; lines end with CRLF and nothing else."""
+    return F.nullif(F.regexp_extract(F.decode("header", "UTF-8"), rf"(?md)^{name}: (.*)\r$", 1), F.lit(""))
 
 
 def record_bytes(records: DataFrame) -> DataFrame:
-    """page_id and the exact bytes of each record as in a WARC file."""
+    """``records`` with the exact bytes of each record as in a WARC file, in ``record``."""
     body = F.when(field("WARC-Type") == "revisit", F.lit(b"")).otherwise(F.col("payload"))
-    return records.select("page_id", F.concat(F.col("header"), body, F.lit(b"\r\n\r\n")).alias("record"))
+    return records.withColumn("record", F.concat(F.col("header"), body, F.lit(b"\r\n\r\n")))
+
+
+def archive_report(records: DataFrame) -> DataFrame:
+    """What rebuilt records say: page_id, payload_bytes, payload_digest, record_type, refers_to.
+
+    A response's payload is cut out of the record's own bytes and digested; a revisit has none, so that its
+    payload is the object it was joined with.
+    """
+    rebuilt = record_bytes(records).withColumns({"record_type": field("WARC-Type"), "of": field("WARC-Refers-To")})
+    carried = F.substring(F.col("record"), F.length("header") + 1, F.length("record") - F.length("header") - len(CRLF * 2))
+    held = rebuilt.withColumn("held", F.when(F.col("record_type") == "response", carried).otherwise(F.col("payload")))
+    revisited = F.regexp_extract("of", r"^<urn:page:(-?\d+)>$", 1).try_cast("long")
+    return held.select(
+        "page_id",
+        F.length("held").cast("long").alias("payload_bytes"),
+        base32_sha1(F.col("held")).alias("payload_digest"),
+        "record_type",
+        F.when(F.col("record_type") == "revisit", revisited).alias("refers_to"),
+    )
 
 
 def op4_warc_archive(spark, sf_dir: str) -> DataFrame:
-    """Archive all pages, read the archive back and report each record from its header and its object."""
+    """Archive all pages, read the archive back, rebuild every record and report from it."""
     folder = scratch_path(spark, "warc")
     write_archive(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder)
-    return read_archive(spark, folder).select(
-        "page_id",
-        "payload_bytes",
-        "payload_digest",
-        field("WARC-Type").alias("record_type"),
-        F.regexp_extract(field("WARC-Refers-To"), r"<urn:page:(-?\d+)>", 1).cast("long").alias("refers_to"),
-    )
+    return archive_report(read_archive(spark, folder))
 
 
 OP4_SQL = """
