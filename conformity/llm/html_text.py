@@ -16,14 +16,17 @@ host, but never ``html``, ``body``, ``main`` or ``article`` itself. Elements who
 comment classes and so on) are presentation nodes of no importance and go on any host.
 
 A null or empty html gives an empty text; a page without a host (null url too) shares a tree with others
-without one; hosts with under ``MIN_PAGES`` distinct pages are judged by roles alone. Repeated rows are
-extracted each. An empty table gives no rows. White space is what ``str.split`` splits at.
+without one. A few pages say little about a host: its branches' importance is drawn towards that of their
+paths on all hosts (``PRIOR_PAGES``; 1 where no host has the path on two pages). Elements nested deeper than
+``DEPTH`` belong to the branch of their ancestor there. Repeated rows are extracted each. An empty table gives no rows. White space is what ``str.split`` splits at.
 """
 
 from __future__ import annotations
 
+import bisect
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -33,7 +36,10 @@ from pyspark.sql import functions as F
 
 from .common import claim, prepare, saved
 
-MIN_PAGES = 5
+#: A branch of a host is judged as if so many pages with the corpus's importance of its path were added.
+PRIOR_PAGES = 4
+#: Elements nested deeper belong to the branch of their ancestor at this depth.
+DEPTH = 64
 IMPORTANCE = 0.3
 GAMMA = 0.9
 #: Low-importance paths are sent to every task up to this many bytes; beyond it they are joined by salted host.
@@ -60,13 +66,12 @@ ROLE_WORDS = frozenset(
 )
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 
-TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|iframe|textarea)\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?</\1\s*>"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
-    r"|<[!?][^>]*>",
-    re.S | re.I,
-)
+#: Elements whose content is no markup.
+RAW = frozenset("script style noscript template svg iframe textarea".split())
+NAME = re.compile(r"(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
+STOPS = re.compile(r"['\">]")
+#: A tag without ``<`` inside, which an attempt never reads beyond.
+PLAIN = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"<]*\"|'[^'<]*'|[^'\"<>])*)>")
 ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/]|$)", re.I)
 WORD = re.compile(r"[a-z]+")
 DIGITS = re.compile(r"\d+")
@@ -98,6 +103,55 @@ def _look(tag: str, attributes: str) -> tuple[str, bool]:
     return found
 
 
+def tags(page: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """(start, end, slash, tag, attributes) of the markup of a page; comments, declarations and the content of
+    raw elements have no tag. A tag ends at the first ``>`` outside quotes. The time is linear in the page:
+    what has failed to end once is not scanned again."""
+    stops: list[int] | None = None
+    dead: set[int] = set()
+    never: set[str] = set()
+    at = page.find("<")
+    while at >= 0:
+        end, slash, tag, attributes = -1, "", "", ""
+        m = PLAIN.match(page, at)
+        if m:
+            slash, tag, attributes, end = m[1], m[2].lower(), m[3], m.end()
+        elif m := NAME.match(page, at + 1):
+            slash, tag = m[1], m[2].lower()
+            stops = [x.start() for x in STOPS.finditer(page)] if stops is None else stops
+            k, passed = bisect.bisect_left(stops, m.end()), []
+            while k < len(stops) and k not in dead:
+                passed.append(k)
+                if page[stops[k]] == ">":
+                    end = stops[k] + 1
+                    break
+                closing = page.find(page[stops[k]], stops[k] + 1)
+                k = bisect.bisect_right(stops, closing) if closing >= 0 else len(stops)
+            if end < 0:
+                dead.update(passed)
+            attributes = page[m.end() : end - 1] if end >= 0 else ""
+        elif page.startswith("<!--", at):
+            closing = page.find("-->", at + 4)
+            end = closing + 3 if closing >= 0 else len(page)
+        elif page.startswith(("<!", "<?"), at) and ">" not in never:
+            end = page.find(">", at) + 1
+            if not end:
+                never.add(">")
+                end = -1
+        if end >= 0:
+            if tag in RAW and not slash and tag not in never:
+                closing_tag = RAW_END[tag].search(page, end)
+                if closing_tag:
+                    end, tag = closing_tag.end(), ""
+                else:
+                    never.add(tag)
+            yield at, end, slash, tag, attributes
+        at = page.find("<", max(end, at + 1))
+
+
+RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
+
+
 def blocks(page: str) -> tuple[list[tuple[str, str, int, int]], list[tuple[str, str]]]:
     """Blocks outside role-marked elements as (path, text, characters, link characters), in page order,
     and the presentation (path, sequence of child signatures) of the elements that hold them."""
@@ -105,6 +159,7 @@ def blocks(page: str) -> tuple[list[tuple[str, str, int, int]], list[tuple[str,
     styles: list[tuple[str, str]] = []
     # element: [tag, path, dropped, child signatures]
     stack: list[list] = [["", "", False, []]]
+    open_tags: Counter[str] = Counter()
     buffer: list[str] = []
     links, linked, at = 0, 0, 0
 
@@ -119,25 +174,22 @@ def blocks(page: str) -> tuple[list[tuple[str, str, int, int]], list[tuple[str,
 
     def pop() -> None:
         tag, path, dropped, children = stack.pop()
+        open_tags[tag] -= 1
         if not dropped and children:
             styles.append((path, " ".join(children)))
 
-    for m in TAG.finditer(page):
-        if m.start() > at and not stack[-1][2]:
-            text = page[at : m.start()]
+    for start, end, slash, tag, attributes in tags(page):
+        if start > at and not stack[-1][2]:
+            text = page[at:start]
             buffer.append(text)
             if links:
                 linked += len(text)
-        at = m.end()
-        tag = m[3]
-        if tag is None:
+        at = end
+        if not tag:
             continue
-        tag = tag.lower()
         if tag in INLINE:
             if tag == "a":
-                links = max(0, links - 1) if m[2] else 1
-            elif tag == "wbr":
-                pass
+                links = max(0, links - 1) if slash else 1
             continue
         if tag == "br":
             if not stack[-1][2]:
@@ -145,14 +197,13 @@ def blocks(page: str) -> tuple[list[tuple[str, str, int, int]], list[tuple[str,
             continue
         flush()
         links = 0
-        if m[2]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    while len(stack) > k:
-                        pop()
-                    break
+        if slash:
+            while open_tags[tag] and stack[-1][0] != tag:
+                pop()
+            if open_tags[tag]:
+                pop()
             continue
-        if tag in VOID or m[4].endswith("/"):
+        if tag in VOID or attributes.endswith("/"):
             continue
         if tag == "body":
             while len(stack) > 1 and stack[-1][0] != "html":
@@ -160,7 +211,7 @@ def blocks(page: str) -> tuple[list[tuple[str, str, int, int]], list[tuple[str,
         elif stack[-1][0] in CLOSED_BY_BLOCK:
             pop()
         closes = SELF_CLOSING.get(tag)
-        if closes:
+        if closes and any(open_tags[c] for c in closes):
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] in closes:
                     while len(stack) > k:
@@ -168,15 +219,14 @@ def blocks(page: str) -> tuple[list[tuple[str, str, int, int]], list[tuple[str,
                     break
                 if stack[k][0] in ("ul", "ol", "dl", "table"):
                     break
-        sign, role = _look(tag, m[4])
-        if tag == "header" and any(e[0] in ("article", "main") for e in stack):
-            role = False
-        elif tag == "header":
-            role = True
+        sign, role = _look(tag, attributes)
+        if tag == "header":
+            role = not (open_tags["article"] or open_tags["main"])
         parent = stack[-1]
         if not parent[2]:
             parent[3].append(sign)
-        stack.append([tag, f"{parent[1]}>{sign}", parent[2] or role, []])
+        stack.append([tag, f"{parent[1]}>{sign}" if len(stack) <= DEPTH else parent[1], parent[2] or role, []])
+        open_tags[tag] += 1
     if at < len(page) and not stack[-1][2]:
         buffer.append(page[at:])
     flush()
@@ -280,21 +330,28 @@ def branch_importance(features: DataFrame) -> DataFrame:
     styles = nodes.where("kind = 1").select("host", "path", style.alias("style"))
     scored = branches.join(styles, ["host", "path"], "left")
     weighed = F.when(F.col("style").isNull(), F.col("below")).otherwise((1 - GAMMA) * F.col("style") + GAMMA * F.col("below"))
-    return scored.select("host", "path", "pages", (weighed * (1 - F.col("link_share"))).alias("importance"))
+    own = saved(scored.select("host", "path", "pages", (weighed * (1 - F.col("link_share"))).alias("own")), "branch-scores")
+    # one page of a host is no evidence: m pages count as m - 1
+    seen = F.col("pages") - 1
+    corpus = own.groupBy("path").agg(((F.sum(seen * F.col("own")) + 1) / (F.sum(seen) + 1)).alias("prior"))
+    drawn = (seen * F.col("own") + PRIOR_PAGES * F.col("prior")) / (seen + PRIOR_PAGES)
+    return own.join(corpus, "path").select("host", "path", "pages", drawn.alias("importance"))
 
 
-def low_branches(pages: DataFrame, threshold: float = IMPORTANCE, min_pages: int = MIN_PAGES) -> DataFrame:
+def low_branches(pages: DataFrame, threshold: float = IMPORTANCE) -> DataFrame:
     """host and the array of its paths of low importance."""
-    scored = branch_importance(tree_features(pages))
-    low = scored.where((F.col("pages") >= min_pages) & (F.col("importance") < threshold) & ~F.col("path").rlike(KEPT_TAGS))
+    # read by several aggregations: pages are parsed once for all of them
+    features = saved(tree_features(pages), "tree-features")
+    scored = branch_importance(features)
+    low = scored.where((F.col("importance") < threshold) & ~F.col("path").rlike(KEPT_TAGS))
     return low.groupBy("host").agg(F.array_sort(F.collect_set("path")).alias("low"))
 
 
-def extract_main_text(pages: DataFrame, threshold: float = IMPORTANCE, min_pages: int = MIN_PAGES) -> DataFrame:
+def extract_main_text(pages: DataFrame, threshold: float = IMPORTANCE) -> DataFrame:
     """page_id, url, text and n_chars of every page."""
     prepare(pages.sparkSession)
     hosted = with_host(pages)
-    low = saved(low_branches(hosted, threshold, min_pages), "low-branches")
+    low = saved(low_branches(hosted, threshold), "low-branches")
     held = low.agg(F.sum(F.length("host") + F.length(F.array_join("low", " "))).alias("n")).first()["n"] or 0
     if held <= BROADCAST_BYTES:
         joined = hosted.join(F.broadcast(low), "host", "left")
