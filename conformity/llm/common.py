@@ -1,7 +1,8 @@
 """What the training-data operators share: shared scratch tables, worker set-up and two-level numbering.
 
-Only folders that every executor sees are used: ``spark.checkpoint.dir`` as the session has it, or
-(in tests, where it is unset) a temporary folder of this machine that is then set for the context.
+Only folders that every executor sees are used: ``spark.checkpoint.dir`` as the session has it. Where it is
+unset, a temporary folder is set if driver and executors are one process (master ``local``), as in tests; on
+a cluster that is an error.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ import contextlib
 import ctypes
 import gc
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -44,6 +46,8 @@ def shared_dir(spark: SparkSession) -> str:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         if held.isDefined():
             base = held.get()
+        elif not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         else:
             own = tempfile.mkdtemp(prefix="conformity-")
             atexit.register(shutil.rmtree, own, ignore_errors=True)
@@ -75,32 +79,31 @@ def drop_saved(*frames: DataFrame) -> None:
                 p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def numbered(df: DataFrame, group: list[str], order: list[Column], name: str, per_task: int = 8192) -> DataFrame:
-    """Add ``name``: gapless numbers from 0 within each ``group``, without one task per group.
+def numbered(df: DataFrame, group: list[str], order: list[Column], name: str, rows: int | None = None, per_task: int = 8192) -> DataFrame:
+    """Add ``name``: gapless numbers from 0 within each ``group`` (of no columns: within all rows), without
+    one task per group.
 
-    Rows are dealt to hash bins of about ``per_task`` rows, numbered there, and shifted by the sizes of
-    the earlier bins of their group, so that a group with a third of all rows is still many tasks.
+    Rows are dealt to hash bins, numbered there, and shifted by the sizes of the earlier bins of their group,
+    so that a group with a third of all rows is still many tasks. A bin has about ``per_task`` rows or, of
+    larger groups, the square root of the group's; so has the list of a group's bins. ``rows``: the number of
+    rows, if it is known.
     """
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"))
-    bins = sizes.withColumn("__bins", F.greatest(F.lit(1), F.ceil(F.col("__n") / per_task)).cast("int")).drop("__n")
-    dealt = (
-        _null_safe_join(df, bins, group)
-        .withColumn("__bin", F.pmod(F.xxhash64(*order), F.col("__bins")).cast("int"))
-        .drop("__bins")
-    )
+    bins_of = lambda n: F.ceil(n / F.greatest(F.lit(float(per_task)), F.sqrt(n))).cast("int")
+    if group:
+        sizes = df.groupBy(*group).agg(F.greatest(F.lit(1), bins_of(F.count(F.lit(1)))).alias("__bins"))
+        dealt = df.join(sizes, group)
+    else:
+        n = df.count() if rows is None else rows
+        dealt = df.withColumn("__bins", F.greatest(F.lit(1), bins_of(F.lit(n))))
+    dealt = dealt.withColumn("__bin", F.pmod(F.xxhash64(*order), F.col("__bins")).cast("int")).drop("__bins")
     counts = dealt.groupBy(*group, "__bin").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*group).orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
     here = F.row_number().over(Window.partitionBy(*group, "__bin").orderBy(*order)) - 1
-    placed = _null_safe_join(dealt.withColumn("__here", here), counts, [*group, "__bin"])
+    placed = dealt.withColumn("__here", here).join(counts, [*group, "__bin"])
     return placed.withColumn(name, (F.col("__before") + F.col("__here")).cast("long")).drop("__bin", "__here", "__before")
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join on ``keys``; the key columns are never null here, so plain equality keeps every row."""
-    return left.join(right, keys)
-
-
 #: Keys are sent to every task up to this many rows (of about 40 bytes); beyond it both sides are shuffled.
 BROADCAST_ROWS = 500_000
 

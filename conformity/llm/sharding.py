@@ -29,10 +29,10 @@ from pyspark.sql import functions as F
 from .common import drop_saved, numbered, prepare, saved
 
 SHARDS = 24
-ROUNDS = 6
 SLACK = 2
-#: Bins that a shard's wanted moves are summed in before single moves are ordered: 32 by gain, 16 by hash.
-GAIN_BINS, HASH_BINS = 32, 16
+#: Wanted moves are summed in bins before single moves are ordered: 32 by gain, each by hash so that a bin has
+#: about so many cells.
+GAIN_BINS, BIN_CELLS = 32, 8192
 
 
 def _quotas(rows: int, shards: int) -> list[int]:
@@ -44,9 +44,10 @@ def _lookup(values: list[int], at) -> F.Column:
     return F.element_at(F.array(*[F.lit(v).cast("long") for v in values]), at + 1)
 
 
-def _round(cells: DataFrame, free: list[int]) -> DataFrame:
-    """One round of propagation on cells (key, shard, n); ``free``: room per shard. Adds moved rows in
-    ``__in`` (of this cell, rows that came by this round)."""
+def _moves(cells: DataFrame, free: list[int], count: int) -> DataFrame:
+    """The moves (key, shard, to, moved) that one round admits on ``count`` cells (key, shard, n); ``free``:
+    room per shard."""
+    bins = -(-count // BIN_CELLS) or 1
     room = F.array(*[F.lit(v).cast("long") for v in free])
     by_key = Window.partitionBy("key")
     open_votes = F.when(F.element_at(room, F.col("shard") + 1) > 0, F.struct(F.col("n"), (-F.col("shard")).alias("s")))
@@ -57,25 +58,26 @@ def _round(cells: DataFrame, free: list[int]) -> DataFrame:
         .where("best IS NOT NULL AND `to` <> shard AND (gain > 0 OR (gain = 0 AND `to` < shard))")
         .select("key", "shard", "n", "to", "gain")
     )
-    bin_ = (F.least(F.lit(GAIN_BINS - 1), F.floor(F.log2(F.col("gain") + 1))) * -HASH_BINS + F.pmod(F.xxhash64("key"), F.lit(HASH_BINS))).cast("int")
-    wanted = wanted.withColumn("bin", bin_)
+    bin_ = F.least(F.lit(GAIN_BINS - 1), F.floor(F.log2(F.col("gain") + 1))) * -bins + F.pmod(F.xxhash64("key"), F.lit(bins))
+    wanted = wanted.withColumn("bin", bin_.cast("long"))
     sums = wanted.groupBy("to", "bin").agg(F.sum("n").alias("n"))
     earlier = Window.partitionBy("to").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("to", "bin", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     inside = Window.partitionBy("to", "bin").orderBy(F.desc("gain"), "key", "shard").rowsBetween(Window.unboundedPreceding, -1)
-    moves = (
+    return (
         wanted.join(sums, ["to", "bin"])
         .withColumn("start", F.col("before") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
         .withColumn("moved", F.greatest(F.lit(0), F.least(F.col("n"), F.element_at(room, F.col("to") + 1) - F.col("start"))))
         .where("moved > 0")
+        .select("key", "shard", "to", "moved")
     )
-    deltas = moves.select("key", F.explode(F.array(F.struct(F.col("shard").alias("shard"), (-F.col("moved")).alias("n")), F.struct(F.col("to").alias("shard"), F.col("moved").alias("n")))).alias("d"))
-    return (
-        cells.unionByName(deltas.select("key", "d.shard", "d.n"))
-        .groupBy("key", "shard")
-        .agg(F.sum("n").alias("n"))
-        .where("n > 0")
-    )
+
+
+def _moved(cells: DataFrame, moves: DataFrame) -> DataFrame:
+    """Cells after moves."""
+    out, in_ = (F.struct(F.col(c).cast("int").alias("shard"), n.alias("n")) for c, n in (("shard", -F.col("moved")), ("to", F.col("moved"))))
+    deltas = moves.select("key", F.explode(F.array(out, in_)).alias("d"))
+    return cells.unionByName(deltas.select("key", "d.shard", "d.n")).groupBy("key", "shard").agg(F.sum("n").alias("n")).where("n > 0")
 
 
 def loads(cells: DataFrame, shards: int) -> tuple[list[int], int]:
@@ -84,25 +86,29 @@ def loads(cells: DataFrame, shards: int) -> tuple[list[int], int]:
     return [found[s]["n"] if s in found else 0 for s in range(shards)], sum(r["cells"] for r in found.values())
 
 
-def propagate(cells: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> tuple[DataFrame, list[int]]:
-    """Cells after at most ``rounds`` rounds under the quotas, and the linked documents per shard."""
-    load, count = loads(cells, len(quotas))
-    for _ in range(rounds):
-        after = saved(_round(cells, [max(0, q - x) for q, x in zip(quotas, load, strict=True)]), "shard-cells")
-        drop_saved(cells)
-        cells = after
-        before, (load, count) = (load, count), loads(cells, len(quotas))
-        if (load, count) == before:
-            break
-    return cells, load
-
-
-def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+def propagate(cells: DataFrame, quotas: list[int], rounds: int | None = None) -> tuple[DataFrame, list[int]]:
+    """Cells after rounds under the quotas until none moves (or ``rounds`` of them), and the linked documents
+    per shard. Every move brings a key's documents closer together (the sum of its cells' squares grows), so
+    rounds end."""
+    done = 0
+    while True:
+        load, count = loads(cells, len(quotas))
+        if done == rounds:
+            return cells, load
+        moves = saved(_moves(cells, [max(0, q - x) for q, x in zip(quotas, load, strict=True)], count), "shard-moves")
+        if not moves.limit(1).count():
+            drop_saved(moves)
+            return cells, load
+        after = saved(_moved(cells, moves), "shard-cells")
+        drop_saved(cells, moves)
+        cells, done = after, done + 1
+
+
+def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int | None = None) -> DataFrame:
     """Columns of ``docs`` (a saved table with doc_id and a nullable link ``key``), shard and slot."""
-    held = docs.withColumn("__linked", F.lit(False)).drop("__linked")
     groups = docs.where("key IS NOT NULL").groupBy("key").agg(F.count(F.lit(1)).alias("__copies")).where("__copies > 1")
     # a hot key's rows meet one small row here: Spark splits such a partition
-    tagged = saved(held.join(groups, "key", "left").withColumn("__linked", F.col("__copies").isNotNull()).drop("__copies"), "shard-rows")
+    tagged = saved(docs.join(groups, "key", "left").withColumn("__linked", F.col("__copies").isNotNull()).drop("__copies"), "shard-rows")
     order = [F.col(c) for c in ("doc_id", "size", "text_crc32")]
     total, linked = (tagged.agg(F.count(F.lit(1)).alias("n"), F.count_if("__linked").alias("k")).first())
     quotas = _quotas(total, shards)
@@ -120,7 +126,7 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
     at = F.aggregate("spans", F.lit(-1), lambda found, x: F.when(x["lo"] <= F.col("__rank"), x["shard"]).otherwise(found))
     columns = [*docs.columns, "shard"]
     grouped = members.join(placed, "key").withColumn("shard", at).select(*columns)
-    rest = numbered(tagged.where("NOT __linked").withColumn("__all", F.lit(0)), ["__all"], order, "__rank")
+    rest = numbered(tagged.where("NOT __linked"), [], order, "__rank", rows=total - linked)
     shard, upto = F.lit(shards - 1), 0
     bounds = []
     for s, (q, x) in enumerate(zip(quotas, load, strict=True)):
@@ -135,12 +141,13 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
 def _fit(cells: DataFrame, quotas: list[int]) -> DataFrame:
     """Cells within the quotas: rows over a shard's quota go to shards with room, in the order of key, so
     that only keys at the borders of ranges are cut."""
-    load = dict(enumerate(loads(cells, len(quotas))[0]))
+    found, count = loads(cells, len(quotas))
+    load = dict(enumerate(found))
     over = [max(0, load.get(s, 0) - q) for s, q in enumerate(quotas)]
     if not any(over):
         return cells
     # each row of an over-full shard has its number there; those past the quota fill the free rooms in turn
-    bins = cells.withColumn("bin", F.pmod(F.xxhash64("key"), F.lit(512)).cast("int"))
+    bins = cells.withColumn("bin", F.pmod(F.xxhash64("key"), F.lit(-(-count // BIN_CELLS) or 1)).cast("int"))
     earlier = Window.partitionBy("shard").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     sums = bins.groupBy("shard", "bin").agg(F.sum("n").alias("m")).select("shard", "bin", F.coalesce(F.sum("m").over(earlier), F.lit(0)).alias("before"))
     inside = Window.partitionBy("shard", "bin").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
@@ -165,7 +172,7 @@ def _fit(cells: DataFrame, quotas: list[int]) -> DataFrame:
     return at.select("key", "shard", F.col("stay").alias("n")).unionByName(moved).where("n > 0").groupBy("key", "shard").agg(F.sum("n").alias("n"))
 
 
-def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int | None = None) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot and grown_shard of every document."""
     prepare(docs.sparkSession)
     text = F.col("text").cast("string")
