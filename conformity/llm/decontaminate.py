@@ -8,10 +8,13 @@ verified on the words themselves: a document is contaminated by an item if some
 words of the item (all of it, if it is shorter) agree with the document's in at least ``SHARE`` of the
 places.
 
-The benchmark goes through the documents in blocks of at most about ``BLOCK_WORDS`` words, each small
-enough to be with every task; documents are never shuffled. Items of less than
-``MIN_WORDS`` words (and null or empty ones) are no evidence and are not searched. Null and
-empty texts have no hits. Repeated rows are reported each. With an empty table there are no hits.
+Items of under ``MIN_WORDS`` words allow no replaced word: they are found where all their words follow one
+another. An item's passage of under ``WINDOW`` words is no evidence, wherever in a document it stands.
+
+The benchmark goes through the documents in blocks of about ``BLOCK_BYTES`` bytes of text, each small
+enough to be with every task; documents are never shuffled. Items with equal words are searched once and
+reported each. Null items and items without words are in no document. Null and empty texts have no hits.
+Repeated rows are reported each. With an empty table there are no hits.
 """
 
 from __future__ import annotations
@@ -39,10 +42,11 @@ MASKS = {
     ),
     7: ((0, 1, 2, 3, 5), (0, 3, 4, 5, 6), (0, 1, 2, 5, 6), (0, 1, 2, 4, 7), (0, 2, 4, 6, 7), (0, 1, 3, 4, 5), (0, 1, 3, 6, 7)),
     6: ((0, 1, 2, 3, 4), (0, 1, 2, 3, 5), (0, 1, 2, 4, 5), (0, 1, 3, 4, 5), (0, 2, 3, 4, 5)),
+    **{n: (tuple(range(n)),) for n in range(1, 6)},
 }
 WINDOW, SHARE = 16, 0.75
 MIN_WORDS = 6
-BLOCK_WORDS = 1_000_000
+BLOCK_BYTES = 8 << 20
 KEPT_WORDS = 150_000
 WORD = re.compile(r"\w+")
 MULTIPLIERS = np.array([xxhash.xxh3_64_intdigest(str(i)) | 1 for i in range(13)], np.uint64)
@@ -80,8 +84,12 @@ class SeedIndex:
     BITS = 22
 
     def __init__(self, items: list[tuple[int, str]]):
-        self.ids = [i for i, _ in items]
-        self.words = [word_hashes(t or "") for _, t in items]
+        by_words: dict[bytes, tuple[np.ndarray, list[int]]] = {}
+        for item_id, text in items:
+            h = word_hashes(text or "")
+            by_words.setdefault(h.tobytes(), (h, []))[1].append(item_id)
+        self.words = [h for h, _ in by_words.values()]
+        self.ids = [ids for _, ids in by_words.values()]
         least = [max((n for n in MASKS if n <= len(h)), default=0) for h in self.words]
         numbered = {n: [(mask, 100 * n + i) for i, mask in enumerate(MASKS[n])] for n in sorted(set(least) - {0})}
         self.masks: list[tuple[tuple[int, ...], int]] = [m for masks in numbered.values() for m in masks]
@@ -140,7 +148,7 @@ def aligned(doc: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, in
         return None
     equal = doc[lo + shift : hi + shift] == item[lo:hi]
     total = np.concatenate([[0], np.cumsum(equal)])
-    good = np.flatnonzero(total[need:] - total[:-need] >= SHARE * need)
+    good = np.flatnonzero(total[need:] - total[:-need] >= (SHARE if need >= MIN_WORDS else 1) * need)
     if not len(good):
         return None
     a, b = lo + int(good[0]), lo + int(good[-1]) + need
@@ -165,11 +173,11 @@ def _index(shared) -> SeedIndex:
     return held[1]
 
 
-def blocks_of(benchmark: DataFrame, most: int = BLOCK_WORDS) -> Iterator[list[tuple[int, str]]]:
-    """The benchmark in blocks of about ``most`` words."""
+def blocks_of(benchmark: DataFrame, most: int | None = None) -> Iterator[list[tuple[int, str]]]:
+    """The benchmark in blocks of about ``most`` bytes of text (``BLOCK_BYTES`` unless given)."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
-    words = items.agg(F.sum(F.length("text") - F.length(F.replace("text", F.lit(" "))) + 1)).first()[0] or 0
-    count = -(-int(words) // most)
+    size = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
+    count = -(-int(size) // (most or BLOCK_BYTES))
     for k in range(count):
         part = items if count == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == k)
         yield [(r["item_id"], r["text"]) for r in part.orderBy("item_id", "text").collect()]
@@ -187,9 +195,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             index = _index(shared)
             for batch in batches:
                 rows = [
-                    (doc_id, index.ids[item], *hit)
+                    (doc_id, item_id, *hit)
                     for doc_id, hits in zip(batch.column(0).to_pylist(), index.find(batch.column(1).to_pylist()), strict=True)
                     for item, *hit in hits
+                    for item_id in index.ids[item]
                 ]
                 if rows:
                     kinds = (pa.int64(), pa.int64(), *[pa.int32()] * 4)
