@@ -8,13 +8,14 @@ transitions; it is trained by gradient ascent on the exact conditional likelihoo
 marginals of a document's tokens are summed to two document features, and a logistic regression on these
 gives the score.
 
-Chains are ``CHAIN`` tokens long: a document's tokens in pieces of that many, over the whole text.
+A chain is a whole document, however long.
 
 Training rows are labelled rows outside the held-out third, at most ``TRAIN_DOCS`` of each class (the
-first by hash of the doc_id): a stated bound on what the driver fits. If one class is missing, every score
+first by hash of the doc_id): a stated bound on what the driver fits. Cues and the regression come from all of
+them, the field's weights from ``FIELD_DOCS`` of each class. If one class is missing, every score
 is the share of the other's rows (0 without labels). Null and empty texts are scored by the intercept.
 Repeated labels of a document count once (toxic if any is), null labels are ignored, repeated rows are
-scored each, a null doc_id is not held out. An empty table gives no rows.
+scored each, a null doc_id is not held out, and of several texts with one labelled doc_id the least trains. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -32,13 +33,15 @@ from pyspark.sql.functions import pandas_udf
 from .common import claim, prepare
 
 TRAIN_DOCS = 2000
-CHAIN = 64
+#: Of these so many of each class fit the field itself, with all their tokens.
+FIELD_DOCS = 1000
+#: Tokens to a row of the tables that chains are laid out in; a chain takes as many rows as it needs.
+ROW = 64
 BITS = 20
 MIN_DOCS = 4
 #: A cue may occur in this share of the documents of the other class, relative to its share of toxic ones.
 MAX_LEAK = 0.05
 SPAN = 0.5
-COUNTED = 0.3
 THRESHOLD = 0.7
 KEPT_TOKENS = 400_000
 TOKEN = re.compile(r"\S+")
@@ -60,34 +63,79 @@ def slots(token: str) -> list[int]:
 
 def _ratio(r: np.ndarray, t: np.ndarray) -> np.ndarray:
     """Log odds carried over one transition; t[i, j]: log weight from state i to state j."""
-    return np.logaddexp(t[0, 1], t[1, 1] + r) - np.logaddexp(t[0, 0], t[1, 0] + r)
+    e, x = np.exp(t - t.max()), np.exp(np.clip(r, -30, 30))
+    return np.log((e[0, 1] + e[1, 1] * x) / (e[0, 0] + e[1, 0] * x))
 
 
-def marginals(emission: np.ndarray, transition: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Log odds of state 1 before and after each token, and its marginal, for chains (rows) at once."""
+def _carried(emission: np.ndarray, t: np.ndarray, real: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Log odds of state 1 at each token, from its chain up to it.
+
+    Rows are stretches of chains, one after another; ``first`` marks those that begin a chain. What a row
+    does to the odds that enter it is a fractional linear map: maps of all rows are made at once, then
+    applied row after row, so that a chain of any length takes few vector steps and is not cut.
+    """
     n, length = emission.shape
-    forward, backward = np.zeros((n, length)), np.zeros((n, length))
-    r = emission[:, 0]
-    forward[:, 0] = r
-    for t in range(1, length):
-        r = emission[:, t] + _ratio(r, transition)
-        forward[:, t] = r
-    b = np.zeros(n)
-    for t in range(length - 2, -1, -1):
-        b = _ratio(b + emission[:, t + 1], transition.T)
-        backward[:, t] = b
-    return forward, backward, 1 / (1 + np.exp(-np.clip(forward + backward, -60, 60)))
-
-
-def chains(lengths: np.ndarray, values: np.ndarray, fill: float, chain: int = CHAIN) -> tuple[np.ndarray, np.ndarray]:
-    """Values of consecutive documents laid out as rows of ``chain``, and each value's flat place."""
-    rows = -(-lengths // chain)
-    first = np.concatenate([[0], np.cumsum(rows)[:-1]]) * chain
+    ahead = np.append(first[1:], True)  # whether the next row begins another chain
+
+    def run(rows: np.ndarray, entering: np.ndarray, out: np.ndarray | None) -> np.ndarray:
+        r = emission[rows, 0] + np.where(first[rows], 0.0, _ratio(entering, t))
+        for k in range(length):
+            if k:
+                r = emission[rows, k] + np.where(real[rows, k - 1], _ratio(r, t), 0.0)
+            if out is not None:
+                out[:, k] = r
+        return r
+
+    entering, last = np.zeros(n), np.zeros(n)
+    heads = np.flatnonzero(first & ~ahead)
+    if len(heads):
+        last[heads] = run(heads, entering[heads], None)
+        inner = np.flatnonzero(~first & ~ahead)  # whole rows between others of their chain
+        e = np.exp(t - t.max())
+        a, b, c, d = np.zeros(len(inner)), np.ones(len(inner)), np.ones(len(inner)), np.zeros(len(inner))
+        for k in range(length):  # the map is x -> (a + b x) / (c + d x)
+            w = np.exp(np.clip(emission[inner, k], -30, 30))
+            a, b, c, d = w * (e[0, 1] * c + e[1, 1] * a), w * (e[0, 1] * d + e[1, 1] * b), e[0, 0] * c + e[1, 0] * a, e[0, 0] * d + e[1, 0] * b
+            top = np.maximum(np.maximum(a, b), np.maximum(c, d))
+            a, b, c, d = a / top, b / top, c / top, d / top
+        place = np.full(n, -1)
+        place[inner] = np.arange(len(inner))
+        depth = np.arange(n) - np.maximum.accumulate(np.where(first, np.arange(n), 0))
+        later = np.flatnonzero(~first)
+        later = later[np.argsort(depth[later], kind="stable")]
+        for rows in np.split(later, np.flatnonzero(np.diff(depth[later])) + 1):
+            entering[rows] = last[rows - 1]
+            on = rows[place[rows] >= 0]
+            k, x = place[on], np.exp(np.clip(entering[on], -30, 30))
+            last[on] = np.log((a[k] + b[k] * x) / (c[k] + d[k] * x))
+    out = np.empty((n, length))
+    run(np.arange(n), entering, out)
+    return out
+
+
+def marginals(emission: np.ndarray, transition: np.ndarray, real: np.ndarray | None = None, first: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log odds of state 1 before and after each token, and its marginal.
+
+    Without ``first`` every row is a chain; ``real`` is false at the padding that ends a chain's last row.
+    """
+    real = np.ones(emission.shape, bool) if real is None else real
+    first = np.ones(len(emission), bool) if first is None else first
+    forward = _carried(emission, transition, real, first)
+    # from behind, the same with the transitions turned round
+    last = np.append(first[1:], True)
+    behind = _carried(emission[::-1, ::-1], transition.T, real[::-1, ::-1], last[::-1])[::-1, ::-1]
+    return forward, behind - emission, 1 / (1 + np.exp(-np.clip(forward + behind - emission, -60, 60)))
+
+
+def rows_of(lengths: np.ndarray, width: int = ROW) -> tuple[np.ndarray, np.ndarray]:
+    """Where the values of consecutive chains go in rows of ``width`` (flat), and which rows begin a chain."""
+    rows = -(-lengths // width)
+    begin = np.concatenate([[0], np.cumsum(rows)])
     starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-    place = np.arange(len(values)) + np.repeat(first - starts, lengths)
-    table = np.full(int(rows.sum()) * chain, fill)
-    table[place] = values
-    return table.reshape(-1, chain), place
+    place = np.arange(int(lengths.sum())) + np.repeat(begin[:-1] * width - starts, lengths)
+    first = np.zeros(int(begin[-1]), bool)
+    first[begin[:-1][rows > 0]] = True
+    return place, first
 
 
 @dataclass
@@ -125,37 +173,44 @@ class Tagger:
         if not lengths.sum():
             return [np.zeros(0)] * len(texts), lengths
         flat = np.concatenate([self.emissions(s) for s in split if s])
-        table, place = chains(lengths, flat, -20.0)
-        held = marginals(table, self.transition)[2].reshape(-1)[place]
+        place, first = rows_of(lengths)
+        table, real = np.zeros(len(first) * ROW), np.zeros(len(first) * ROW, bool)
+        table[place], real[place] = flat, True
+        held = marginals(table.reshape(-1, ROW), self.transition, real.reshape(-1, ROW), first)[2].reshape(-1)[place]
         return np.split(held, np.cumsum(lengths)[:-1]), lengths
 
     def scores(self, texts: list[str]) -> np.ndarray:
+        return self.scored(texts)[0]
+
+    def scored(self, texts: list[str]) -> tuple[np.ndarray, list[list[tuple[int, int, float]]]]:
+        """Score and offending spans of each text."""
         found, _ = self.token_marginals(texts)
-        return 1 / (1 + np.exp(-np.clip(document_features(found) @ self.document, -40, 40)))
-
-    def spans(self, text: str) -> list[tuple[int, int, float]]:
-        """(start, end, probability) in code points of the tokens tagged toxic, neighbours joined."""
-        p = self.token_marginals([text])[0][0]
-        out: list[tuple[int, int, float]] = []
-        if not len(p) or p.max() < SPAN:
-            return out
-        last = -2
-        at = 0
-        for i, token in enumerate(text.split()):
-            at = text.index(token, at)
-            if p[i] >= SPAN:
-                if last == i - 1:
-                    out[-1] = (out[-1][0], at + len(token), max(out[-1][2], float(p[i])))
-                else:
-                    out.append((at, at + len(token), float(p[i])))
-                last = i
-            at += len(token)
+        score = 1 / (1 + np.exp(-np.clip(document_features(found) @ self.document, -40, 40)))
+        return score, [spans_of(t, m) for t, m in zip(texts, found, strict=True)]
+
+
+def spans_of(text: str, p: np.ndarray) -> list[tuple[int, int, float]]:
+    """(start, end, probability) in code points of the tokens tagged toxic, neighbours joined."""
+    out: list[tuple[int, int, float]] = []
+    if not len(p) or p.max() < SPAN:
         return out
+    last = -2
+    at = 0
+    for i, token in enumerate(text.split()):
+        at = text.index(token, at)
+        if p[i] >= SPAN:
+            if last == i - 1:
+                out[-1] = (out[-1][0], at + len(token), max(out[-1][2], float(p[i])))
+            else:
+                out.append((at, at + len(token), float(p[i])))
+            last = i
+        at += len(token)
+    return out
 
 
 def document_features(found: list[np.ndarray]) -> np.ndarray:
-    """Intercept, log of the expected number of toxic tokens, and the greatest marginal."""
-    rows = [(1.0, float(np.log1p(m[m >= COUNTED].sum())), float(m.max())) if len(m) else (1.0, 0.0, 0.0) for m in found]
+    """Intercept, log of the sum of squared marginals (tokens count as far as they are sure), and the greatest."""
+    rows = [(1.0, float(np.log1p(np.square(m).sum())), float(m.max())) if len(m) else (1.0, 0.0, 0.0) for m in found]
     return np.array(rows).reshape(-1, 3)
 
 
@@ -212,34 +267,38 @@ def train(texts: list[str], toxic: np.ndarray, weight: np.ndarray | None = None,
     marks = np.repeat(toxic, lengths)
     del split
     label = marks & cue[ids] if len(ids) else np.zeros(0, bool)
-    table, place = chains(lengths, ids.astype(float), -1.0)
-    table = table.astype(np.int64)
-    truth = np.zeros(table.size, bool)
-    truth[place] = label
-    truth = truth.reshape(table.shape)
-    # all chains with a toxic token, and every fourth of the others
-    used = truth.any(1) | (np.arange(len(table)) % 4 == 0)
-    table, truth = table[used], truth[used]
+    fits = np.zeros(len(toxic), bool)
+    for y in (True, False):
+        fits[np.flatnonzero(toxic == y)[:FIELD_DOCS]] = True
+    inside = np.repeat(fits, lengths)
+    ids, label, lengths = ids[inside], label[inside], lengths[fits]
+    place, first = rows_of(lengths)
+    table, truth = np.full(len(first) * ROW, -1), np.zeros(len(first) * ROW, bool)
+    table[place], truth[place] = ids, label
+    table, truth = table.reshape(-1, ROW), truth.reshape(-1, ROW)
     real = table >= 0
     at = np.where(real, table, 0)
+    # neighbours within a row, and from a row's end to the next row of its chain
+    on = np.flatnonzero(~first)
+    left, right = (lambda x: np.concatenate([x[:, :-1].ravel(), x[on - 1, -1]])), (lambda x: np.concatenate([x[:, 1:].ravel(), x[on, 0]]))
+    both = left(real) & right(real)
+    seen = np.array([(both & (left(truth) == i) & (right(truth) == j)).sum() for i in (0, 1) for j in (0, 1)])
     weights, transition, bias = np.zeros(1 << BITS), np.zeros((2, 2)), -3.0
     g2, t2, b2 = np.full(1 << BITS, 1e-6), np.full((2, 2), 1e-6), 1e-6
     scale = 1.0 / max(1, int(truth.sum()))
     for _ in range(rounds):
         emit = bias + np.bincount(owner, weights[flat], len(counts))
-        emission = np.where(real, emit[at], -20.0)
-        forward, backward, p = marginals(emission, transition)
+        emission = np.where(real, emit[at], 0.0)
+        forward, backward, p = marginals(emission, transition, real, first)
         miss = np.where(real, truth - p, 0.0)
         by_word = np.bincount(at.ravel(), miss.ravel(), len(counts))
         g = np.bincount(flat, by_word[owner], 1 << BITS) * scale - l2 * weights
         # expected transitions from pair marginals
-        ahead = backward[:, 1:] + emission[:, 1:]
-        pair = np.stack([transition[i, j] + i * forward[:, :-1] + j * ahead for i in (0, 1) for j in (0, 1)])
+        before, ahead = left(forward)[both], right(backward + emission)[both]
+        pair = np.stack([transition[i, j] + i * before + j * ahead for i in (0, 1) for j in (0, 1)])
         pair = np.exp(pair - pair.max(0))
         pair /= pair.sum(0)
-        both = real[:, 1:] & real[:, :-1]
-        seen = [(both & (truth[:, :-1] == i) & (truth[:, 1:] == j)).sum() for i in (0, 1) for j in (0, 1)]
-        gt = (np.array(seen) - (pair * both).sum((1, 2))).reshape(2, 2) * scale - l2 * transition
+        gt = (seen - pair.sum(1)).reshape(2, 2) * scale - l2 * transition
         gb = float(miss.sum()) * scale
         g2 += g * g
         t2 += gt * gt
@@ -277,7 +336,8 @@ def train_on(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> Tagg
     ways = [known.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for y in (0, 1)]
     chosen = ways[0].unionByName(ways[1])  # 2 * most rows at most
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
-    rows = texts.dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
+    # of several texts with one doc_id the least
+    rows = texts.groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"), F.max("toxic").alias("toxic")).orderBy("doc_id").collect()
     toxic, known_texts = np.array([r["toxic"] == 1 for r in rows], bool), [r["text"] or "" for r in rows]
     if not len(rows) or toxic.all() or not toxic.any():
         odds = -40.0 if not len(rows) or not toxic.any() else 40.0
@@ -288,30 +348,33 @@ def train_on(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> Tagg
     return train(known_texts, toxic, weight)
 
 
-def score_documents(docs: DataFrame, tagger: Tagger) -> DataFrame:
-    """doc_id, held_out, score and predicted of every document."""
+def tagged(docs: DataFrame, tagger: Tagger) -> DataFrame:
+    """doc_id, score and spans (start and end in code points, probability) of every document."""
     spark = prepare(docs.sparkSession)
     shared = spark.sparkContext.broadcast(tagger)
 
-    def scored(texts: pd.Series) -> pd.Series:
-        claim("toxicity")
-        return pd.Series(shared.value.scores(["" if t is None else t for t in texts]))
+    def tag(texts: pd.Series) -> pd.DataFrame:
+        held = shared.value
+        claim("toxicity", held.known.clear)
+        score, spans = held.scored(["" if t is None else t for t in texts])
+        return pd.DataFrame({"score": score, "spans": [[dict(zip(("start", "end", "probability"), x, strict=True)) for x in s] for s in spans]})
 
-    score = pandas_udf(scored, "double")(F.col("text").cast("string"))
-    held = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"))
-    return held.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+    kind = "score double, spans array<struct<start:int,end:int,probability:double>>"
+    # nondeterministic: no plan may evaluate it twice
+    found = docs.select("doc_id", pandas_udf(tag, kind).asNondeterministic()(F.col("text").cast("string")).alias("__t"))
+    return found.select("doc_id", "__t.score", "__t.spans")
 
 
-def toxic_spans(docs: DataFrame, tagger: Tagger) -> DataFrame:
-    """doc_id and spans (start, end in code points, probability) of every document with a toxic span."""
-    spark = prepare(docs.sparkSession)
-    shared = spark.sparkContext.broadcast(tagger)
+def score_documents(docs: DataFrame, tagger: Tagger) -> DataFrame:
+    """doc_id, held_out, score, predicted and offsets (of the offending spans, "start-end ...") of every document."""
+    offsets = F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), " ")
+    out = tagged(docs, tagger).withColumns({"held_out": held_out(F.col("doc_id")), "predicted": (F.col("score") >= THRESHOLD).cast("int"), "offsets": offsets})
+    return out.select("doc_id", "held_out", "score", "predicted", "offsets")
 
-    def tagged(texts: pd.Series) -> pd.Series:
-        return pd.Series([shared.value.spans(t) if t else [] for t in texts])
 
-    kind = "array<struct<start:int,end:int,probability:double>>"
-    return docs.select("doc_id", pandas_udf(tagged, kind)(F.col("text").cast("string")).alias("spans")).where(F.size("spans") > 0)
+def toxic_spans(docs: DataFrame, tagger: Tagger) -> DataFrame:
+    """doc_id and spans (start, end in code points, probability) of every document with a toxic span."""
+    return tagged(docs, tagger).where(F.size("spans") > 0).select("doc_id", "spans")
 
 
 def op9_toxicity(spark, sf_dir: str) -> DataFrame:
