@@ -7,6 +7,7 @@ import struct
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -151,26 +152,60 @@ def test_cutoffs_are_certified_per_stratum(spark):
     rng = random.Random(4)
     clean = lambda i: " ".join(f"w{rng.randrange(10**6)}" for _ in range(30))
     junk = lambda i: " ".join(f"w{rng.randrange(10**6)}###" for _ in range(30))
-    rows = [(i, clean(i) if i % 10 else junk(i), "en" if i < 6000 else "de", "s", 1) for i in range(6300)]
-    labels = spark.createDataFrame([(i, int(i % 10 > 0), 0) for i in range(6300)] + [(None, 1, 0), (1, None, None), (10**9, 1, 0)], "doc_id long, quality int, toxic int")
+    rows = [(i, clean(i) if i % 10 else junk(i), "en" if i < 2000 else "fr" if i < 2500 else "de", "s", 1) for i in range(2560)]
+    labels = spark.createDataFrame([(i, int(i % 10 > 0), 0) for i in range(2560)] + [(None, 1, 0), (1, None, None), (10**9, 1, 0)], "doc_id long, quality int, toxic int")
     docs = docs_frame(spark, rows)
-    out = quality.quality_verdicts(docs, labels).groupBy((F.col("doc_id") < 6000).alias("en"), (F.col("doc_id") % 10 == 0).alias("junk")).agg(F.avg(F.col("kept").cast("int")).alias("kept"))
-    kept = {(r["en"], r["junk"]): r["kept"] for r in out.collect()}
+    out = quality.quality_verdicts(docs, labels).groupBy((F.col("doc_id") < 2500).alias("large"), (F.col("doc_id") % 10 == 0).alias("junk")).agg(F.avg(F.col("kept").cast("int")).alias("kept"))
+    kept = {(r["large"], r["junk"]): r["kept"] for r in out.collect()}
     # the small stratum has too few labels to certify any cutoff
     assert kept == {(True, True): 0.0, (True, False): 1.0, (False, True): 1.0, (False, False): 1.0}
     held = quality.keep_good(docs, labels)
-    assert held.columns == docs.columns and held.count() == 6300 - 600
+    assert held.columns == docs.columns and held.count() == 2560 - 250
     assert quality.keep_good(docs_frame(spark, awkward(rng), True), labels).columns[:2] == ["doc_id", "text"]
 
 
+def test_no_documents_no_verdicts(spark):
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(99)], "doc_id long, quality int, toxic int")
+    assert quality.quality_verdicts(docs_frame(spark, []), labels).count() == 0
+    assert quality.keep_good(docs_frame(spark, []), labels).count() == 0
+
+
+def test_texts_are_measured_once(spark, tmp_path):
+    docs_frame(spark, awkward(random.Random(9))).write.parquet(f"file://{tmp_path}/d")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(99)], "doc_id long, quality int, toxic int")
+    plan = quality.keep_good(spark.read.parquet(f"file://{tmp_path}/d"), labels)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
+def test_false_rejection_stays_within_its_bound():
+    """Repeated holdouts: how often a choice in use truly rejects more than alpha is at most delta."""
+    rng = np.random.default_rng(8)
+    levels, alpha, delta = quality.LEVELS, 0.05, 0.05
+    # the true share of good documents at each level; the base rules reject 2 %
+    true = np.concatenate([[0.02], np.full(8, 0.006), np.zeros(levels - 8), [0.0]])
+    true[-1] = 1 - true.sum()
+    broken, used = 0, 0
+    for _ in range(2000):
+        good = rng.multinomial(400, true).tolist()
+        bad = [0, *[5] * 8, *[0] * (levels - 7)]
+        k = quality.choose_levels(good[0], good[1:], bad[1:], alpha, delta)
+        used += k > 0
+        broken += k > 0 and true[: k + 1].sum() > alpha
+    assert used > 200 and broken <= 2000 * delta + 3 * (2000 * delta) ** 0.5
+
+
 def test_binomial_bounds_are_exact():
     from math import comb
 
     for n, p in ((7, 0.3), (40, 0.02)):
         for x in range(n):
             assert abs(quality.binomial_cdf(x, n, p) - sum(comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(x + 1))) < 1e-9
-    assert quality.safe_cutoff([0, 0, 500], 5000, 0.01, 0.05, (3, 2, 1)) == 2
-    assert quality.safe_cutoff([0], 10, 0.01, 0.05, (1,)) is None and quality.safe_cutoff([0], 0, 0.5, 0.5, (1,)) is None
+    rest = [0] * (quality.LEVELS - 3)
+    assert quality.certified_levels(0, [0, 0, 500, *rest, 4500], 0.01, 0.05) == 2
+    assert quality.certified_levels(60, [0, 0, 0, *rest, 4940], 0.01, 0.05) == 0  # the base rules alone exceed the bound
+    assert quality.certified_levels(0, [0, 0, 0, *rest, 10], 0.01, 0.05) == 0 and quality.certified_levels(0, [0], 0.5, 0.5) == 0
+    assert quality.choose_levels(0, [1, 3, 0, *rest, 5000], [9, 2, 0, *rest, 9], 0.05, 0.05) == 1
+    assert quality.tested_strata({"a": 1000, "b": 70, "c": 60}, 0.05, 0.05) == ["a"] and quality.tested_strata({"c": 58}, 0.05, 0.05) == []
 
 
 PAGES = "page_id long, url string, html string"
@@ -205,6 +240,28 @@ def test_warc_archive(spark):
     assert warc.read_archive(spark, empty).count() == 0
 
 
+def test_warc_headers_keep_to_their_lines(spark):
+    """Line ends of any kind in a url make no header fields."""
+    bad = ["\u2028", "\u2029", "\x85", "\r\n", "\n", "\x0b"]
+    rows = [(i, f"http://h/{c}WARC-Refers-To: <urn:page:77>{c}WARC-Type: revisit", f"<p>{i // 2}</p>") for i, c in enumerate(bad)]
+    folder = scratch_path(spark, "test-warc")
+    warc.write_archive(spark.createDataFrame(rows, PAGES), folder)
+    records = warc.read_archive(spark, folder)
+    got = {r["page_id"]: (r["record_type"], r["refers_to"]) for r in warc.archive_report(records).collect()}
+    assert got == {i: ("revisit", i - 1) if i % 2 else ("response", None) for i in range(6)}
+    assert {r["page_id"]: r["url"] for r in records.collect()} == {i: u for i, u, _ in rows}
+
+
+def test_warc_report_comes_from_rebuilt_records(spark):
+    rows = [(1, "u", "<p>é</p>"), (2, None, "<p>é</p>"), (3, "u", None), (None, "x", "q"), (None, "y", "q")]
+    folder = scratch_path(spark, "test-warc")
+    warc.write_archive(spark.createDataFrame(rows, PAGES), folder)
+    got = Counter(tuple(r) for r in warc.archive_report(warc.read_archive(spark, folder)).collect())
+    sha = lambda t: base64.b32encode(hashlib.sha1(t.encode()).digest()).decode()
+    one, q = "<p>é</p>", sha("q")
+    assert got == Counter([(1, 9, sha(one), "response", None), (2, 9, sha(one), "revisit", 1), (3, 0, sha(""), "response", None), (None, 1, q, "response", None), (None, 1, q, "revisit", None)])
+
+
 def test_warc_small_payloads_are_all_responses(spark):
     folder = scratch_path(spark, "test-warc")
     warc.write_archive(spark.createDataFrame([(i, "u", "ab" if i % 2 else "abcdefgh") for i in range(6)], PAGES), folder, min_bytes=5)

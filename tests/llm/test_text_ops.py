@@ -211,11 +211,11 @@ def test_passages_are_found_with_words_replaced_and_clean_text_is_left(spark):
     rows += [(113, items[5][1], "en", "s", 1), (114, items[-1][1], "en", "s", 1), *awkward(rng)]
     benchmark = spark.createDataFrame(items, BENCHMARK)
     out = decontaminate.contaminated(docs_frame(spark, rows, True), benchmark).collect()
-    assert {(r["doc_id"], r["item_id"]) for r in out} == {(i, k) for i, k, _ in plants} | {(110, 0), (111, 6), (114, None)}
+    assert {(r["doc_id"], r["item_id"]) for r in out} == {(i, k) for i, k, _ in plants} | {(110, 0), (111, 6), (113, 5), (114, None)}
     docs = docs_frame(spark, rows)
     kept = decontaminate.drop_contaminated(docs, benchmark)
     assert kept.columns == docs.columns
-    assert Counter(r["doc_id"] for r in kept.collect()) == Counter(r[0] for r in rows if r[0] not in {i for i, _, _ in plants} | {110, 111, 114})
+    assert Counter(r["doc_id"] for r in kept.collect()) == Counter(r[0] for r in rows if r[0] not in {i for i, _, _ in plants} | {110, 111, 113, 114})
 
 
 @pytest.mark.parametrize("n", range(6, 18))
@@ -236,14 +236,56 @@ def test_benchmark_blocks_find_the_same(spark, monkeypatch):
     items = [(i, words(rng, 30, 10**6)) for i in range(12)]
     rows = [(i, f"{words(rng, 20)} {t} {words(rng, 20)}", "en", "s", 1) for i, t in items]
     benchmark, docs = spark.createDataFrame(items, BENCHMARK), docs_frame(spark, rows)
-    assert len(list(decontaminate.blocks_of(benchmark, 100))) == 4
-    monkeypatch.setattr(decontaminate.blocks_of, "__defaults__", (100,))
+    assert len(list(decontaminate.blocks_of(benchmark, 800))) == 4
+    lines = spark.createDataFrame([(i, t.replace(" ", "\n")) for i, t in items], BENCHMARK)
+    assert len(list(decontaminate.blocks_of(lines, 800))) == 4  # the size does not depend on blanks
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 800)
     assert {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs, benchmark).collect()} == {(i, i) for i, _ in items}
     empty = spark.createDataFrame([], BENCHMARK)
     assert decontaminate.contaminated(docs, empty).count() == 0 and decontaminate.drop_contaminated(docs, empty).count() == 12
     assert decontaminate.contaminated(docs_frame(spark, []), benchmark).count() == 0
 
 
+@pytest.mark.parametrize("n", range(1, 6))
+def test_short_items_are_found_whole_only(n):
+    item = [f"t{i}" for i in range(n)]
+    index = decontaminate.SeedIndex([(7, " ".join(item)), (8, " ".join(item)), (9, "")])
+    filler = " ".join(f"f{i}" for i in range(9))
+    hit, broken = f"{filler} {' '.join(item)} {filler}", f"{filler} {' '.join([*item[:-1], 'x'])} {filler}"
+    (found,), none, alone = index.find([hit, broken, " ".join(item)])
+    assert found[1:] == (9, 9 + n, 0, n) and index.ids[found[0]] == [7, 8] and not none and alone
+
+
+def brute_hits(docs, items):
+    """Every document and item with a window of the item's words that agrees well enough, by trying all shifts."""
+    out = set()
+    for d, text in docs:
+        a = decontaminate.WORD.findall((text or "").lower())
+        for i, item in items:
+            b = decontaminate.WORD.findall((item or "").lower())
+            need = min(decontaminate.WINDOW, len(b))
+            least = (decontaminate.SHARE if need >= decontaminate.MIN_WORDS else 1) * need
+            if any(sum(x == y for x, y in zip(a[s : s + need], b[k : k + need], strict=False)) >= least for k in range(len(b) - need + 1) for s in range(len(a) - need + 1) if need):
+                out.add((d, i))
+    return out
+
+
+def test_contamination_matches_brute_force(spark):
+    rng = random.Random(31)
+    items = [(i, words(rng, n, 60)) for i, n in enumerate([3, 5, 6, 8, 11, 15, 16, 20, 30])] + [(20, None), (21, "")]
+    rows = []
+    for i in range(60):
+        w = words(rng, rng.randrange(0, 60), 60).split()
+        src = rng.choice(items[:9])[1].split()
+        a = rng.randrange(len(src))
+        part = [x if rng.random() > 0.15 else "zz" for x in src[a : a + rng.randrange(4, 25)]]
+        at = rng.randrange(len(w) + 1)
+        rows.append((i, " ".join(w[:at] + part + w[at:]), "en", "s", 1))
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs_frame(spark, rows), spark.createDataFrame(items, BENCHMARK)).collect()}
+    want = brute_hits([r[:2] for r in rows], items)
+    assert got == want and len(want) > 10
+
+
 # ---- main text
 
 SHELL = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var a="</p>";</script></head><body>
@@ -289,6 +331,32 @@ def test_importance_follows_entropy(spark):
     assert held[f"{body}>div.col"]["pages"] == 10
 
 
+@pytest.mark.parametrize(
+    ("page", "found"),
+    [("<a " * 300_000, 1), ("<div>" * 100_000 + "deep", 1), ("<a \"" * 200_000, 1), ("<a '\"" * 150_000, 1), ("<div>" * 50_000 + "</p>" * 50_000, 0), ("<script>" * 100_000, 0), ("<!x " * 200_000, 1), ("<div>x" * 30_000, 30_000)],
+)
+def test_hostile_pages_take_linear_time_and_memory(page, found):
+    import time
+    import tracemalloc
+
+    began = time.process_time()
+    assert len(html_text.blocks(page)[0]) == found
+    assert time.process_time() - began < 20
+    tracemalloc.start()
+    html_text.blocks(page[: len(page) // 8])
+    assert tracemalloc.get_traced_memory()[1] < 200 * len(page)
+    tracemalloc.stop()
+
+
+def test_small_hosts_lean_on_the_corpus(spark):
+    rng = random.Random(13)
+    pages = [(i, f"http://h{i // 10 if i < 40 else i}/", SHELL.format(i=i, text=words(rng, 30, 10**6))) for i in range(44)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    out = {r["page_id"]: r["text"] for r in html_text.extract_main_text(df).collect()}
+    # hosts of one page lose the column that is boilerplate on all other hosts, and keep their text
+    assert all("All rights" not in t and "Second" in t for t in out.values())
+
+
 # ---- toxicity
 
 
@@ -316,7 +384,7 @@ def test_toxic_documents_are_scored_and_tagged(spark):
     unseen = [r for r in out if r["held_out"]]
     assert sum(r["predicted"] == int(r["doc_id"] % 5 == 0) for r in unseen) >= 0.98 * len(unseen)
     text = "w1 w2 idiot! scumbag w3 " + words(rng, 30)
-    (span,) = tagger.spans(text)
+    (span,) = tagger.scored([text])[1][0]
     assert text[span[0] : span[1]] == "idiot! scumbag" and span[2] > 0.5
     spans = toxicity.toxic_spans(docs, tagger).count()
     assert 150 <= spans <= 200
@@ -341,3 +409,15 @@ def test_marginals_match_enumeration():
             total += weight * np.array(y)
             norm += weight
         assert np.allclose(total / norm, p)
+
+
+def test_long_chains_are_not_cut():
+    rng = np.random.default_rng(14)
+    t, lengths = rng.normal(size=(2, 2)) * 2, np.array([1, 300, 0, 64, 65, 128, 7, 1000])
+    chains = [rng.normal(size=n) * 2 for n in lengths]
+    place, first = toxicity.rows_of(lengths, 16)
+    table, real = np.full(len(first) * 16, 9.0), np.zeros(len(first) * 16, bool)
+    table[place], real[place] = np.concatenate(chains), True
+    got = toxicity.marginals(table.reshape(-1, 16), t, real.reshape(-1, 16), first)[2].reshape(-1)[place]
+    want = [toxicity.marginals(c[None, :], t)[2][0] for c in chains if len(c)]
+    assert np.allclose(got, np.concatenate(want), atol=1e-9)
