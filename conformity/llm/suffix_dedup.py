@@ -423,7 +423,7 @@ def _with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
 
 
 def dedup_report(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every document."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and repeated (whether bytes were removed) of every document."""
     joined = _with_spans(docs.select("doc_id", F.col("text").cast("string").alias("text")), repeated_spans(docs))
 
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -438,7 +438,8 @@ def dedup_report(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     narrow = joined.select(F.col("__row.doc_id").cast("long").alias("doc_id"), F.col("__row.text").alias("text"), "spans")
-    return narrow.mapInArrow(report, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    found = narrow.mapInArrow(report, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return found.withColumn("repeated", F.col("n_removed") > 0)
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
