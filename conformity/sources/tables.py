@@ -15,13 +15,17 @@ from ..model import table_schema
 
 
 def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at a path, or None if there is none; any other failure is raised."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e.getCondition() if hasattr(e, "getCondition") else e):
-            return None
-        raise
+    """The table at a path, or None if there is none; any other failure is raised.
+
+    A table that a run has moved aside, and did not live to replace, is read where it is.
+    """
+    for at in (path, _aside(path)):
+        try:
+            return spark.read.parquet(at)
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e.getCondition() if hasattr(e, "getCondition") else e):
+                raise
+    return None
 
 
 def empty_table(spark: SparkSession, model: dict[str, Any], table: str) -> DataFrame:
@@ -57,21 +61,60 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: list[str]) -
     for k in keys:
         usable = usable & F.col(k).isNotNull()
     require([(source.where(usable).groupBy(*keys).count(), F.col("count") > 1, f"Several source rows share a merge key {keys}")])
+    recover(spark, path)
     staged = f"{path}__staged-{uuid.uuid4().hex}"
     merged(read_or_none(spark, path), source, keys).write.parquet(staged)
     swap(spark, staged, path)
 
 
+def _aside(path: str) -> str:
+    return f"{path.rstrip('/')}__old"
+
+
+def _rename(fs, source, target) -> None:
+    """Rename a folder to a name that is free. Hadoop reports most failures by its result, and moves a folder
+    into one that exists."""
+    if fs.exists(target) or not fs.rename(source, target):
+        raise OSError(f"{source} cannot be renamed to {target}")
+
+
+def _files(spark: SparkSession, *paths: str):
+    """The file system of the first path, and all as its paths."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    at = [hadoop.Path(p) for p in paths]
+    return at[0].getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), *at
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish what a run that died in ``swap`` began: without a table its former state comes back, and a
+    former state beside a table goes."""
+    fs, at, old = _files(spark, path, _aside(path))
+    if fs.exists(old):
+        if fs.exists(at):
+            fs.delete(old, True)
+        else:
+            _rename(fs, old, at)
+
+
 def swap(spark: SparkSession, staged: str, path: str) -> None:
-    """Put a complete folder in the place of another by renames on their file system."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    new, at = jvm.org.apache.hadoop.fs.Path(staged), jvm.org.apache.hadoop.fs.Path(path)
-    old = jvm.org.apache.hadoop.fs.Path(f"{path}__old-{uuid.uuid4().hex}")
-    fs = at.getFileSystem(conf)
-    if fs.exists(at):
-        fs.rename(at, old)
-    fs.rename(new, at)
-    fs.delete(old, True)
+    """Put a complete folder in the place of another by renames on their file system.
+
+    The former table is deleted only after the new one is in its place; if it cannot be put there, the former
+    one comes back and the error is raised.
+    """
+    recover(spark, path)
+    fs, at, old, new = _files(spark, path, _aside(path), staged)
+    held = fs.exists(at)
+    if held:
+        _rename(fs, at, old)
+    try:
+        _rename(fs, new, at)
+    except Exception:
+        if held:
+            _rename(fs, old, at)
+        raise
+    if held:
+        fs.delete(old, True)
 
 
 def join_sources(frames: list[DataFrame], on: list[Any] | None, how: str = "inner") -> DataFrame:
