@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -23,6 +24,40 @@ def require(checks: Iterable[Check]) -> None:
         raise ValueError(checks[min(r["i"] for r in failed)][2])
 
 
+@dataclass(frozen=True)
+class Rule:
+    """What must not occur among the rows of a frame or, with ``by``, among its groups by that column (rows
+    where it is null are in none); ``values`` are the groups' aggregates that ``bad`` reads."""
+
+    bad: Column
+    message: str
+    by: str | None = None
+    values: dict[str, Column] = field(default_factory=dict)
+
+
+def require_rules(df: DataFrame, rules: Iterable[Rule], also: Iterable[Check] = ()) -> None:
+    """Check all rules in a single job with one aggregation per grouping; raise the first that is broken.
+
+    ``df`` should be held: it is read once per grouping. ``also``: checks of other frames, after the rules.
+    """
+    rules, also = list(rules), list(also)
+    parts = []
+    for by in dict.fromkeys(r.by for r in rules):
+        mine = [(i, r) for i, r in enumerate(rules) if r.by == by]
+        held = df
+        if by is not None:
+            held = df.where(F.col(by).isNotNull()).groupBy(by).agg(*[c.alias(n) for n, c in {n: c for _, r in mine for n, c in r.values.items()}.items()])
+        counts = held.agg(*[F.count_if(r.bad).alias(f"n{i}") for i, r in mine])
+        parts.append(counts.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"n{i}").alias("n")) for i, _ in mine])).alias("c")).select("c.*"))
+    for i, (frame, bad, _) in enumerate(also, len(rules)):
+        parts.append(frame.agg(F.count_if(bad).alias("n")).select(F.lit(i).alias("i"), "n"))
+    if not parts:
+        return
+    failed = reduce(DataFrame.unionByName, parts).where("n > 0").collect()  # at most one row per rule
+    if failed:
+        raise ValueError([*[r.message for r in rules], *[message for _, _, message in also]][min(r["i"] for r in failed)])
+
+
 def same_rows(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows that two frames hold a different number of times (multiset difference both ways)."""
     return a.exceptAll(b).unionByName(b.exceptAll(a))

@@ -1,7 +1,8 @@
 """Auditable deduplication: matchers group rows, selectors name each group's winner.
 
 Internally a row's identity and members are structs-as-JSON of few columns; a whole row's JSON exists only
-as the record that matching versions and auditing need. Each step makes its checks in one job.
+as the record that matching versions and auditing need. A step's decisions are held, and all its checks read
+them in one job with one aggregation per grouping.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..checks import Check, require, same_rows
+from ..checks import Check, Rule, require_rules, same_rows
 from ..context import RunContext
 from ..evidence import KEEP_NULLS, as_json
 from ..functions.keys import NORMALIZERS, identity_json, is_usable
@@ -24,6 +25,8 @@ from ..registry import REGISTRY, Registry
 SOURCE, EVIDENCE = "__mm_dedup_source", "__mm_dedup_evidence"
 MATCH = ("__dd_group", "__dd_member", "__dd_role", "__dd_inputs")
 CHOICE = ("__dd_winner", "__dd_selection")
+#: Columns of this prefix serve rules and go once these are checked.
+PROBE = "__dd_probe_"
 
 
 @dataclass(frozen=True)
@@ -31,7 +34,12 @@ class Annotated:
     """Rows with a matcher's or selector's columns, and what must not occur in them."""
 
     rows: DataFrame
-    checks: tuple[Check, ...] = ()
+    rules: tuple[Rule, ...] = ()
+
+
+def _differ(name: str, by: str, value: Column, message: str) -> Rule:
+    """A group's values must be one; null is none."""
+    return Rule(F.col(f"{name}_lo") != F.col(f"{name}_hi"), message, by, {f"{name}_lo": F.min(value), f"{name}_hi": F.max(value)})
 
 
 def _match(df: DataFrame, group: Column, member: Column, role: Column, inputs: Column) -> DataFrame:
@@ -81,13 +89,10 @@ def normalized_key(df: DataFrame, params: dict[str, Any], ctx: RunContext) -> An
     group = F.when(complete, as_json([*[(c, F.col(c)) for c in scope], *[(f"key_{i}", c) for i, c in enumerate(normal)]]))
     used = list(dict.fromkeys([*scope, *[k["field"] for k in keys], *agree]))
     out = _match(df, group, F.col("__dd_identity"), F.lit("candidate"), identity_json(used))
-    checks: list[Check] = [(df.groupBy("__dd_identity").count(), F.col("count") > 1, "Source versions must be resolved before business keys are matched")]
-    if agree:
-        # null counts as a value: a struct of a null is not null
-        kinds = [F.count_distinct(F.to_json(F.struct(c), KEEP_NULLS)).alias(f"n{i}") for i, c in enumerate(agree)]
-        held = out.where("__dd_group IS NOT NULL").groupBy("__dd_group").agg(*kinds)
-        checks += [(held, F.col(f"n{i}") > 1, f"Records of one key disagree in a protected field: {c}") for i, c in enumerate(agree)]
-    return Annotated(out, tuple(checks))
+    rules = [Rule(F.col("copies") > 1, "Source versions must be resolved before business keys are matched", "__dd_identity", {"copies": F.count(F.lit(1))})]
+    for i, c in enumerate(agree):  # null counts as a value: a struct of a null is not null
+        rules.append(_differ(f"agree{i}", "__dd_group", F.to_json(F.struct(c), KEEP_NULLS), f"Records of one key disagree in a protected field: {c}"))
+    return Annotated(out, tuple(rules))
 
 
 def _check_reference(params: dict, columns: list[str], identity: list[str]) -> None:
@@ -129,15 +134,16 @@ def external_reference(df: DataFrame, params: dict[str, Any], ctx: RunContext) -
     inputs = as_json([("reference", F.col("__dd_as.ref")), ("unit", F.col("__dd_unit"))])
     out = _match(joined, F.col("__dd_as.link"), F.col("__dd_unit"), F.coalesce("__dd_as.role", F.lit("unmatched")), inputs).drop("__dd_unit", "__dd_as")
     nameless = reduce(lambda a, b: a | b, [~is_usable(F.col(c)) for c in unit])
-    agree = base.where(within[0]).groupBy("__dd_unit").agg(F.count_distinct(F.to_json(F.struct(ref.alias("r")), KEEP_NULLS)).alias("n"))
-    checks: list[Check] = [
-        (df, within[0] & within[1], "The scopes of an external reference overlap"),
-        (df, (within[0] | within[1]) & nameless, "A unit of an external reference has no identity"),
-        (agree, F.col("n") > 1, "Conflicting references within one unit"),
-        (links.groupBy("__dd_from").count(), F.col("count") > 1, "An external reference is not one-to-one"),
-        (links.groupBy("__dd_to").count(), F.col("count") > 1, "An external reference is not one-to-one"),
-    ]
-    return Annotated(out, tuple(checks))
+    claimed = F.when(within[0], F.to_json(F.struct(ref.alias("r")), KEEP_NULLS))
+    referencing = F.when(F.col("__dd_role") == "referencing", F.col("__dd_member"))
+    rules = (
+        Rule(within[0] & within[1], "The scopes of an external reference overlap"),
+        Rule((within[0] | within[1]) & nameless, "A unit of an external reference has no identity"),
+        _differ("claimed", "__dd_member", claimed, "Conflicting references within one unit"),
+        _differ("linked", "__dd_member", F.col("__dd_group"), "An external reference is not one-to-one"),
+        _differ("referencing", "__dd_group", referencing, "An external reference is not one-to-one"),
+    )
+    return Annotated(out, rules)
 
 
 # ---- selectors
@@ -175,10 +181,10 @@ def ordered(df: DataFrame, params: dict[str, Any], ctx: RunContext) -> Annotated
     used = list(dict.fromkeys(e["field"] for e in params["order_by"]))
     ranked = df.withColumn("__dd_rank", F.rank().over(window))
     whole = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    first = f"{PROBE}first"
     top = F.when(F.col("__dd_rank") == 1, F.col("__dd_member"))
-    out = ranked.withColumns({"__dd_winner": F.first("__dd_member").over(whole), "__dd_selection": identity_json(used)})
-    tied = ranked.groupBy(group.alias("g")).agg(F.count_distinct(top).alias("n"))
-    return Annotated(out.drop("__dd_rank"), ((tied, F.col("n") > 1, "Selection is tied: the ordering needs another key"),))
+    out = ranked.withColumns({"__dd_winner": F.first("__dd_member").over(whole), "__dd_selection": identity_json(used), first: top})
+    return Annotated(out.drop("__dd_rank"), (_differ("first", "__dd_group", F.col(first), "Selection is tied: the ordering needs another key"),))
 
 
 @REGISTRY.add("selection", "referenced_record", description="The referenced unit, with all its lines.", check=_no_params)
@@ -217,27 +223,26 @@ def _collapsed(df: DataFrame, identity: list[str]) -> DataFrame:
     )
 
 
-def _integrity(before: DataFrame, matched: DataFrame, chosen: DataFrame, step: str, strict: bool) -> list[Check]:
-    """One group per member, one existing winner per group, nothing left out; in strict mode the rows
-    themselves are compared too."""
+def _integrity(before: DataFrame, matched: DataFrame, chosen: DataFrame, step: str) -> list[Rule]:
+    """One group per member, one existing winner per group, nothing left out."""
     for given, got, added in ((before, matched, MATCH), (matched, chosen, CHOICE)):
-        if set(got.columns) != set(given.columns) | set(added):
+        if {c for c in got.columns if not c.startswith(PROBE)} != {c for c in given.columns if not c.startswith(PROBE)} | set(added):
             raise ValueError(f"{step}: columns other than {sorted(added)} were added or lost")
     missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in ("__dd_member", "__dd_inputs", *CHOICE)])
     # a member's groups and a group's winners differ exactly if their least and greatest do; null is a group
-    named = F.coalesce(F.col("__dd_group"), F.lit(""))
-    members = chosen.groupBy("__dd_member").agg(F.min(named).alias("lo"), F.max(named).alias("hi"))
     is_winner = F.col("__dd_member") == F.col("__dd_winner")
-    winners = chosen.where("__dd_group IS NOT NULL").groupBy("__dd_group").agg(F.min("__dd_winner").alias("lo"), F.max("__dd_winner").alias("hi"), F.max(is_winner.cast("int")).alias("there"))
-    checks: list[Check] = [
-        (chosen, missing, f"{step}: a member, winner or its evidence is missing"),
-        (members, F.col("lo") != F.col("hi"), f"{step}: a member is in conflicting groups"),
-        (winners, (F.col("lo") != F.col("hi")) | (F.col("there") != 1), f"{step}: a group has no single winner among its members"),
+    return [
+        Rule(missing, f"{step}: a member, winner or its evidence is missing"),
+        _differ("named", "__dd_member", F.coalesce(F.col("__dd_group"), F.lit("")), f"{step}: a member is in conflicting groups"),
+        _differ("winner", "__dd_group", F.col("__dd_winner"), f"{step}: a group has no single winner among its members"),
+        Rule(F.col("there") != 1, f"{step}: a group has no single winner among its members", "__dd_group", {"there": F.max(is_winner.cast("int"))}),
     ]
-    if strict:
-        for given, got, who in ((before, matched, "matcher"), (matched, chosen, "selector")):
-            checks.append((same_rows(got.select(*given.columns), given), F.lit(True), f"{step}: the {who} changed its input rows"))
-    return checks
+
+
+def _unchanged(before: DataFrame, matched: DataFrame, chosen: DataFrame, step: str) -> list[Check]:
+    """The rows themselves as given and as returned."""
+    pairs = ((before, matched, "matcher"), (matched, chosen, "selector"))
+    return [(same_rows(got.select(*given.columns), given), F.lit(True), f"{step}: the {who} changed its input rows") for given, got, who in pairs]
 
 
 def registered_dedup(df: DataFrame, name: str, spec: dict[str, Any], ctx: RunContext, registry: Registry = REGISTRY) -> DataFrame:
@@ -247,7 +252,7 @@ def registered_dedup(df: DataFrame, name: str, spec: dict[str, Any], ctx: RunCon
     if any(c.startswith("__dd_") for c in df.columns):
         raise ValueError("Columns that begin with __dd_ are reserved")
     native, identity = df.columns, spec["identity"]
-    checks: list[Check] = [(df, ~is_usable(F.col(c)), f"Missing dedup identity: {c}") for c in identity]
+    rules = [Rule(~is_usable(F.col(c)), f"Missing dedup identity: {c}") for c in identity]
     rows = ctx.hold(_collapsed(df, identity))
     audits: list[DataFrame] = []
     aliases: dict[tuple[str, ...], DataFrame] = {}
@@ -255,8 +260,7 @@ def registered_dedup(df: DataFrame, name: str, spec: dict[str, Any], ctx: RunCon
         matcher, selector = registry.get("dedup", step["strategy"]), registry.get("selection", step["selection"]["strategy"])
         matched: Annotated = matcher.run(rows, step.get("params", {}), ctx)
         chosen: Annotated = selector.run(matched.rows, step["selection"].get("params", {}), ctx)
-        require([*checks, *matched.checks, *chosen.checks, *_integrity(rows, matched.rows, chosen.rows, step["id"], ctx.strict)])
-        checks = []
+        rules += [*matched.rules, *chosen.rules, *_integrity(rows, matched.rows, chosen.rows, step["id"])]
         decision = as_json(
             [
                 ("run_id", F.lit(ctx.run_id)), ("step", F.lit(step["id"])), ("strategy", F.lit(matcher.ref)), ("selection_strategy", F.lit(selector.ref)),
@@ -267,6 +271,11 @@ def registered_dedup(df: DataFrame, name: str, spec: dict[str, Any], ctx: RunCon
         alone = F.col("__dd_group").isNull()
         kept = alone | (F.col("__dd_member") == F.col("__dd_winner"))
         decided = ctx.hold(chosen.rows.withColumns({"__dd_decision": decision, "__dd_kept": kept}))
+        if step is spec["strategies"][-1]:
+            left = {"left": F.count_if("__dd_kept")}
+            rules.append(Rule(F.col("left") > 1, "Several versions of one row identity are left", "__dd_identity", left))
+        require_rules(decided, rules, _unchanged(rows, matched.rows, chosen.rows, step["id"]) if ctx.strict else ())
+        rules = []
         if matcher.grain is not None:
             grain = tuple(matcher.grain(step.get("params", {}), identity))
             target = F.when(alone, F.col("__dd_member")).otherwise(F.col("__dd_winner"))
@@ -276,7 +285,6 @@ def registered_dedup(df: DataFrame, name: str, spec: dict[str, Any], ctx: RunCon
         audits.append(decided.select(F.lit(step["id"]).alias("step"), "__dd_identity", "__dd_record", "__dd_occurrences", "__dd_decision", outcome.alias("outcome")))
         history = F.concat("__dd_history", F.array("__dd_decision"))
         rows = decided.where("__dd_kept").withColumn("__dd_history", history).select(*rows.columns)
-    require([(rows.groupBy("__dd_identity").count(), F.col("count") > 1, "Several versions of one row identity are left")])
     ctx.audits[name] = reduce(DataFrame.unionByName, audits)
     ctx.aliases[name] = aliases
     evidence = as_json(
