@@ -19,9 +19,10 @@ from ..operators.enrich import enrich
 from ..operators.metrics import add_metrics
 from ..operators.resolve import resolve
 from ..registry import REGISTRY, Registry
-from ..sources.layout import Layout
-from ..sources.tables import load_source, read_or_none, write_json, write_table
+from ..sources.layout import ConfigProvider, Layout
+from ..sources.tables import load_source, read_or_empty, read_or_none, write_json, write_table
 from .catalog import build_catalog
+from .policy import with_policy
 from .validate import validate_tables
 
 Load = Callable[[str, dict[str, Any]], DataFrame]
@@ -65,16 +66,30 @@ def publish(frames: dict[str, DataFrame], tables: dict[str, Any], ctx: RunContex
     return catalog
 
 
-def build(spark, tables: dict[str, Any], layout: Layout, ctx: RunContext | None = None, registry: Registry = REGISTRY) -> dict[str, Any]:
-    """Validate, run over combined silver tables, and publish."""
+def build(
+    spark, tables: dict[str, Any], layout: Layout, ctx: RunContext | None = None, registry: Registry = REGISTRY,
+    provider: ConfigProvider | None = None, model: dict[str, Any] | None = None,
+) -> dict[str, Any]:
+    """Validate, run over combined silver tables, and publish.
+
+    With a ``provider`` the client's policy takes the place of the tables' resolve and dedup sections. With a
+    common ``model``, the tables that metadata marks as optional dimensions (``"optional": true``, by the
+    model's name of the table in ``"model"``) are typed and empty where the client has none.
+    """
     ctx = ctx or RunContext()
     metas = {n: m for n, m in tables.items() if not n.startswith("_")}
+    if provider is not None:
+        metas = with_policy(metas, provider.policy(layout.client))
     validate_tables(metas, registry)
+    optional = {t: m.get("model", t) for m in metas.values() if m.get("optional") for t in m["source"]["tables"]}
     read: dict[str, DataFrame | None] = {}
 
     def table(name: str) -> DataFrame | None:
         if name not in read:
-            read[name] = read_or_none(spark, layout.combined(name))
+            if model is not None and name in optional:
+                read[name] = read_or_empty(spark, layout.combined(name), model, optional[name])
+            else:
+                read[name] = read_or_none(spark, layout.combined(name))
         return read[name]
 
     try:
