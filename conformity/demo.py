@@ -397,6 +397,19 @@ def dedup_normalized_key(spark: SparkSession, d: str) -> DataFrame:
     return _business(spark, d)[0].select("doc_id", "lang", "source", "n_chars")
 
 
+@query(
+    "dedup_must_agree",
+    """SELECT doc_id, lang, n_chars FROM (SELECT *, row_number() OVER (PARTITION BY lang, text ORDER BY doc_id) AS r FROM documents)
+       WHERE r = 1 OR trim(coalesce(text, '')) = '' OR trim(coalesce(lang, '')) = ''""",
+)
+def dedup_must_agree(spark: SparkSession, d: str) -> DataFrame:
+    """Equal texts of a language are one document; that they agree in length is checked."""
+    params = {"scope_by": ["lang"], "keys": [{"field": "text"}], "must_agree": ["n_chars"]}
+    step = {"id": "text", "strategy": "normalized_key", "params": params, "selection": {"strategy": "ordered", "params": {"order_by": [{"field": "doc_id"}]}}}
+    spec = {"identity": ["doc_id"], "allow_identity_merge": True, "strategies": [step]}
+    return _deduplicated(table(spark, d, "documents").select("doc_id", "lang", "n_chars", "text"), spec)[0].select("doc_id", "lang", "n_chars")
+
+
 def _number(c: str) -> Column:
     return identity_field(F.col(c), "doc_id").cast("long")
 
@@ -552,8 +565,10 @@ for _direction, _name in (("asc", "metric_sequence"), ("desc", "metric_sequence_
 def _enriched(strategy: str) -> Query:
     def run(spark: SparkSession, d: str) -> DataFrame:
         ctx = context()
-        ctx.surfaces = {"labels": table(spark, d, "labels").withColumnsRenamed({"doc_id": "label_id", "quality": "q", "toxic": "t"})}
-        documents = table(spark, d, "documents").where("doc_id % 5 <> 0").select("doc_id", "lang")
+        # every seventh label belongs to no document, so that both sides have rows without a partner
+        key = F.when(F.col("doc_id") % 7 == 0, -1 - F.col("doc_id")).otherwise(F.col("doc_id"))
+        ctx.surfaces = {"labels": table(spark, d, "labels").select(key.alias("label_id"), F.col("quality").alias("q"), F.col("toxic").alias("t"))}
+        documents = table(spark, d, "documents").select("doc_id", "lang")
         spec = {"from": "labels", "on": "doc_id", "source_on": "label_id", "bring": {"q": "quality", "t": "toxic"}, "strategy": strategy}
         out = enrich(documents, [spec], ctx)
         return out.select("doc_id", "lang", "quality", "toxic", "quality_source", F.get_json_object("toxic_evidence", "$.inputs").isNotNull().alias("explained"))
@@ -565,7 +580,7 @@ for _join, _name in (("LEFT", "enrich_left"), ("FULL", "enrich_full")):
     query(
         _name,
         f"""SELECT d.doc_id, d.lang, l.quality, l.toxic, CASE WHEN l.doc_id IS NULL THEN 'unmatched' ELSE 'matched' END AS quality_source, true AS explained
-            FROM (SELECT * FROM documents WHERE doc_id % 5 <> 0) d {_join} JOIN labels l ON l.doc_id = d.doc_id""",
+            FROM documents d {_join} JOIN (SELECT * REPLACE (CASE WHEN doc_id % 7 = 0 THEN -1 - doc_id ELSE doc_id END AS doc_id) FROM labels) l ON l.doc_id = d.doc_id""",
     )(_enriched(f"{_join.lower()}_join_bring"))
 
 
@@ -577,6 +592,33 @@ def _derived(name: str, expr: str, of: Any) -> Query:
     return run
 
 
+def _told(column: str, *paths: str) -> list[Column]:
+    """A field's source, and parts of its evidence."""
+    return [F.col(f"{column}_source").alias("source"), *[F.get_json_object(f"{column}_evidence", f"$.{p}").alias(p.replace(".", "_")) for p in paths]]
+
+
+@query(
+    "metric_evidence",
+    f"""WITH {LINES}, n AS (SELECT company, count(DISTINCT order_id) AS orders FROM lines GROUP BY 1)
+        SELECT order_id, line, product, supplier, 'calculated' AS source, 'metric.count_distinct@1' AS strategy, 'orders' AS field, 'demo' AS run_id, CAST(n.orders AS VARCHAR) AS result,
+               CAST(order_id AS VARCHAR) AS inputs_order_id, CAST(company AS VARCHAR) AS inputs_company FROM lines JOIN n USING (company)""",
+)
+def metric_evidence(spark: SparkSession, d: str) -> DataFrame:
+    df = add_metrics(lines(spark, d), [{"name": "orders", "agg": "count_distinct", "of": "order_id", "over": "company"}], context())
+    return df.select(*KEYS, *_told("orders", "strategy", "field", "run_id", "result", "inputs.order_id", "inputs.company"))
+
+
+@query(
+    "derive_evidence",
+    """SELECT o_orderkey, 'derived' AS source, 'derive.coalesce@1' AS strategy, 'label' AS field, 'demo' AS run_id, coalesce(nullif(o_orderstatus, 'O'), o_orderpriority) AS result,
+              nullif(o_orderstatus, 'O') AS inputs_status, o_orderpriority AS inputs_o_orderpriority FROM orders""",
+)
+def derive_evidence(spark: SparkSession, d: str) -> DataFrame:
+    o = table(spark, d, "orders").select("o_orderkey", F.nullif("o_orderstatus", F.lit("O")).alias("status"), "o_orderpriority")
+    df = derive(o, [{"name": "label", "expr": "coalesce", "of": ["status", "o_orderpriority"]}], context())
+    return df.select("o_orderkey", *_told("label", "strategy", "field", "run_id", "result", "inputs.status", "inputs.o_orderpriority"))
+
+
 query("derive_coalesce", "SELECT o_orderkey, coalesce(nullif(o_orderstatus, 'O'), o_orderpriority) AS label FROM orders")(_derived("label", "coalesce", ["status", "o_orderpriority"]))
 query("derive_is_not_null", "SELECT o_orderkey, o_orderstatus <> 'O' AS known FROM orders")(_derived("known", "is_not_null", "status"))
 query(
@@ -587,13 +629,14 @@ query(
 
 @query(
     "multiset_diff",
-    """WITH a AS (SELECT o_orderstatus, o_orderpriority FROM orders WHERE o_orderkey % 2 = 0), b AS (SELECT o_orderstatus, o_orderpriority FROM orders WHERE o_orderkey % 3 = 0)
+    """WITH a AS (SELECT o_orderstatus, o_orderpriority FROM orders), b AS (SELECT CASE WHEN o_totalprice > 200000 THEN 'X' ELSE o_orderstatus END, o_orderpriority FROM orders)
        (SELECT * FROM a EXCEPT ALL SELECT * FROM b) UNION ALL (SELECT * FROM b EXCEPT ALL SELECT * FROM a)""",
 )
 def multiset_diff(spark: SparkSession, d: str) -> DataFrame:
+    """Orders before and after a change of status."""
     o = table(spark, d, "orders")
-    a, b = (o.where(f"o_orderkey % {n} = 0").select("o_orderstatus", "o_orderpriority") for n in (2, 3))
-    return same_rows(a, b)
+    after = F.when(F.col("o_totalprice") > 200000, "X").otherwise(F.col("o_orderstatus")).alias("o_orderstatus")
+    return same_rows(o.select("o_orderstatus", "o_orderpriority"), o.select(after, "o_orderpriority"))
 
 
 # ---- whole builds
@@ -627,7 +670,15 @@ def gold_companies(spark: SparkSession, d: str) -> DataFrame:
     return gold(spark, d)["companies"].select(*kept, F.round("company_e_ltv", 2).alias("company_e_ltv"))
 
 
-@query("catalog_fields")
+@query(
+    "catalog_fields",
+    """SELECT * FROM (VALUES ('sales_reps', 'sales_rep_e_id', 'string', true, 'native'), ('sales_reps', 'sales_rep_e_email', 'string', true, 'native'),
+         ('companies', 'company_e_name', 'string', true, 'native'), ('companies', 'company_e_ltv', 'currency', false, 'enriched'), ('companies', 'company_e_active', 'boolean', true, 'derived'),
+         ('orders', 'company_e_id', 'string', true, 'resolved'), ('orders', 'sales_rep_e_email', 'string', true, 'resolved'), ('orders', 'orders_e_date', 'date', true, 'native'),
+         ('orders', 'orders_e_amount', 'currency', false, 'native'), ('orders', 'company_e_lifetime_value', 'currency', false, 'metric'),
+         ('orders', 'orders_e_company_name', 'string', true, 'enriched'), ('orders', 'orders_e_kind', 'string', true, 'derived'))
+       AS t(table_name, field, data_type, groupable, provenance)""",
+)
 def catalog_fields(spark: SparkSession, d: str) -> DataFrame:
     found = build_catalog(TABLES, REGISTRY.definitions(), run_id="demo")
     rows = [(t, f["key"], f["dataType"], f["groupable"], f["provenance"]["type"]) for t, entry in found["tables"].items() for f in entry["fields"]]
