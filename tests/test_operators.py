@@ -16,8 +16,11 @@ from conformity.operators.reconcile import Reconciliation, ReconciliationError,
 from conformity.operators.resolve import resolve
 from conformity.plans.gold import build, run_gold
 from conformity.plans.silver import run_silver
+from conformity.plans.silver_config import resolve_config
+from conformity.plans.validate import MetadataError
+from conformity.sources import tables
 from conformity.sources.extract import extract, flatten
-from conformity.sources.layout import Layout, read_document
+from conformity.sources.layout import FileConfig, Layout, read_document
 from conformity.sources.tables import join_sources, merged, read_or_empty, read_or_none, upsert, write_table
 
 
@@ -92,6 +95,51 @@ def test_upserts_are_idempotent_and_checked(spark, tmp_path):
     assert [t for _, t in read_or_empty(spark, f"{path}-absent", model, "t").dtypes] == ["string", "double", "timestamp", "string"]
 
 
+@pytest.mark.parametrize("failing", [1, 2])
+def test_a_failed_swap_leaves_the_former_table(spark, tmp_path, monkeypatch, failing):
+    path = f"file://{tmp_path}/t"
+    rows = lambda *r: spark.createDataFrame(list(r), "id int, v string")
+    upsert(spark, rows((1, "a")), path, ["id"])
+    real, calls = tables._rename, []
+
+    def rename(fs, source, target):
+        calls.append(target)
+        if len(calls) == failing:
+            raise OSError("no")
+        real(fs, source, target)
+
+    monkeypatch.setattr(tables, "_rename", rename)
+    with pytest.raises(OSError):
+        upsert(spark, rows((2, "b")), path, ["id"])
+    assert {tuple(r) for r in read_or_none(spark, path).collect()} == {(1, "a")}
+    monkeypatch.setattr(tables, "_rename", real)
+    upsert(spark, rows((2, "b")), path, ["id"])
+    assert {tuple(r) for r in spark.read.parquet(path).collect()} == {(1, "a"), (2, "b")}
+
+
+def test_a_run_that_died_between_renames_is_finished(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    rows = lambda *r: spark.createDataFrame(list(r), "id int, v string")
+    upsert(spark, rows((1, "a")), path, ["id"])
+    (tmp_path / "t").rename(tmp_path / "t__old")
+    assert read_or_none(spark, path).count() == 1  # readers find it meanwhile
+    upsert(spark, rows((2, "b")), path, ["id"])
+    assert spark.read.parquet(path).count() == 2 and not (tmp_path / "t__old").exists()
+    rows((9, "stale")).write.parquet(f"{path}__old")  # died before the former state was deleted
+    upsert(spark, rows((3, "c")), path, ["id"])
+    assert {r["id"] for r in spark.read.parquet(path).collect()} == {1, 2, 3} and not (tmp_path / "t__old").exists()
+
+
+def test_renames_never_move_into_an_existing_folder(spark, tmp_path):
+    for name in ("a", "b"):
+        (tmp_path / name).mkdir()
+    fs, a, b, c = tables._files(spark, *[f"file://{tmp_path}/{n}" for n in "abc"])
+    with pytest.raises(OSError):
+        tables._rename(fs, a, b)
+    with pytest.raises(Exception, match="c"):
+        tables._rename(fs, c, fs.makeQualified(c).suffix("2"))  # nothing to rename
+
+
 def test_unique_lookup(spark):
     df = spark.createDataFrame([("a", 1, None), ("a", 1, None), ("b", 1, 2), ("b", 1, None), (None, 1, 1)], "k string, x int, y int")
     out = {r["key"]: (r["ambiguous"], r["payload"]) for r in unique_lookup(df, F.col("k"), {"x": F.col("x"), "y": F.col("y")}).collect()}
@@ -217,15 +265,62 @@ def test_silver_and_gold_end_to_end(spark, tmp_path):
     assert spark.read.parquet(layout.combined("companies")).count() == 2
     write_table(spark.createDataFrame([], "id string, email string, source_platform string"), layout.combined("sales_reps"))
     names = ("companies", "sales_reps")
-    tables = {k: demo.TABLES[k] | {"enrich": [], "derive": []} for k in names}
-    tables["companies"]["catalog"] = {"fields": {"company_e_name": {"label": "Name"}}}
+    metas = {k: demo.TABLES[k] | {"enrich": [], "derive": []} for k in names}
+    metas["companies"]["catalog"] = {"fields": {"company_e_name": {"label": "Name"}}}
     context = ctx()
-    catalog = build(spark, tables, layout, context)
+    catalog = build(spark, metas, layout, context)
     assert spark.read.parquet(layout.gold("companies")).count() == 2
     assert spark.read.parquet(f"{layout.audit('r', 'companies')}/decisions").count() == 2
     assert read_document(spark, layout.catalog()) == json.loads(json.dumps(catalog))
     with pytest.raises(FileNotFoundError):
-        build(spark, tables, Layout(f"file://{tmp_path}", "nobody"), ctx())
+        build(spark, metas, Layout(f"file://{tmp_path}", "nobody"), ctx())
+
+
+def test_builds_apply_the_clients_policy_and_type_missing_dimensions(spark, tmp_path):
+    layout = Layout(f"file://{tmp_path}", "client")
+    rows = [("1", "Acme", "7", "crm"), ("2", "Beta", None, "crm")]
+    write_table(spark.createDataFrame(rows, "id string, name string, owner_id string, source_platform string"), layout.combined("companies"))
+    held = {k: demo.TABLES[k] | {"enrich": [], "derive": []} for k in ("companies", "sales_reps")}
+    held["companies"]["catalog"] = {"fields": {"company_e_name": {"label": "Name"}}}
+    held["sales_reps"] |= {"optional": True, "model": "sales_rep"}
+    model = {"tables": {"sales_rep": {"columns": {"id": "string", "email": "string", "source_platform": "string"}}}}
+    with pytest.raises(FileNotFoundError):
+        build(spark, held, layout, ctx())
+    build(spark, held, layout, ctx(), model=model)
+    assert {r["sales_rep_e_email_source"] for r in spark.read.parquet(layout.gold("companies")).collect()} == {"unresolved"}
+    assert spark.read.parquet(layout.gold("sales_reps")).count() == 0
+    where = tmp_path / "clients/client"
+    where.mkdir(parents=True)
+    policy = {"schema_version": 1, "tables": {"companies": {"resolve": {}}, "sales_reps": {"resolve": {}}}}
+    (where / "resolution_config.json").write_text(json.dumps(policy))
+    build(spark, held, layout, ctx(), model=model, provider=FileConfig(spark, f"file://{tmp_path}"))
+    assert "sales_rep_e_email_source" not in spark.read.parquet(layout.gold("companies")).columns
+    (where / "resolution_config.json").write_text(json.dumps({"schema_version": 1, "tables": {}}))
+    with pytest.raises(ValueError, match="cover"):
+        build(spark, held, layout, ctx(), model=model, provider=FileConfig(spark, f"file://{tmp_path}"))
+
+
+def test_silver_configuration_end_to_end(spark, tmp_path):
+    base = {"entities": {"companies": {"table": "company", "shape": "object", "source": "companies", "merge_key": ["id"], "columns": {"id": {"source": "id"}, "name": {"source": "properties_name"}}}}}
+    ingest = {"endpoints": [{"name": "companies", "properties": ["name", "label"], "associations": []}]}
+    model = {"tables": {"company": {"columns": {"id": "string", "name": "string"}}}}
+    client = [{"active": True, "entities": ["companies"], "overrides": {"entities": {"companies": {"columns": {"name": {"source": "properties_label"}}}}}}]
+    for at, document in (("platforms/crm/crm_silver", base), ("platforms/crm/crm_ingest", ingest), ("common/common_model", model), ("clients/c/crm", client), ("clients/off/crm", [{"active": False}])):
+        (tmp_path / at).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / f"{at}.json").write_text(json.dumps(document))
+    root = f"file://{tmp_path}"
+    provider = FileConfig(spark, root)
+    config = resolve_config(spark, root, "c", "crm", provider)
+    assert config["entities"]["companies"]["columns"]["name"] == {"source": "properties_label"} and (config["client"], config["platform"]) == ("c", "crm")
+    layout = Layout(root, "c", "crm")
+    (tmp_path / "c/bronze/crm").mkdir(parents=True)
+    (tmp_path / "c/bronze/crm/companies.json").write_text(json.dumps({"results": [{"id": "1", "properties": {"name": "x", "label": "Acme"}}]}))
+    run_silver(spark, config, layout)
+    assert [tuple(r) for r in spark.read.parquet(layout.combined("companies")).select("id", "name").collect()] == [("1", "Acme")]
+    with pytest.raises(ValueError, match="not active"):
+        resolve_config(spark, root, "off", "crm", provider)
+    with pytest.raises(MetadataError):
+        resolve_config(spark, root, "c", "crm", row={"active": True, "overrides": {"entities": {"companies": {"columns": {"name": {"source": "properties_zzz"}}}}}})
 
 
 def test_streams_merge_like_batches(spark, tmp_path):
