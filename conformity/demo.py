@@ -592,9 +592,10 @@ def _derived(name: str, expr: str, of: Any) -> Query:
     return run
 
 
-def _told(column: str, *paths: str) -> list[Column]:
-    """A field's source, and parts of its evidence."""
-    return [F.col(f"{column}_source").alias("source"), *[F.get_json_object(f"{column}_evidence", f"$.{p}").alias(p.replace(".", "_")) for p in paths]]
+def _told(column: str, parts: list[str], inputs: list[str]) -> list[Column]:
+    """A field's source, parts of its evidence, and the inputs that it states (JSON within JSON)."""
+    part = lambda name: F.get_json_object(f"{column}_evidence", f"$.{name}")
+    return [F.col(f"{column}_source").alias("source"), *[part(p).alias(p) for p in parts], *[F.get_json_object(part("inputs"), f"$.{c}").alias(f"inputs_{c}") for c in inputs]]
 
 
 @query(
@@ -605,7 +606,7 @@ def _told(column: str, *paths: str) -> list[Column]:
 )
 def metric_evidence(spark: SparkSession, d: str) -> DataFrame:
     df = add_metrics(lines(spark, d), [{"name": "orders", "agg": "count_distinct", "of": "order_id", "over": "company"}], context())
-    return df.select(*KEYS, *_told("orders", "strategy", "field", "run_id", "result", "inputs.order_id", "inputs.company"))
+    return df.select(*KEYS, *_told("orders", ["strategy", "field", "run_id", "result"], ["order_id", "company"]))
 
 
 @query(
@@ -616,7 +617,7 @@ def metric_evidence(spark: SparkSession, d: str) -> DataFrame:
 def derive_evidence(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders").select("o_orderkey", F.nullif("o_orderstatus", F.lit("O")).alias("status"), "o_orderpriority")
     df = derive(o, [{"name": "label", "expr": "coalesce", "of": ["status", "o_orderpriority"]}], context())
-    return df.select("o_orderkey", *_told("label", "strategy", "field", "run_id", "result", "inputs.status", "inputs.o_orderpriority"))
+    return df.select("o_orderkey", *_told("label", ["strategy", "field", "run_id", "result"], ["status", "o_orderpriority"]))
 
 
 query("derive_coalesce", "SELECT o_orderkey, coalesce(nullif(o_orderstatus, 'O'), o_orderpriority) AS label FROM orders")(_derived("label", "coalesce", ["status", "o_orderpriority"]))
