@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import claim, drop_saved, prepare, saved
+from .common import BROADCAST_ROWS, claim, drop_saved, prepare, saved, small
 
 WINDOW = 5
 MIN_WORDS = 10
@@ -236,7 +236,7 @@ def learn_cutoffs(labelled: DataFrame, alpha: float = ALPHA, delta: float = DELT
     level = F.when(base_failed(), -1).otherwise(Cutoffs(weights, {}).level()).alias("level")
     holdout = once.where(~fits)
     enough = holdout.where("quality = 1").groupBy("stratum").count().where(F.col("count") >= least_labels(alpha, delta)).select("stratum")
-    counted = holdout.join(enough, "stratum").groupBy("stratum", level, "quality").count().collect()
+    counted = holdout.join(small(enough), "stratum").groupBy("stratum", level, "quality").count().collect()
     drop_saved(once)
     table: dict[str, dict[int, list[int]]] = defaultdict(lambda: {y: [0] * (LEVELS + 2) for y in (0, 1)})
     for r in counted:
@@ -250,18 +250,22 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, d
     """doc_id, the metrics, base_failed and kept of every document."""
     prepare(docs.sparkSession)
     metrics = saved(measured(docs), "quality-metrics")
-    cutoffs = learn_cutoffs(metrics.join(quality_of(labels), "doc_id"), alpha, delta)
+    cutoffs = learn_cutoffs(metrics.join(small(quality_of(labels)), "doc_id"), alpha, delta)
     return metrics.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & ~cutoffs.rejects())
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with their own columns. Only labelled documents are measured
-    to learn the cutoffs."""
+    """The rows of ``docs`` that the rules keep, with their own columns. If the labels are few enough to be
+    with every task, only labelled documents are measured to learn the cutoffs."""
     prepare(docs.sparkSession)
-    known = quality_of(labels).select(F.col("doc_id").alias("__id"), F.col("quality").alias("__quality"))
-    met = docs.join(known, docs["doc_id"].cast("long") == known["__id"])
-    held = met.select(F.col("__id").alias("doc_id"), stratum_of(docs, "lang").alias("stratum"), metrics_of(docs["text"].cast("string")).alias("__m"), F.col("__quality").alias("quality"))
-    cutoffs = learn_cutoffs(held.select("doc_id", "stratum", "__m.*", "quality"), alpha, delta)
+    known = quality_of(labels)
+    n = known.count()
+    if n <= BROADCAST_ROWS:
+        ids = F.broadcast(known.select(F.col("doc_id").alias("__id")))
+        labelled = measured(docs.join(ids, docs["doc_id"].cast("long") == ids["__id"], "left_semi"))
+    else:  # labels that are too many for every task meet the metrics: texts are never shuffled
+        labelled = measured(docs)
+    cutoffs = learn_cutoffs(labelled.join(small(known, n), "doc_id"), alpha, delta)
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), metrics_of(F.col("text").cast("string")).alias("__m"))
     whole = whole.select("__row", stratum_of(docs, "__row.lang").alias("stratum"), "__m.*")
     return whole.where(~base_failed() & ~cutoffs.rejects()).select("__row.*")
