@@ -8,6 +8,7 @@ library whole.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -30,8 +31,12 @@ PIECES = re.compile(
 OTHER = re.compile("[^\x00-ʯ]")
 #: Pieces with white space after their first character, or that start with other white space than a blank.
 INNER_SPACE = re.compile(rf"^.[{SPACES}]|^[\t-\r\u0085\xa0]|^ $", re.S)
-#: A worker keeps the pieces of the last one to two times so many new ones.
-KEPT_PIECES = 300_000
+#: A worker keeps the pieces of the last one to two times so many new ones, none of them longer than ``KEPT_CHARS``.
+KEPT_PIECES, KEPT_CHARS = 300_000, 64
+#: Characters of text that are split at once, and new pieces that are encoded at once.
+GROUP_CHARS, GROUP_PIECES = 1 << 20, 4096
+#: What the splitter above reproduces.
+SPLITTER = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
 _loaded: dict[str, PieceEncoder] = {}
 
 
@@ -43,55 +48,79 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        with open(path, encoding="utf-8") as f:
+            stated = json.load(f)
+        splitter = stated.get("pre_tokenizer") or {}
+        # with another splitter or a normalizer, texts go to the library whole
+        self.by_piece = not stated.get("normalizer") and {k: splitter.get(k, k == "use_regex") for k in SPLITTER} == SPLITTER
         # between two pieces, a line break is a piece of its own with one id
         self.line_break = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in found]
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Encode new pieces a few thousand to a text, one a line, and cut the ids at the line breaks."""
-        if len(self.line_break) != 1:
-            self.known.update(zip(pieces, self._whole(pieces), strict=True))
-            return
-        odd = [p for p in pieces if INNER_SPACE.search(p)]
-        self.known.update(zip(odd, self._whole(odd), strict=True))
-        plain = list(set(pieces).difference(odd))
-        for at in range(0, len(plain), 4096):
-            part = plain[at : at + 4096]
-            (found,) = self.tokenizer.encode_batch_fast(["\n".join(part)], add_special_tokens=False)
-            ids = np.array(found.ids, "<u4")
-            cuts = (np.flatnonzero(ids == self.line_break[0]) * 4).tolist()
-            held = ids.tobytes()
-            starts = [0, *[c + 4 for c in cuts]]
-            self.known.update(zip(part, [held[a:b] for a, b in zip(starts, [*cuts, len(held)], strict=True)], strict=True))
-
-    def encode(self, texts: Iterable[str]) -> list[bytes]:
-        """The ids of each text, without an end id."""
-        split: list[list[str] | None] = []
-        whole: list[str] = []
-        seen: set[str] = set()
+        out = []
+        for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+            ids = found.ids  # a new list each time it is asked for
+            out.append(struct.pack(f"<{len(ids)}I", *ids))
+        return out
+
+    def _new(self, pieces: list[str]) -> list[bytes]:
+        """The ids of new pieces: one a line, with the ids cut at the line breaks."""
+        (found,) = self.tokenizer.encode_batch_fast(["\n".join(pieces)], add_special_tokens=False)
+        ids = np.array(found.ids, "<u4")
+        cuts = (np.flatnonzero(ids == self.line_break[0]) * 4).tolist()
+        held = ids.tobytes()
+        return [held[a:b] for a, b in zip([0, *[c + 4 for c in cuts]], [*cuts, len(held)], strict=True)]
+
+    def _pieces(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts that the fast splitter knows."""
         if len(self.known) > KEPT_PIECES:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
-        for text in texts:
-            if OTHER.search(text) or any(s in text for s in self.special):
-                split.append(None)
-                whole.append(text)
-                continue
-            pieces = PIECES.findall(text)
-            split.append(pieces)
-            seen.update(pieces)
-        new = seen - known.keys()
-        if new:
-            again = new & older.keys()
-            known.update((p, older[p]) for p in again)
-            self._learn(list(new - again))
-        rest = iter(self._whole(whole)) if whole else iter(())
-        return [next(rest) if p is None else b"".join(map(known.__getitem__, p)) for p in split]
+        split = [PIECES.findall(t) for t in texts]
+        new = list(set().union(*split) - known.keys())
+        long: dict[str, bytes] = {}
+        fresh: list[str] = []
+        for p in new:
+            if p in older:
+                known[p] = older[p]
+            else:
+                fresh.append(p)
+        for at in range(0, len(fresh), GROUP_PIECES):
+            part = fresh[at : at + GROUP_PIECES]
+            odd = [p for p in part if len(self.line_break) != 1 or INNER_SPACE.search(p)]
+            plain = list(set(part).difference(odd))
+            for some, encode in ((odd, self._whole), (plain, self._new)):
+                for p, ids in zip(some, encode(some) if some else (), strict=True):
+                    (known if len(p) <= KEPT_CHARS else long)[p] = ids
+        if long:
+            return [b"".join([known[p] if p in known else long[p] for p in pieces]) for pieces in split]
+        return [b"".join(map(known.__getitem__, pieces)) for pieces in split]
+
+    def encode(self, texts: Iterable[str]) -> list[bytes]:
+        """The ids of each text, without an end id."""
+        texts = list(texts)
+        out: list[bytes] = [b""] * len(texts)
+        groups: dict[bool, list[int]] = {True: [], False: []}
+        held = {True: 0, False: 0}
+
+        def flush(fast: bool) -> None:
+            ids = (self._pieces if fast else self._whole)([texts[i] for i in groups[fast]])
+            for i, x in zip(groups[fast], ids, strict=True):
+                out[i] = x
+            groups[fast], held[fast] = [], 0
+
+        for i, text in enumerate(texts):
+            fast = self.by_piece and not OTHER.search(text) and not any(s in text for s in self.special)
+            groups[fast].append(i)
+            held[fast] += len(text)
+            if held[fast] >= GROUP_CHARS:
+                flush(fast)
+        for fast in (True, False):
+            if groups[fast]:
+                flush(fast)
+        return out
 
 
 def encoder(path: str) -> PieceEncoder:
