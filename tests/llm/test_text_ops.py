@@ -274,7 +274,7 @@ def test_contamination_matches_brute_force(spark):
     rng = random.Random(31)
     items = [(i, words(rng, n, 60)) for i, n in enumerate([3, 5, 6, 8, 11, 15, 16, 20, 30])] + [(20, None), (21, "")]
     rows = []
-    for i in range(60):
+    for i in range(200):
         w = words(rng, rng.randrange(0, 60), 60).split()
         src = rng.choice(items[:9])[1].split()
         a = rng.randrange(len(src))
