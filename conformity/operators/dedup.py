@@ -175,16 +175,18 @@ def ordering(entry: dict[str, Any]) -> Column:
 
 @REGISTRY.add("selection", "ordered", description="The first by the declared ordering; different members tied at the top fail.", check=_check_ordered)
 def ordered(df: DataFrame, params: dict[str, Any], ctx: RunContext) -> Annotated:
-    # an unmatched member is a group of its own
-    group = F.coalesce("__dd_group", "__dd_member")
-    window = Window.partitionBy(group).orderBy(*map(ordering, params["order_by"]))
+    # the first rows of a group are found per task before they are shuffled (WindowGroupLimit), so that no task
+    # sorts a large group; its rows then meet their winner in a join, which Spark splits where it is skewed
+    window = Window.partitionBy("__dd_group").orderBy(*map(ordering, params["order_by"]))
     used = list(dict.fromkeys(e["field"] for e in params["order_by"]))
-    ranked = df.withColumn("__dd_rank", F.rank().over(window))
-    whole = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    first = f"{PROBE}first"
-    top = F.when(F.col("__dd_rank") == 1, F.col("__dd_member"))
-    out = ranked.withColumns({"__dd_winner": F.first("__dd_member").over(whole), "__dd_selection": identity_json(used), first: top})
-    return Annotated(out.drop("__dd_rank"), (_differ("first", "__dd_group", F.col(first), "Selection is tied: the ordering needs another key"),))
+    first = df.where(F.col("__dd_group").isNotNull()).withColumn("__dd_rank", F.rank().over(window)).where("__dd_rank = 1")
+    tied = f"{PROBE}tied"
+    tops = first.groupBy(F.col("__dd_group").alias("__dd_g")).agg(F.min("__dd_member").alias("__dd_top"), (F.min("__dd_member") != F.max("__dd_member")).alias(tied))
+    # an unmatched member is a group of its own
+    alone = F.col("__dd_group").isNull()
+    out = df.join(tops, F.coalesce("__dd_group", "__dd_member") == F.col("__dd_g"), "left")
+    out = out.withColumns({"__dd_winner": F.when(alone, F.col("__dd_member")).otherwise(F.col("__dd_top")), "__dd_selection": identity_json(used), tied: ~alone & F.col(tied)})
+    return Annotated(out.drop("__dd_g", "__dd_top"), (Rule(F.col(tied), "Selection is tied: the ordering needs another key"),))
 
 
 @REGISTRY.add("selection", "referenced_record", description="The referenced unit, with all its lines.", check=_no_params)
@@ -205,7 +207,11 @@ def keep_all(df: DataFrame, spec: dict[str, Any], ctx: RunContext) -> DataFrame:
 
 @REGISTRY.add("dedup", "keep_first", description="One row per key, the last by the ordering column.", outcomes={"retained": "The row that was kept."})
 def keep_first(df: DataFrame, spec: dict[str, Any], ctx: RunContext) -> DataFrame:
-    """Rows with a null key are one key; of rows equal in the ordering the least as a whole stays."""
+    """Rows with a null key are one key; of rows equal in the ordering the least as a whole stays.
+
+    The filter on the rank lets Spark limit each key to one row per task before the shuffle (WindowGroupLimit),
+    so that a key with any share of the rows is never sorted in one task.
+    """
     on = spec["on"] if isinstance(spec["on"], list) else [spec["on"]]
     rest = [F.col(f"`{c}`").asc_nulls_last() for c in df.columns]
     window = Window.partitionBy(*on).orderBy(F.col(spec.get("order_by", on[0])).desc_nulls_last(), *rest)

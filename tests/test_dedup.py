@@ -1,10 +1,12 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from conformity.context import RunContext
 from conformity.operators.dedup import alias_lookup, deduplicate
 from conformity.plans.gold import run_gold
+from conformity.registry import REGISTRY
 
 IDENTITY = ["platform", "account", "id"]
 LATEST = [{"field": "modified", "direction": "desc"}]
@@ -176,3 +178,22 @@ def test_whole_engine_prefixes_and_measures(spark):
     assert json.loads(row["latest_evidence"])["source"] == "calculated"
     assert "companies" in ctx.audits and "__mm_dedup_evidence" in ctx.surfaces["companies"].columns
     ctx.release()
+
+
+def test_a_hot_key_is_limited_per_task(spark):
+    df = spark.range(0, 20000, 1, 8).select(F.when(F.col("id") % 5 == 4, F.lit("hot")).alias("k"), (F.col("id") % 7).alias("n"), F.col("id").alias("v"))
+    first = REGISTRY.get("dedup", "keep_first").run(df, {"on": "k", "order_by": "n"}, RunContext())
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
+    assert {tuple(r) for r in first.collect()} == {(None, 6, 6), ("hot", 6, 34)}
+
+
+def test_the_winner_of_a_hot_group_is_found_per_task(spark):
+    rows = spark.range(0, 20000, 1, 8).selectExpr("IF(id % 10 = 0, CONCAT('lone', id), 'hot') AS g", "CAST(id AS STRING) AS m", "-id AS n")
+    matched = rows.selectExpr("IF(g = 'hot', g, NULL) AS __dd_group", "m AS __dd_member", "n")
+    chosen = REGISTRY.get("selection", "ordered").run(matched, {"order_by": [{"field": "n"}]}, RunContext())
+    plan = chosen.rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
+    got = chosen.rows.selectExpr("__dd_group", "__dd_member", "__dd_winner").collect()
+    assert len(got) == 20000
+    assert all(r["__dd_winner"] == ("19999" if r["__dd_group"] else r["__dd_member"]) for r in got)
