@@ -7,17 +7,18 @@ A byte is removed if some ``LENGTH``-byte string that covers it also starts anyw
    digest of the bytes they span. Equal windows pick the same gram at the same place, so they belong to
    anchors with one hash, wherever they are. Each window belongs to exactly one anchor.
 2. *Classes.* Anchors with equal hash and digest are one class and counted. A hash seen once holds no
-   repeat. All windows of a class seen twice are repeats, without looking at its bytes again.
-3. *Indexes.* Hashes with several classes are highly repetitive collections: the bytes of one occurrence of
-   each class are fetched, and batches of whole hashes are indexed. The index is the Burrows-Wheeler
-   transform in runs with the text positions of the run ends. Longest matches with the neighbours in
-   suffix order are computed at run ends only; along the text they fall by one per byte until the next
-   sampled position (which holds for all positions inside runs), so a single stream over the text gives
-   every position's matching statistic against all other positions. Starts with a statistic of ``LENGTH``
-   or more are repeats.
+   repeat; what has one seen more often is a repetitive collection.
+3. *Indexes.* The bytes of one occurrence of each class are fetched, and batches of whole hashes are
+   indexed. The index is the Burrows-Wheeler transform in runs with the text positions of the run ends; the
+   copies of a class only lengthen its runs, so the index has its string once with the number of copies.
+   Longest matches with the neighbours in suffix order are computed at run ends only; along the text they
+   fall by one per byte until the next sampled position (which holds for all positions inside runs), so a
+   single stream over the text gives every position's matching statistic against all other positions.
+   Starts with a statistic of ``LENGTH`` or more are repeats.
 4. *Heavy hashes* (more than ``HEAVY`` classes) are not put in one index: their windows are split by their
-   distance from the gram into ranges with the bytes common to the range as a longer anchor; what still has
-   several classes is decided window by window on 128-bit digests, all in shuffles with partial counts.
+   distance from the gram into ranges with the bytes common to the range as a longer anchor, and the ranges
+   are indexed. Ranges that still have more than ``HEAVY`` classes are decided window by window on 128-bit
+   digests, all in shuffles with partial counts.
 
 Repeated starts go back to the anchors of all documents and from there to byte spans of documents.
 
@@ -192,9 +193,14 @@ def common_prefix(a: np.ndarray, b: np.ndarray, ranks: list[tuple[int, np.ndarra
 
 
 class RunLengthIndex:
-    """Run-length Burrows-Wheeler transform of some strings with text positions sampled at run ends."""
+    """Run-length Burrows-Wheeler transform of some strings with text positions sampled at run ends.
 
-    def __init__(self, strings: list[bytes]):
+    ``copies`` says how often each string occurs (once unless given). A further copy has the symbols of the
+    first before and after its own, so it makes runs longer; only where the copies start is a run of its own,
+    whose sample matches to the string's end.
+    """
+
+    def __init__(self, strings: list[bytes], copies: list[int] | None = None):
         self.lengths = np.array([len(s) for s in strings], np.int64)
         joined = np.frombuffer(b"".join(s + b"\0" for s in strings), np.uint8).astype(np.int64) + len(strings)
         self.ends = np.cumsum(self.lengths + 1) - 1
@@ -213,12 +219,16 @@ class RunLengthIndex:
             self.head_matches[1:] = between
             self.tail_matches[:-1] = between
         self.size = len(order)
+        several = np.array(copies if copies is not None else [1] * len(strings), np.int64) > 1
+        self.copied_starts = (self.ends - self.lengths)[several]
+        self.copied_matches = self.lengths[several]
 
     def statistics(self) -> np.ndarray:
         """For every text position the longest match with any other position, streamed from the samples."""
         here = np.arange(self.size)
         best = np.zeros(self.size, np.int64)
-        for positions, matches in ((self.head_positions, self.head_matches), (self.tail_positions, self.tail_matches)):
+        sampled = ((self.head_positions, self.head_matches), (self.tail_positions, self.tail_matches), (self.copied_starts, self.copied_matches))
+        for positions, matches in sampled:
             reach = np.full(self.size, -1, np.int64)
             reach[positions] = matches + positions
             np.maximum(best, np.maximum.accumulate(reach) - here, out=best)
@@ -268,16 +278,17 @@ def _texts_of(wanted: DataFrame, docs: DataFrame, name: str) -> DataFrame:
 
 
 def _indexed(regions: DataFrame) -> DataFrame:
-    """h, rh, first, last: runs of window starts (from the class's first) that other classes repeat."""
+    """h, rh, first, last: runs of window starts (from the class's first) that start elsewhere too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("suffix", _powers.clear)
-        rows: list[tuple[int, bytes, bytes]] = []
+        rows: list[tuple[int, bytes, bytes, int]] = []
         held, last, seen = 0, None, set()
 
         def flush() -> pa.RecordBatch:
             out: tuple[list, ...] = ([], [], [], [])
-            for (h, rh, _), starts in zip(rows, RunLengthIndex([r[2] for r in rows]).long_starts(LENGTH), strict=True):
+            index = RunLengthIndex([r[2] for r in rows], [r[3] for r in rows])
+            for (h, rh, *_), starts in zip(rows, index.long_starts(LENGTH), strict=True):
                 for a, b in ranges(starts):
                     for column, value in zip(out, (h, rh, a, b), strict=True):
                         column.append(value)
@@ -285,7 +296,7 @@ def _indexed(regions: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=["h", "rh", "first", "last"])
 
         for batch in batches:
-            for h, rh, data in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for h, rh, data, copies in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if h != last:
                     seen = set()
                     if held > INDEX_BYTES:
@@ -294,12 +305,12 @@ def _indexed(regions: DataFrame) -> DataFrame:
                     last = h
                 if rh not in seen:
                     seen.add(rh)
-                    rows.append((h, rh, data))
+                    rows.append((h, rh, data, copies))
                     held += len(data)
         if rows:
             yield flush()
 
-    dealt = regions.select("h", "rh", "bytes").repartition("h").sortWithinPartitions("h", "rh")
+    dealt = regions.select("h", "rh", "bytes", "cnt").repartition("h").sortWithinPartitions("h", "rh")
     return dealt.mapInArrow(run, "h long, rh binary, first int, last int")
 
 
@@ -310,7 +321,7 @@ def _heavy(regions: DataFrame) -> DataFrame:
         claim("suffix", _powers.clear)
         digest = xxhash.xxh3_128_digest
         for batch in batches:
-            out: tuple[list, ...] = tuple([] for _ in range(6))
+            out: tuple[list, ...] = tuple([] for _ in range(7))
             for h, rh, cnt, data in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 n = len(data) - LENGTH + 1
                 at = int(np.argmin(gram_pick(data)))
@@ -322,35 +333,38 @@ def _heavy(regions: DataFrame) -> DataFrame:
                     core = data[at - q * RANGE : at - q * RANGE - RANGE + 1 + LENGTH]
                     name = xxhash.xxh3_64_intdigest(core, seed=(h + q) & (1 << 63) - 1) - (1 << 63)
                     part = data[a : b + LENGTH]
-                    for column, value in zip(out, (name, digest(part, seed=b - a), h, rh, a, part), strict=True):
+                    for column, value in zip(out, (name, digest(part, seed=b - a), h, rh, a, part, cnt), strict=True):
                         column.append(value)
                     a = b + 1
-            kinds = (pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.int32(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=["h", "rh", "of_h", "of_rh", "lo", "bytes"])
+            kinds = (pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.int64())
+            names = ["h", "rh", "of_h", "of_rh", "lo", "bytes", "cnt"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=names)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_128_digest
         for batch in batches:
-            out: tuple[list, ...] = tuple([] for _ in range(4))
-            for h, rh, data in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            out: tuple[list, ...] = tuple([] for _ in range(5))
+            for h, rh, data, cnt in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 for s in range(len(data) - LENGTH + 1):
-                    for column, value in zip(out, (h, rh, s, digest(data[s : s + LENGTH])), strict=True):
+                    for column, value in zip(out, (h, rh, s, digest(data[s : s + LENGTH]), cnt), strict=True):
                         column.append(value)
-            kinds = (pa.int64(), pa.binary(), pa.int32(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=["h", "rh", "start", "digest"])
+            kinds = (pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=["h", "rh", "start", "digest", "cnt"])
 
     once = regions.dropDuplicates(["h", "rh"]).select("h", "rh", "cnt", "bytes")
-    parts = saved(once.mapInArrow(split, "h long, rh binary, of_h long, of_rh binary, lo int, bytes binary"), "repeat-parts")
-    classes = parts.groupBy("h", "rh").agg(F.count(F.lit(1)).alias("n"), F.first("bytes").alias("bytes"))
-    hashes = parts.groupBy("h").agg(F.count(F.lit(1)).alias("seen")).where("seen > 1").select("h")
-    classes = saved(classes.join(hashes, "h"), "repeat-part-classes")
-    whole = classes.where("n > 1").select("h", "rh", F.lit(0).alias("first"), (F.length("bytes") - LENGTH).cast("int").alias("last"))
-    many = classes.groupBy("h").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1").select("h")
-    single = saved(classes.join(many, "h").select("h", "rh", "bytes").mapInArrow(windows, "h long, rh binary, start int, digest binary"), "repeat-windows")
-    twice = single.groupBy("h", "digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h", "digest")
-    some = single.join(twice, ["h", "digest"]).select("h", "rh", F.col("start").alias("first"), F.col("start").alias("last"))
-    marked = whole.unionByName(some)
-    return parts.drop("bytes").join(marked, ["h", "rh"]).select(
+    parts = saved(once.mapInArrow(split, "h long, rh binary, of_h long, of_rh binary, lo int, bytes binary, cnt long"), "repeat-parts")
+    classes = parts.groupBy("h", "rh").agg(F.sum("cnt").alias("cnt"), F.first("bytes").alias("bytes"))
+    hashes = parts.groupBy("h").agg(F.sum("cnt").alias("seen")).where("seen > 1").select("h")
+    classes = saved(classes.join(hashes, "h"), "repeat-part-sums")
+    classes = saved(classes.join(classes.groupBy("h").agg(F.count(F.lit(1)).alias("classes")), "h"), "repeat-part-classes")
+    marked = _indexed(classes.where(F.col("classes") <= HEAVY))
+    many = classes.where(F.col("classes") > HEAVY).select("h", "rh", "bytes", "cnt")
+    if many.limit(1).count():
+        single = saved(many.mapInArrow(windows, "h long, rh binary, start int, digest binary, cnt long"), "repeat-windows")
+        twice = single.groupBy("h", "digest").agg(F.sum("cnt").alias("n")).where("n > 1").select("h", "digest")
+        some = single.join(twice, ["h", "digest"]).select("h", "rh", F.col("start").alias("first"), F.col("start").alias("last"))
+        marked = marked.unionByName(some)
+    return parts.drop("bytes", "cnt").join(marked, ["h", "rh"]).select(
         F.col("of_h").alias("h"), F.col("of_rh").alias("rh"), (F.col("lo") + F.col("first")).alias("first"), (F.col("lo") + F.col("last")).alias("last")
     )
 
@@ -372,15 +386,11 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     prepare(docs.sparkSession)
     held = saved(anchors(docs), "repeat-anchors")
     classes = _classes(held, ["k1", "k2", "lo", "hi"])
-    whole = classes.where("cnt > 1").select("h", "rh", F.lit(0).alias("first"), (F.col("rep.hi") - F.col("rep.lo")).alias("last"))
-    several = classes.where("classes > 1")
-    regions = _texts_of(several, docs, "repeat-regions")
-    some = _indexed(regions.where(F.col("classes") <= HEAVY))
+    regions = _texts_of(classes, docs, "repeat-regions")
+    marks = _indexed(regions.where(F.col("classes") <= HEAVY))
     heavy = regions.where(F.col("classes") > HEAVY)
     if heavy.limit(1).count():
-        some = some.unionByName(_heavy(heavy))
-    # classes seen twice are repeats as a whole; the rest by their marked starts
-    marks = whole.unionByName(some.join(several.where("cnt = 1").select("h", "rh"), ["h", "rh"], "left_semi"))
+        marks = marks.unionByName(_heavy(heavy))
     marks = saved(marks.groupBy("h", "rh").agg(F.collect_list(F.struct("first", "last")).alias("marks")), "repeat-marks")
     met = held.join(marks, ["h", "rh"]).select("k1", "k2", "lo", F.explode("marks").alias("m"))
     spans = met.select("k1", "k2", F.struct((F.col("lo") + F.col("m.first")).alias("a"), (F.col("lo") + F.col("m.last") + LENGTH).alias("b")).alias("s"))

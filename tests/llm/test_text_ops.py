@@ -144,7 +144,7 @@ def passages(rng):
     return rows
 
 
-@pytest.mark.parametrize(("seed", "heavy", "clash"), [(1, 1500, True), (2, 1, False)])
+@pytest.mark.parametrize(("seed", "heavy", "clash"), [(1, 1500, True), (2, 1, False), (3, 3, False)])
 def test_removed_bytes_match_brute_force(spark, monkeypatch, seed, heavy, clash):
     monkeypatch.setattr(suffix_dedup, "HEAVY", heavy)
     rows = passages(random.Random(seed))
@@ -188,6 +188,13 @@ def test_run_length_index_matches_brute_force(seed):
         index = suffix_dedup.RunLengthIndex(strings)
         assert [x.tolist() for x in index.long_starts(length)] == want
     assert len(index.run_heads) < index.size
+    # strings given once with their number of copies are decided like the copies themselves
+    distinct = Counter(strings)
+    for length in (1, 3, 8):
+        seen = Counter(s[i : i + length] for s in strings for i in range(len(s) - length + 1))
+        index = suffix_dedup.RunLengthIndex(list(distinct), list(distinct.values()))
+        want = [[i for i in range(len(s) - length + 1) if seen[s[i : i + length]] > 1] for s in distinct]
+        assert [x.tolist() for x in index.long_starts(length)] == want
 
 
 # ---- decontamination
