@@ -161,22 +161,37 @@ def anchors(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
 
 
 def suffix_order(symbols: np.ndarray) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
-    """Suffix array of ``symbols`` and the ranks of prefixes of 1, 2, 4, ... symbols, by doubling."""
-    n = len(symbols)
-    ranks: list[tuple[int, np.ndarray]] = []
-    key, size = symbols.astype(np.int64), 1
+    """Suffix array of ``symbols`` and the ranks of prefixes of 1, 2, 4, ... symbols, by doubling.
+
+    The shortest prefixes are their own ranks, as numbers; later rounds sort only suffixes that are still
+    equal. A rank is the place of the first of equal prefixes. The last symbol must occur once.
+    """
+    n, size = len(symbols), 1
+    key, width = symbols.astype(np.int64) + 1, int(symbols.max()) + 2
+    ranks: list[tuple[int, np.ndarray]] = [(1, key)]
+    while width <= 1 << 31 and size < n:
+        after = np.zeros(n, np.int64)
+        after[:-size] = key[size:]
+        key, width, size = key * width + after, width * width, size * 2
+        ranks.append((size, key))
+    ranks.pop()
+    order = np.argsort(key)
+    places, suffixes, keys = np.arange(n), order, key[order]
+    rank = np.zeros(n, np.int32)
     while True:
-        order = np.argsort(key)
-        ordered = key[order]
-        steps = np.zeros(n, np.int32)
-        np.cumsum(ordered[1:] != ordered[:-1], out=steps[1:])
-        rank = np.empty(n, np.int32)
-        rank[order] = steps
+        head = np.concatenate([[True], keys[1:] != keys[:-1]])
+        rank = rank.copy()
+        rank[suffixes] = places[np.maximum.accumulate(np.where(head, np.arange(len(head)), 0))]
         ranks.append((size, rank))
-        if steps[-1] == n - 1:
+        equal = ~(head & np.concatenate([head[1:], [True]]))
+        if not equal.any():
             return order, ranks
-        key = rank * np.int64(n + 1)
-        key[: max(0, n - size)] += rank[size:] + 1
+        places, suffixes = places[equal], suffixes[equal]
+        after = np.where(suffixes + size < n, rank[np.minimum(suffixes + size, n - 1)] + 1, 0)
+        keys = rank[suffixes] * np.int64(n + 1) + after
+        sort = np.argsort(keys)
+        suffixes, keys = suffixes[sort], keys[sort]
+        order[places] = suffixes
         size *= 2
 
 
