@@ -23,6 +23,8 @@ class RunContext:
     aliases: dict[str, dict[tuple[str, ...], DataFrame]] = field(default_factory=dict)
     #: Also compare what custom matchers and selectors return with what they were given.
     strict: bool = False
+    #: Rows of each table that the run published.
+    rows: dict[str, int] = field(default_factory=dict)
     held: list[DataFrame] = field(default_factory=list)
 
     def day(self) -> date:

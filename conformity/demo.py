@@ -29,7 +29,8 @@ from .plans.gold import run_gold
 from .plans.validate import validate_tables
 from .registry import REGISTRY
 from .sources.extract import flatten, shape_rows
-from .sources.tables import join_sources, load_source, merged
+from .sources.shared import scratch
+from .sources.tables import join_sources, load_source, read_or_none, upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -300,9 +301,12 @@ def reconcile_worst(spark: SparkSession, d: str) -> DataFrame:
     """SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 3 <> 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM orders""",
 )
 def upsert_combined(spark: SparkSession, d: str) -> DataFrame:
+    """Two upserts into a keyed table, the first of which makes it; then all of its rows."""
     o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    source = o.where("o_orderkey % 3 <> 0").withColumn("o_totalprice", F.col("o_totalprice") + 1)
-    return merged(o.where("o_orderkey % 2 = 0 OR o_orderkey % 3 = 0"), source, ["o_orderkey"])
+    path = scratch(spark, "upsert-combined")
+    upsert(spark, o.where("o_orderkey % 2 = 0 OR o_orderkey % 3 = 0"), path, ["o_orderkey"])
+    upsert(spark, o.where("o_orderkey % 3 <> 0").withColumn("o_totalprice", F.col("o_totalprice") + 1), path, ["o_orderkey"])
+    return read_or_none(spark, path)
 
 
 @query("company_key", f"WITH {ORDERS} SELECT id, {sql_key('customer_company')} AS key FROM orders_in")

@@ -6,10 +6,12 @@ and enrichment sees surfaces frozen after metrics, in whatever order tables refe
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from typing import Any
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..context import RunContext
 from ..naming import Names
@@ -20,7 +22,7 @@ from ..operators.metrics import add_metrics
 from ..operators.resolve import resolve
 from ..registry import REGISTRY, Registry
 from ..sources.layout import ConfigProvider, Layout
-from ..sources.tables import load_source, read_or_empty, read_or_none, write_json, write_table
+from ..sources.tables import empty_table, load_source, read_or_none
 from .catalog import build_catalog
 from .policy import with_policy
 from .validate import validate_tables
@@ -47,22 +49,24 @@ def run_gold(tables: dict[str, Any], load: Load, ctx: RunContext | None = None,
 
 
 def publish(frames: dict[str, DataFrame], tables: dict[str, Any], ctx: RunContext, layout: Layout, registry: Registry = REGISTRY) -> dict[str, Any]:
-    """Write audits and aliases, then gold tables, then the catalog; returns the catalog.
+    """Write audits and aliases, gold tables and the catalog, and let all of them take effect in one commit;
+    returns the catalog. ``ctx.rows`` gets the rows by table, counted by the jobs that wrote them.
 
-    The catalog is built first: a table without its evidence stops the run before anything is replaced.
+    The catalog is built first: a table without its evidence stops the run before anything is written.
     """
     spark = next(iter(frames.values())).sparkSession
     catalog = build_catalog(tables, registry.definitions(), {n: df.columns for n, df in frames.items()}, ctx.run_id)
-    for name, audit in ctx.audits.items():
-        at = layout.audit(ctx.run_id, name)
-        write_table(audit, f"{at}/decisions")
-        for i, (grain, mapping) in enumerate(ctx.aliases.get(name, {}).items()):
-            write_table(mapping, f"{at}/aliases_{i}")
-            write_json(spark, {"identity_fields": list(grain)}, f"{at}/aliases_{i}_fields.json")
-    for name, df in frames.items():
-        if tables[name].get("export", True):
-            write_table(df, layout.gold(name))
-    write_json(spark, catalog, layout.catalog())
+    with layout.store(spark).begin(ctx.run_id) as run:
+        for name, audit in ctx.audits.items():
+            at = layout.audit(ctx.run_id, name)
+            run.write(f"{at}/decisions", audit)
+            for i, (grain, mapping) in enumerate(ctx.aliases.get(name, {}).items()):
+                run.write(f"{at}/aliases_{i}", mapping.withColumn("identity_fields", F.lit(json.dumps(list(grain)))))
+        for name, df in frames.items():
+            if tables[name].get("export", True):
+                run.write(layout.gold(name), df)
+        run.put(layout.catalog(), catalog)
+    ctx.rows = dict(run.rows)
     return catalog
 
 
@@ -84,12 +88,16 @@ def build(
     optional = {t: m.get("model", t) for m in metas.values() if m.get("optional") for t in m["source"]["tables"]}
     read: dict[str, DataFrame | None] = {}
 
+    store = layout.store(spark)
+    state = store.state()  # all tables are read as one commit left them
+
     def table(name: str) -> DataFrame | None:
         if name not in read:
-            if model is not None and name in optional:
-                read[name] = read_or_empty(spark, layout.combined(name), model, optional[name])
-            else:
-                read[name] = read_or_none(spark, layout.combined(name))
+            entry = state.tables.get(store.name(layout.combined(name)))
+            # a table that another tool put there is plain Parquet
+            read[name] = store.frame(entry) if entry else read_or_none(spark, layout.combined(name))
+            if read[name] is None and model is not None and name in optional:
+                read[name] = empty_table(spark, model, optional[name])
         return read[name]
 
     try:

@@ -10,7 +10,7 @@ from ..operators.conform import conform
 from ..operators.reconcile import Reconciliation, enforce
 from ..sources.extract import extract
 from ..sources.layout import Layout
-from ..sources.tables import upsert, write_table
+from ..sources.store import State
 
 
 def conformed(spark: SparkSession, config: dict[str, Any], layout: Layout) -> dict[str, DataFrame]:
@@ -21,19 +21,18 @@ def conformed(spark: SparkSession, config: dict[str, Any], layout: Layout) -> di
     return out
 
 
-def run_silver(spark: SparkSession, config: dict[str, Any], layout: Layout) -> dict[str, DataFrame]:
+def run_silver(spark: SparkSession, config: dict[str, Any], layout: Layout) -> State:
     """All entities; a reconciliation that fails stops the run before anything is published.
 
-    Each entity is computed once, into its platform table; the combined table is merged from there.
+    Each entity is computed once, into its platform table; the combined table is merged from there. All
+    platform and combined tables change in one commit, whose rows by table are returned with it.
     """
     frames = conformed(spark, config, layout)
     for spec in config.get("reconciliations", []):
         enforce(frames, Reconciliation.parse(spec))
-    out = {}
-    for name, df in frames.items():
-        at = layout.silver(name)
-        write_table(df, at)
-        out[name] = spark.read.schema(df.schema).parquet(at)
-        if config["entities"][name].get("merge_key"):
-            upsert(spark, out[name], layout.combined(name), config["entities"][name]["merge_key"])
-    return out
+    with layout.store(spark).begin() as run:
+        for name, df in frames.items():
+            run.write(layout.silver(name), df)
+            if config["entities"][name].get("merge_key"):
+                run.upsert(layout.combined(name), run.read(layout.silver(name)), config["entities"][name]["merge_key"])
+    return run.committed

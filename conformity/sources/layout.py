@@ -8,15 +8,24 @@ from typing import Any, Protocol
 
 from pyspark.sql import SparkSession
 
+from .store import Store
+
 
 @dataclass(frozen=True)
 class Layout:
-    """Paths of one client below a root that the cluster shares."""
+    """Paths of one client below a root that the cluster shares.
+
+    All but the bronze files are tables and documents of the client's store, which commits them together; where
+    their folders are is up to the store.
+    """
 
     root: str
     client: str
     platform: str = ""
 
+    def store(self, spark: SparkSession) -> Store:
+        return Store(spark, f"{self.root}/{self.client}")
+
     def bronze(self, name: str) -> str:
         return f"{self.root}/{self.client}/bronze/{self.platform}/{name}.json"
 

@@ -1,30 +1,32 @@
-"""Reading, joining, upserting and publishing tables."""
+"""Reading, joining and upserting tables."""
 
 from __future__ import annotations
 
-import json
-import uuid
 from typing import Any
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..checks import require
 from ..model import table_schema
+from .store import State, Store
 
 
-def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at a path, or None if there is none; any other failure is raised.
+#: The table of a store that holds nothing else.
+ROWS = "rows"
 
-    A table that a run has moved aside, and did not live to replace, is read where it is.
-    """
-    for at in (path, _aside(path)):
-        try:
-            return spark.read.parquet(at)
-        except AnalysisException as e:
-            if "PATH_NOT_FOUND" not in str(e.getCondition() if hasattr(e, "getCondition") else e):
-                raise
+
+def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at a path, plain Parquet or one made by ``upsert``, or None if there is none; any other
+    failure is raised."""
+    store = Store(spark, path)
+    if store.versions():
+        return store.read(ROWS)
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e.getCondition() if hasattr(e, "getCondition") else e):
+            raise
     return None
 
 
@@ -43,7 +45,8 @@ def write_table(df: DataFrame, path: str) -> None:
 
 
 def merged(target: DataFrame | None, source: DataFrame, keys: list[str]) -> DataFrame:
-    """``target`` with the rows of ``source`` replacing those of equal keys and the others added.
+    """``target`` with the rows of ``source`` replacing those of equal keys and the others added: what an upsert
+    gives, as a plan and without writing.
 
     Null keys equal nothing: such rows are added again by every run.
     """
@@ -52,69 +55,11 @@ def merged(target: DataFrame | None, source: DataFrame, keys: list[str]) -> Data
     return target.join(source.select(*keys).distinct(), keys, "left_anti").unionByName(source)
 
 
-def upsert(spark: SparkSession, source: DataFrame, path: str, keys: list[str]) -> None:
-    """Merge into the table at ``path`` and swap the result in; source keys must be unique.
-
-    The merged rows are complete beside the table before the table is replaced.
-    """
-    usable = F.lit(True)
-    for k in keys:
-        usable = usable & F.col(k).isNotNull()
-    require([(source.where(usable).groupBy(*keys).count(), F.col("count") > 1, f"Several source rows share a merge key {keys}")])
-    recover(spark, path)
-    staged = f"{path}__staged-{uuid.uuid4().hex}"
-    merged(read_or_none(spark, path), source, keys).write.parquet(staged)
-    swap(spark, staged, path)
-
-
-def _aside(path: str) -> str:
-    return f"{path.rstrip('/')}__old"
-
-
-def _rename(fs, source, target) -> None:
-    """Rename a folder to a name that is free. Hadoop reports most failures by its result, and moves a folder
-    into one that exists."""
-    if fs.exists(target) or not fs.rename(source, target):
-        raise OSError(f"{source} cannot be renamed to {target}")
-
-
-def _files(spark: SparkSession, *paths: str):
-    """The file system of the first path, and all as its paths."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    at = [hadoop.Path(p) for p in paths]
-    return at[0].getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), *at
-
-
-def recover(spark: SparkSession, path: str) -> None:
-    """Finish what a run that died in ``swap`` began: without a table its former state comes back, and a
-    former state beside a table goes."""
-    fs, at, old = _files(spark, path, _aside(path))
-    if fs.exists(old):
-        if fs.exists(at):
-            fs.delete(old, True)
-        else:
-            _rename(fs, old, at)
-
-
-def swap(spark: SparkSession, staged: str, path: str) -> None:
-    """Put a complete folder in the place of another by renames on their file system.
-
-    The former table is deleted only after the new one is in its place; if it cannot be put there, the former
-    one comes back and the error is raised.
-    """
-    recover(spark, path)
-    fs, at, old, new = _files(spark, path, _aside(path), staged)
-    held = fs.exists(at)
-    if held:
-        _rename(fs, at, old)
-    try:
-        _rename(fs, new, at)
-    except Exception:
-        if held:
-            _rename(fs, old, at)
-        raise
-    if held:
-        fs.delete(old, True)
+def upsert(spark: SparkSession, source: DataFrame, path: str, keys: list[str], buckets: int | None = None) -> State:
+    """Merge into the keyed table at ``path``, whose buckets without incoming keys are left alone."""
+    with Store(spark, path).begin() as run:
+        run.upsert(ROWS, source, keys, buckets)
+    return run.committed
 
 
 def join_sources(frames: list[DataFrame], on: list[Any] | None, how: str = "inner") -> DataFrame:
@@ -149,14 +94,3 @@ def load_source(name: str, meta: dict[str, Any], read) -> DataFrame:
         frames.append(df)
     how = source.get("how", "inner")
     return frames[0] if len(frames) == 1 else join_sources(frames, source.get("on"), "inner" if how == "single" else how)
-
-
-def write_json(spark: SparkSession, document: dict[str, Any], path: str) -> None:
-    """A pretty JSON file through Spark's own file systems."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    stream = at.getFileSystem(conf).create(at, True)
-    try:
-        stream.write(bytearray(json.dumps(document, indent=2).encode()))
-    finally:
-        stream.close()

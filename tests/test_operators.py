@@ -86,7 +86,7 @@ def test_upserts_are_idempotent_and_checked(spark, tmp_path):
     upsert(spark, rows((1, "a"), (2, "b")), path, ["id"])
     for _ in range(2):
         upsert(spark, rows((2, "c"), (3, "d")), path, ["id"])
-    assert {tuple(r) for r in spark.read.parquet(path).collect()} == {(1, "a"), (2, "c"), (3, "d")}
+    assert {tuple(r) for r in read_or_none(spark, path).collect()} == {(1, "a"), (2, "c"), (3, "d")}
     assert merged(rows((None, "a")), rows((None, "a")), ["id"]).count() == 2
     with pytest.raises(ValueError, match="share a merge key"):
         upsert(spark, rows((1, "x"), (1, "y")), path, ["id"])
@@ -95,51 +95,6 @@ def test_upserts_are_idempotent_and_checked(spark, tmp_path):
     assert [t for _, t in read_or_empty(spark, f"{path}-absent", model, "t").dtypes] == ["string", "double", "timestamp", "string"]
 
 
-@pytest.mark.parametrize("failing", [1, 2])
-def test_a_failed_swap_leaves_the_former_table(spark, tmp_path, monkeypatch, failing):
-    path = f"file://{tmp_path}/t"
-    rows = lambda *r: spark.createDataFrame(list(r), "id int, v string")
-    upsert(spark, rows((1, "a")), path, ["id"])
-    real, calls = tables._rename, []
-
-    def rename(fs, source, target):
-        calls.append(target)
-        if len(calls) == failing:
-            raise OSError("no")
-        real(fs, source, target)
-
-    monkeypatch.setattr(tables, "_rename", rename)
-    with pytest.raises(OSError):
-        upsert(spark, rows((2, "b")), path, ["id"])
-    assert {tuple(r) for r in read_or_none(spark, path).collect()} == {(1, "a")}
-    monkeypatch.setattr(tables, "_rename", real)
-    upsert(spark, rows((2, "b")), path, ["id"])
-    assert {tuple(r) for r in spark.read.parquet(path).collect()} == {(1, "a"), (2, "b")}
-
-
-def test_a_run_that_died_between_renames_is_finished(spark, tmp_path):
-    path = f"file://{tmp_path}/t"
-    rows = lambda *r: spark.createDataFrame(list(r), "id int, v string")
-    upsert(spark, rows((1, "a")), path, ["id"])
-    (tmp_path / "t").rename(tmp_path / "t__old")
-    assert read_or_none(spark, path).count() == 1  # readers find it meanwhile
-    upsert(spark, rows((2, "b")), path, ["id"])
-    assert spark.read.parquet(path).count() == 2 and not (tmp_path / "t__old").exists()
-    rows((9, "stale")).write.parquet(f"{path}__old")  # died before the former state was deleted
-    upsert(spark, rows((3, "c")), path, ["id"])
-    assert {r["id"] for r in spark.read.parquet(path).collect()} == {1, 2, 3} and not (tmp_path / "t__old").exists()
-
-
-def test_renames_never_move_into_an_existing_folder(spark, tmp_path):
-    for name in ("a", "b"):
-        (tmp_path / name).mkdir()
-    fs, a, b, c = tables._files(spark, *[f"file://{tmp_path}/{n}" for n in "abc"])
-    with pytest.raises(OSError):
-        tables._rename(fs, a, b)
-    with pytest.raises(Exception, match="c"):
-        tables._rename(fs, c, fs.makeQualified(c).suffix("2"))  # nothing to rename
-
-
 def test_unique_lookup(spark):
     df = spark.createDataFrame([("a", 1, None), ("a", 1, None), ("b", 1, 2), ("b", 1, None), (None, 1, 1)], "k string, x int, y int")
     out = {r["key"]: (r["ambiguous"], r["payload"]) for r in unique_lookup(df, F.col("k"), {"x": F.col("x"), "y": F.col("y")}).collect()}
@@ -262,16 +217,16 @@ def test_silver_and_gold_end_to_end(spark, tmp_path):
     config = {"entities": {"companies": {"table": "company", "shape": "object", "columns": columns, "merge_key": ["id", "source_platform"]}}}
     for _ in range(2):
         run_silver(spark, config, layout)
-    assert spark.read.parquet(layout.combined("companies")).count() == 2
+    assert layout.store(spark).read(layout.combined("companies")).count() == 2
     write_table(spark.createDataFrame([], "id string, email string, source_platform string"), layout.combined("sales_reps"))
     names = ("companies", "sales_reps")
     metas = {k: demo.TABLES[k] | {"enrich": [], "derive": []} for k in names}
     metas["companies"]["catalog"] = {"fields": {"company_e_name": {"label": "Name"}}}
     context = ctx()
     catalog = build(spark, metas, layout, context)
-    assert spark.read.parquet(layout.gold("companies")).count() == 2
-    assert spark.read.parquet(f"{layout.audit('r', 'companies')}/decisions").count() == 2
-    assert read_document(spark, layout.catalog()) == json.loads(json.dumps(catalog))
+    assert layout.store(spark).read(layout.gold("companies")).count() == 2
+    assert layout.store(spark).read(f"{layout.audit('r', 'companies')}/decisions").count() == 2
+    assert layout.store(spark).document(layout.catalog()) == json.loads(json.dumps(catalog))
     with pytest.raises(FileNotFoundError):
         build(spark, metas, Layout(f"file://{tmp_path}", "nobody"), ctx())
 
@@ -287,14 +242,14 @@ def test_builds_apply_the_clients_policy_and_type_missing_dimensions(spark, tmp_
     with pytest.raises(FileNotFoundError):
         build(spark, held, layout, ctx())
     build(spark, held, layout, ctx(), model=model)
-    assert {r["sales_rep_e_email_source"] for r in spark.read.parquet(layout.gold("companies")).collect()} == {"unresolved"}
-    assert spark.read.parquet(layout.gold("sales_reps")).count() == 0
+    assert {r["sales_rep_e_email_source"] for r in layout.store(spark).read(layout.gold("companies")).collect()} == {"unresolved"}
+    assert layout.store(spark).read(layout.gold("sales_reps")).count() == 0
     where = tmp_path / "clients/client"
     where.mkdir(parents=True)
     policy = {"schema_version": 1, "tables": {"companies": {"resolve": {}}, "sales_reps": {"resolve": {}}}}
     (where / "resolution_config.json").write_text(json.dumps(policy))
     build(spark, held, layout, ctx(), model=model, provider=FileConfig(spark, f"file://{tmp_path}"))
-    assert "sales_rep_e_email_source" not in spark.read.parquet(layout.gold("companies")).columns
+    assert "sales_rep_e_email_source" not in layout.store(spark).read(layout.gold("companies")).columns
     (where / "resolution_config.json").write_text(json.dumps({"schema_version": 1, "tables": {}}))
     with pytest.raises(ValueError, match="cover"):
         build(spark, held, layout, ctx(), model=model, provider=FileConfig(spark, f"file://{tmp_path}"))
@@ -316,7 +271,7 @@ def test_silver_configuration_end_to_end(spark, tmp_path):
     (tmp_path / "c/bronze/crm").mkdir(parents=True)
     (tmp_path / "c/bronze/crm/companies.json").write_text(json.dumps({"results": [{"id": "1", "properties": {"name": "x", "label": "Acme"}}]}))
     run_silver(spark, config, layout)
-    assert [tuple(r) for r in spark.read.parquet(layout.combined("companies")).select("id", "name").collect()] == [("1", "Acme")]
+    assert [tuple(r) for r in layout.store(spark).read(layout.combined("companies")).select("id", "name").collect()] == [("1", "Acme")]
     with pytest.raises(ValueError, match="not active"):
         resolve_config(spark, root, "off", "crm", provider)
     with pytest.raises(MetadataError):
@@ -333,5 +288,5 @@ def test_streams_merge_like_batches(spark, tmp_path):
         stream = spark.readStream.schema(schema).parquet(f"file://{source}")
         specs = {c: {"source": c} for c in ("id", "v", "at")}
         upsert_stream(stream, specs, path, ["id"], "at", f"file://{tmp_path}/checkpoint").awaitTermination(120)
-        assert i or {r["v"] for r in spark.read.parquet(path).collect()} == {"b"}
-    assert {(r["id"], r["v"]) for r in spark.read.parquet(path).collect()} == {(1, "c"), (2, "d")}
+        assert i or {r["v"] for r in read_or_none(spark, path).collect()} == {"b"}
+    assert {(r["id"], r["v"]) for r in read_or_none(spark, path).collect()} == {(1, "c"), (2, "d")}
