@@ -9,6 +9,8 @@ from typing import Any
 
 from pyspark.sql import DataFrame
 
+from .sources.shared import scratch
+
 
 @dataclass
 class RunContext:
@@ -23,6 +25,8 @@ class RunContext:
     aliases: dict[str, dict[tuple[str, ...], DataFrame]] = field(default_factory=dict)
     #: Also compare what custom matchers and selectors return with what they were given.
     strict: bool = False
+    #: Split keys with more than this share of a table's rows in lookups; None looks for none.
+    split_share: float | None = None
     #: Rows of each table that the run published.
     rows: dict[str, int] = field(default_factory=dict)
     held: list[DataFrame] = field(default_factory=list)
@@ -36,6 +40,13 @@ class RunContext:
         self.held.append(df.persist())
         return df
 
+    def settle(self, df: DataFrame, name: str) -> DataFrame:
+        """Write a frame to the shared folder and read it back: what follows has the same rows in the same
+        partitions whatever happens to executors. ``release`` leaves it; it is as long-lived as the results."""
+        path = scratch(df.sparkSession, name)
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
     def release(self) -> None:
         while self.held:
             self.held.pop().unpersist()

@@ -155,6 +155,8 @@ TABLES: dict[str, dict[str, Any]] = {
 
 
 def gold(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """All gold tables as plans: a query that reads some columns computes no others. Builds, which write whole
+    tables, settle what several plans read."""
     silver = {"sales_reps": sales_reps(spark, d), "companies": companies(spark, d), "orders": orders(spark, d)}
     validate_tables(TABLES)
     return run_gold(TABLES, lambda n, m: load_source(n, m, silver.get), context())

@@ -21,6 +21,7 @@ from ..functions.keys import NORMALIZERS, identity_json, is_usable
 from ..model import reject_maps
 from ..plans.policy import _only, check_dedup, fields
 from ..registry import REGISTRY, Registry
+from .lookup import outer_lookup
 
 SOURCE, EVIDENCE = "__mm_dedup_source", "__mm_dedup_evidence"
 MATCH = ("__dd_group", "__dd_member", "__dd_role", "__dd_inputs")
@@ -325,7 +326,7 @@ def alias_lookup(df: DataFrame, table: str, mapping: dict[str, str], ctx: RunCon
     if grain is None:
         return df.withColumn(output, own)
     known = held[grain].select(F.col("source_identity").alias("__alias_from"), F.col("canonical_identity").alias("__alias_to"))
-    return df.join(known, own == F.col("__alias_from"), "left").withColumn(output, F.coalesce("__alias_to", own)).drop("__alias_from", "__alias_to")
+    return outer_lookup(df, known, [(own, "__alias_from")]).withColumn(output, F.coalesce("__alias_to", own)).drop("__alias_to")
 
 
 def deduplicate(df: DataFrame, name: str, meta: dict[str, Any], ctx: RunContext, registry: Registry = REGISTRY) -> DataFrame:

@@ -3,7 +3,8 @@
 Neighbouring metrics over one key that do not read each other share one aggregation. It combines before it
 shuffles, so a key with any share of the rows (the null key of unresolved rows, say) stays many tasks, and
 joining its one row per key back leaves the table's own partitions alone where the keys are few. Null keys
-are one group, as in a window.
+are one group, as in a window. ``sequence`` numbers the distinct places of a key, dealt to ranges, and joins the
+numbers back.
 """
 
 from __future__ import annotations
@@ -12,12 +13,14 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..context import RunContext
 from ..evidence import envelope, inputs_json
 from ..registry import REGISTRY, Registry
+from .lookup import outer_lookup
+from .ranking import dense_ranks
 
 metric = lambda name, **about: REGISTRY.add("metric", name, outcomes={"calculated": "Computed from the inputs."}, **about)
 
@@ -30,6 +33,14 @@ class Grouped:
     finish: Callable[[Column], Column] = lambda c: c
 
 
+@dataclass(frozen=True)
+class Joined:
+    """A metric that joins columns, which go again, and reads its value from them."""
+
+    join: Callable[[DataFrame], tuple[DataFrame, Column]]
+    temporary: tuple[str, ...]
+
+
 @metric("sum", description="Sum over the key.")
 def total(m: dict[str, Any], ctx: RunContext) -> Grouped:
     return Grouped(F.sum(m["of"]))
@@ -79,24 +90,25 @@ def is_current_month(m: dict[str, Any], ctx: RunContext) -> Callable[[DataFrame]
 
 
 @metric("sequence", description="Number of the entity in the order of its key; equal positions share one.")
-def sequence(m: dict[str, Any], ctx: RunContext) -> Callable[[DataFrame], Column]:
+def sequence(m: dict[str, Any], ctx: RunContext) -> Joined:
     direction = m.get("direction", "asc")
     if direction not in ("asc", "desc"):
         raise ValueError(f"{m['name']}: direction must be asc or desc")
 
-    def row(df: DataFrame) -> Column:
-        columns = [m["over"], m["of"], m.get("order_by", "order_date")]
+    def join(df: DataFrame) -> tuple[DataFrame, Column]:
+        columns = [m["over"], m.get("order_by", "order_date"), m["of"]]
         missing = [c for c in columns if c not in df.columns]
         if missing:
             raise ValueError(f"{m['name']}: no such columns: {missing}")
-        over, of, by = (F.col(c) for c in columns)
-        valid = over.isNotNull() & of.isNotNull() & by.isNotNull()
-        # rows that get no number are dealt by their own values, not to one task
-        spread = F.when(~valid, F.xxhash64(over, of, by))
-        window = Window.partitionBy(over, valid, spread).orderBy(by.desc() if direction == "desc" else by.asc(), of.asc())
-        return F.when(valid, F.dense_rank().over(window))
+        names = ["__seq_over", "__seq_by", "__seq_of"]
+        places = df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(columns, names, strict=True)]).dropna()
+        order = [F.col("__seq_by").desc() if direction == "desc" else F.col("__seq_by").asc(), F.col("__seq_of").asc()]
+        ranked = dense_ranks(places, names[:1], order, names[1:], lambda d: ctx.settle(d, "sequence"), "__seq")
+        # rows without a place are dealt by their own values; those of a place meet its number
+        joined = outer_lookup(df, ranked, [(F.col(f"`{c}`"), n) for c, n in zip(columns, names, strict=True)])
+        return joined, F.col("__seq").cast("int")
 
-    return row
+    return Joined(join, ("__seq",))
 
 
 def _reads(m: dict[str, Any]) -> list[str]:
@@ -117,6 +129,11 @@ def add_metrics(df: DataFrame, metrics: list[dict[str, Any]], ctx: RunContext, r
     at = 0
     while at < len(metrics):
         built = registry.get("metric", metrics[at]["agg"]).run(metrics[at], ctx)
+        if isinstance(built, Joined):
+            joined, value = built.join(df)
+            df = _with_evidence(joined, [(metrics[at], value)], ctx, registry).drop(*built.temporary)
+            at += 1
+            continue
         if not isinstance(built, Grouped):
             df = _with_evidence(df, [(metrics[at], built(df))], ctx, registry)
             at += 1

@@ -23,9 +23,10 @@ def in_order(df: DataFrame, by: list[str], order: list[Column], name: str, hold:
 
     Null keys are keys. ``order`` has to tell rows apart wherever it matters which comes first. ``hold`` makes
     the dealt rows final (held by the context, or written): ranges are found by sampling, and all that follows
-    has to read the same ones. ``ranges``: by default as many as Spark's shuffle partitions.
+    has to read the same ones. ``ranges``: by default twice as many as Spark's shuffle partitions, over which
+    the ranges of a key are then dealt by hash.
     """
-    n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = ranges or 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(f"`{c}`").asc_nulls_first() for c in by]
     dealt = df.repartitionByRange(n, *keys, *order).sortWithinPartitions(*keys, *order)
     placed = hold(dealt.withColumn(AT, F.monotonically_increasing_id()))

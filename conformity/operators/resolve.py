@@ -8,7 +8,7 @@ are computed.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -149,7 +149,7 @@ def _chain(steps: list[_Step]) -> dict[str, Column]:
 
 def resolve_target(df: DataFrame, target: str, spec: dict[str, Any], ctx: RunContext, registry: Registry = REGISTRY) -> DataFrame:
     """Add ``target``, ``target_source`` and ``target_evidence``."""
-    rows = Rows(df, ctx.dims)
+    rows = Rows(df, ctx.dims, ctx.split_share)
     built: dict[tuple, _Step] = {}
 
     def step(entry: dict[str, Any]) -> _Step:
@@ -157,13 +157,18 @@ def resolve_target(df: DataFrame, target: str, spec: dict[str, Any], ctx: RunCon
         params = {**strategy.inputs, **entry["params"]}
         key = (entry["id"], strategy.ref, tuple(sorted(params.items())))
         if key not in built:
-            found: Candidate = strategy.run(rows, params, ctx)
-            resolved, unclear, reason = found.outcome()
+            offered: Candidate = strategy.run(rows, params, ctx)
+            # what a step offers is a column before the chains read it, so that it is computed once for each row
+            at = f"__step_{len(built)}"
+            rows.df = rows.df.withColumn(at, F.struct(offered.value.cast("string").alias("value"), (F.lit(False) if offered.ambiguous is None else offered.ambiguous).alias("unclear"), offered.inputs.alias("inputs")))
+            found = replace(offered, value=F.col(f"{at}.value"), ambiguous=F.col(f"{at}.unclear"), inputs=F.col(f"{at}.inputs"))
+            rows.df = rows.df.withColumn(f"{at}_ok", found.outcome()[0])
+            resolved, unclear, reason = F.col(f"{at}_ok"), found.ambiguous, found.outcome()[2]
             status = F.when(resolved, "resolved").otherwise("no_match")
             attempt = F.struct(
                 F.lit(entry["id"]).alias("step"), F.lit(strategy.ref).alias("strategy"), status.alias("status"), reason.alias("reason"), found.inputs.alias("inputs")
             )
-            built[key] = _Step(entry["id"], strategy, found.value.cast("string"), resolved, unclear, attempt)
+            built[key] = _Step(entry["id"], strategy, found.value, resolved, unclear, attempt)
         return built[key]
 
     by_platform = {p: _chain([step(e) for e in entries]) for p, entries in chains(spec).items()}
