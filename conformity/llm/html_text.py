@@ -1,19 +1,23 @@
 """Main text of web pages by site style trees.
 
 The DOMs of one host are merged into a tree whose nodes are element paths (tag with its class and id,
-digits dropped). Pages of equal main content count once,
-whatever stands around it. For each node the tree holds
+digits dropped). Pages of equal main content count once, whatever stands around it. All elements that can hold
+text are nodes, menus and footers like articles. For each node the tree holds
 
 * its presentation: the sequences of child elements seen, whose entropy over the host's pages is the
   node's presentation importance (one style on all pages: 0);
 * its content: each distinct block of text, whose entropy over the pages that have the node is 0 if it is
   on one page and 1 if it is on all; the content importance is 1 less the mean over distinct blocks;
-* the share of its text that is link text.
+* the share of its text that is link text;
+* whether its element is marked: HTML states that it is no article text (``nav``, ``aside``, ``footer``, ``form``,
+  ``role=`` and so on, a ``header`` outside an article), or its class or id has a word that says so. Inside
+  ``main`` and ``article`` words count only if one that names an advert, comments, sharing or a notice is a whole class.
 
 A branch's importance is the style-weighted mean of its own presentation importance and the content
-importance below it, less its link share. Branches of low importance are removed from every page of the
-host, but never ``html``, ``body``, ``main`` or ``article`` itself. Elements whose role HTML itself states (navigation, footers, forms, scripts, asides, advert or
-comment classes and so on) are presentation nodes of no importance and go on any host.
+importance below it, less its link share, and times ``MARKED`` for marked elements, unless these hold nearly all
+of the host's text (``WRAPPER``): a wrapper round the article is no sidebar, whatever it is called. Branches of
+low importance are removed from every page of the host, but never ``html``, ``body``, ``main`` or ``article`` itself.
+Elements whose content is never shown as text (scripts, styles, controls, hidden elements) are left out.
 
 A null or empty html gives an empty text; a page without a host (null url too) shares a tree with others
 without one. A few pages say little about a host: its branches' importance is drawn towards that of their
@@ -53,9 +57,9 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-NO_TEXT = frozenset(
-    "head script style noscript template svg iframe textarea select button form nav footer aside object canvas audio video math dialog menu title option datalist map".split()
-)
+#: Elements that hold no text of a page, and those that HTML says are beside it.
+NO_TEXT = frozenset("head script style noscript template svg iframe textarea select button object canvas audio video title option datalist map".split())
+STATED = frozenset("nav footer aside form menu dialog".split())
 CLOSED_BY_BLOCK = frozenset("p h1 h2 h3 h4 h5 h6".split())
 SELF_CLOSING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 ROLE_WORDS = frozenset(
@@ -64,6 +68,8 @@ ROLE_WORDS = frozenset(
     "pagination pager popup promo promoted promotion recommended related replies reply respond share sharing shares sidebar sidenav "
     "signup skip social sponsor sponsored sponsors subscribe taboola tags toc toolbar topbar widget widgets".split()
 )
+#: Words that mark an element inside an article too, if one is a class of its own.
+INNER_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsored comment comments replies share sharing newsletter cookie cookies notice".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 
 #: Elements whose content is no markup.
@@ -76,30 +82,34 @@ ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]
 WORD = re.compile(r"[a-z]+")
 DIGITS = re.compile(r"\d+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
-_seen: dict[tuple[str, str], tuple[str, bool]] = {}
+#: Importance of a marked element as a part of what its text and style say, and the share of a host's text
+#: above which its mark counts for nothing. The step of a marked element ends with ``MARK``.
+MARKED, WRAPPER, MARK = 0.25, 0.8, "!"
+_seen: dict[tuple[str, str], tuple[str, bool, bool, bool]] = {}
 
 
-def _look(tag: str, attributes: str) -> tuple[str, bool]:
-    """Signature of an element and whether its stated role has no importance."""
+def _look(tag: str, attributes: str) -> tuple[str, bool, bool, bool]:
+    """Signature of an element, whether it holds no text, and whether it is marked outside and inside an article."""
     key = (tag, attributes)
     found = _seen.get(key)
     if found is None:
-        sign, role = tag, tag in NO_TEXT
+        sign, empty, stated, outer, inner = tag, tag in NO_TEXT, tag in STATED, False, False
         if attributes:
             for name, a, b, c in ATTRIBUTE.findall(attributes):
                 name, value = name.lower(), a or b or c
                 if name in ("class", "id"):
-                    sign += "." + DIGITS.sub("", value)
-                    role = role or not ROLE_WORDS.isdisjoint(WORD.findall(CAMEL.sub(" ", value).lower()))
+                    sign += "." + DIGITS.sub("", value).replace(">", "")
+                    outer = outer or not ROLE_WORDS.isdisjoint(WORD.findall(CAMEL.sub(" ", value).lower()))
+                    inner = inner or not INNER_WORDS.isdisjoint(value.lower().split())
                 elif name == "role":
-                    role = role or value.lower() in ROLES
+                    stated = stated or value.lower() in ROLES
                 elif name == "hidden" or value.lower() == "true":
-                    role = True
+                    empty = True
             if tag in ("html", "body", "main", "article"):
-                role = False
+                empty = stated = outer = inner = False
         if len(_seen) > 50_000:
             _seen.clear()
-        found = _seen[key] = (sign, role)
+        found = _seen[key] = (sign.rstrip(MARK), empty, stated or outer or tag == "header", stated or inner)
     return found
 
 
@@ -153,7 +163,7 @@ RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
 
 
 def blocks(page: str) -> tuple[list[tuple[str, str, int, int]], list[tuple[str, str]]]:
-    """Blocks outside role-marked elements as (path, text, characters, link characters), in page order,
+    """Blocks of text as (path, text, characters, link characters), in page order,
     and the presentation (path, sequence of child signatures) of the elements that hold them."""
     out: list[tuple[str, str, int, int]] = []
     styles: list[tuple[str, str]] = []
@@ -219,13 +229,13 @@ def blocks(page: str) -> tuple[list[tuple[str, str, int, int]], list[tuple[str,
                     break
                 if stack[k][0] in ("ul", "ol", "dl", "table"):
                     break
-        sign, role = _look(tag, attributes)
-        if tag == "header":
-            role = not (open_tags["article"] or open_tags["main"])
+        sign, empty, outer, inner = _look(tag, attributes)
+        if inner if open_tags["article"] or open_tags["main"] else outer:
+            sign += MARK
         parent = stack[-1]
         if not parent[2]:
             parent[3].append(sign)
-        stack.append([tag, f"{parent[1]}>{sign}" if len(stack) <= DEPTH else parent[1], parent[2] or role, []])
+        stack.append([tag, f"{parent[1]}>{sign}" if len(stack) <= DEPTH else parent[1], parent[2] or empty, []])
         open_tags[tag] += 1
     if at < len(page) and not stack[-1][2]:
         buffer.append(page[at:])
@@ -235,29 +245,33 @@ def blocks(page: str) -> tuple[list[tuple[str, str, int, int]], list[tuple[str,
     return out, styles
 
 
-def _under(path: str, low: frozenset[str]) -> bool:
-    """Whether a path or an element above it is among the low ones."""
-    if path in low:
-        return True
-    at = path.rfind(">")
-    while at > 0:
-        path = path[:at]
-        if path in low:
+def _removed(path: str, low: frozenset[str], kept: frozenset[str]) -> bool:
+    """Whether a path or one above it is low: as listed, or marked and not listed as kept."""
+    while path:
+        if path in low or path.endswith(MARK) and path not in kept:
             return True
-        at = path.rfind(">")
+        path = path[: max(path.rfind(">"), 0)]
     return False
 
 
-def main_text(page: str | None, low: frozenset[str] = frozenset()) -> str:
+def main_text(page: str | None, low: frozenset[str] = frozenset(), kept: frozenset[str] = frozenset()) -> str:
     """Text of the blocks outside low-importance branches, joined by one space."""
     if not page:
         return ""
-    found = blocks(page)[0]
-    return " ".join(b[1] for b in found if not low or not _under(b[0], low))
+    known: dict[str, bool] = {}
+    out = []
+    for path, text, *_ in blocks(page)[0]:
+        if path not in known:
+            known[path] = _removed(path, low, kept)
+        if not known[path]:
+            out.append(text)
+    return " ".join(out)
 
 
 def content_digest(found: list[tuple[str, str, int, int]]) -> int:
-    """Digest of a page's main content: of the blocks in ``main`` or ``article``, or of those that are not mostly links."""
+    """Digest of a page's main content: of the blocks in ``main`` or ``article``, or of those that are not mostly
+    links, without those below marked elements."""
+    found = [b for b in found if f"{MARK}>" not in b[0] and not b[0].endswith(MARK)] or found
     kept = [b for b in found if any(step.split(".", 1)[0] in ("main", "article") for step in b[0].split(">"))]
     kept = kept or [b for b in found if 2 * b[3] <= b[2]] or found
     return _hash("\n".join(b[1] for b in kept))
@@ -325,26 +339,33 @@ def branch_importance(features: DataFrame) -> DataFrame:
             (F.sum(F.col("own") * F.col("n")) / F.sum("n")).alias("below"),
             F.max("m").alias("pages"),
             (F.sum("link_chars") / F.greatest(F.sum("chars"), F.lit(1))).alias("link_share"),
+            F.sum("chars").alias("chars"),
         )
+        .join(leaves.groupBy("host").agg(F.sum("chars").alias("all_chars")), "host")
     )
+    mark = F.when(F.col("path").endswith(MARK) & (F.col("chars") <= WRAPPER * F.col("all_chars")), MARKED).otherwise(1.0)
     styles = nodes.where("kind = 1").select("host", "path", style.alias("style"))
     scored = branches.join(styles, ["host", "path"], "left")
     weighed = F.when(F.col("style").isNull(), F.col("below")).otherwise((1 - GAMMA) * F.col("style") + GAMMA * F.col("below"))
-    own = saved(scored.select("host", "path", "pages", (weighed * (1 - F.col("link_share"))).alias("own")), "branch-scores")
+    own = saved(scored.select("host", "path", "pages", (weighed * (1 - F.col("link_share"))).alias("own"), mark.alias("mark")), "branch-scores")
     # one page of a host is no evidence: m pages count as m - 1
     seen = F.col("pages") - 1
     corpus = own.groupBy("path").agg(((F.sum(seen * F.col("own")) + 1) / (F.sum(seen) + 1)).alias("prior"))
     drawn = (seen * F.col("own") + PRIOR_PAGES * F.col("prior")) / (seen + PRIOR_PAGES)
-    return own.join(corpus, "path").select("host", "path", "pages", drawn.alias("importance"))
+    return own.join(corpus, "path").select("host", "path", "pages", (drawn * F.col("mark")).alias("importance"))
 
 
 def low_branches(pages: DataFrame, threshold: float = IMPORTANCE) -> DataFrame:
-    """host and the array of its paths of low importance."""
+    """host, the array of its unmarked paths of low importance and that of its marked paths of more.
+
+    Marked paths are low unless listed, so that what hosts have in common is in no list.
+    """
     # read by several aggregations: pages are parsed once for all of them
     features = saved(tree_features(pages), "tree-features")
-    scored = branch_importance(features)
-    low = scored.where((F.col("importance") < threshold) & ~F.col("path").rlike(KEPT_TAGS))
-    return low.groupBy("host").agg(F.array_sort(F.collect_set("path")).alias("low"))
+    marked = F.col("path").endswith(MARK)
+    scored = branch_importance(features).withColumn("is_low", F.col("importance") < threshold).where((F.col("is_low") != marked) & ~F.col("path").rlike(KEPT_TAGS))
+    paths = lambda which: F.array_sort(F.collect_set(F.when(which, F.col("path"))))
+    return scored.groupBy("host").agg(paths(~marked).alias("low"), paths(marked).alias("kept"))
 
 
 def extract_main_text(pages: DataFrame, threshold: float = IMPORTANCE) -> DataFrame:
@@ -352,7 +373,7 @@ def extract_main_text(pages: DataFrame, threshold: float = IMPORTANCE) -> DataFr
     prepare(pages.sparkSession)
     hosted = with_host(pages)
     low = saved(low_branches(hosted, threshold), "low-branches")
-    held = low.agg(F.sum(F.length("host") + F.length(F.array_join("low", " "))).alias("n")).first()["n"] or 0
+    held = low.agg(F.sum(F.length("host") + F.length(F.array_join(F.concat("low", "kept"), " "))).alias("n")).first()["n"] or 0
     if held <= BROADCAST_BYTES:
         joined = hosted.join(F.broadcast(low), "host", "left")
     else:  # a hot host's pages meet its paths in many tasks
@@ -363,22 +384,24 @@ def extract_main_text(pages: DataFrame, threshold: float = IMPORTANCE) -> DataFr
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("html", _seen.clear)
         sets: dict[tuple, frozenset] = {}
+
+        def held(paths: list[str] | None) -> frozenset[str]:
+            key = tuple(paths or ())
+            if key not in sets:
+                if len(sets) > 1000:
+                    sets.clear()
+                sets[key] = frozenset(key)
+            return sets[key]
+
         for batch in batches:
-            htmls, lows = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            texts = []
-            for page, paths in zip(htmls, lows, strict=True):
-                key = tuple(paths or ())
-                if key not in sets:
-                    if len(sets) > 1000:
-                        sets.clear()
-                    sets[key] = frozenset(key)
-                texts.append(main_text(page, sets[key]))
+            columns = [batch.column(i).to_pylist() for i in (2, 3, 4)]
+            texts = [main_text(page, held(low), held(kept)) for page, low, kept in zip(*columns, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 names=["page_id", "url", "text", "n_chars"],
             )
 
-    narrow = joined.select(F.col("page_id").cast("long"), F.col("url").cast("string"), "html", "low")
+    narrow = joined.select(F.col("page_id").cast("long"), F.col("url").cast("string"), "html", "low", "kept")
     return narrow.mapInArrow(extract, "page_id long, url string, text string, n_chars long")
 
 
