@@ -20,7 +20,7 @@ Repeated rows are reported each. With an empty table there are no hits.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -47,6 +47,8 @@ MASKS = {
 WINDOW, SHARE = 16, 0.75
 MIN_WORDS = 6
 BLOCK_BYTES = 8 << 20
+#: Bytes of blocks whose indexes a worker keeps, and characters of text that meet each of several blocks together.
+INDEXED_BYTES, GROUP_CHARS = 32 << 20, 16 << 20
 KEPT_WORDS = 150_000
 WORD = re.compile(r"\w+")
 MULTIPLIERS = np.array([xxhash.xxh3_64_intdigest(str(i)) | 1 for i in range(13)], np.uint64)
@@ -155,7 +157,7 @@ def aligned(doc: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, in
     return a + shift, b + shift, a, int(total[b - lo] - total[a - lo])
 
 
-_indexes: dict[int, tuple[object, SeedIndex]] = {}
+_indexes: dict[int, tuple[list, SeedIndex, int]] = {}
 
 
 def _release() -> None:
@@ -164,15 +166,34 @@ def _release() -> None:
 
 
 def _index(shared) -> SeedIndex:
-    """This worker's index of a broadcast block (built once, kept for the last block)."""
+    """This worker's index of a broadcast block. Built indexes stay while their blocks are within
+    ``INDEXED_BYTES``; beyond that the oldest goes."""
     claim("decontaminate", _release)
     items = shared.value
-    held = _indexes.get(0)
-    if held is None or held[0] is not items:
-        held = _indexes[0] = (items, SeedIndex(items))
+    held = _indexes.get(id(items))
+    if held is None:
+        size = sum(len(text) for _, text in items)
+        while _indexes and size + sum(n for *_, n in _indexes.values()) > INDEXED_BYTES:
+            del _indexes[next(iter(_indexes))]
+        held = _indexes[id(items)] = (items, SeedIndex(items), size)
     return held[1]
 
 
+def _groups(batches: Iterator, texts_of: Callable, blocks: int) -> Iterator[list]:
+    """Batches with their texts, as many at a time as make ``GROUP_CHARS``: each group meets every block once,
+    so indexes that cannot all be kept are not built again for each batch. A single block needs no groups."""
+    group, held = [], 0
+    for batch in batches:
+        texts = texts_of(batch)
+        group.append((batch, texts))
+        held += sum(len(t) for t in texts if t)
+        if blocks <= 1 or held >= GROUP_CHARS:
+            yield group
+            group, held = [], 0
+    if group:
+        yield group
+
+
 def blocks_of(benchmark: DataFrame, most: int | None = None) -> Iterator[list[tuple[int, str]]]:
     """The benchmark in blocks of about ``most`` bytes of text (``BLOCK_BYTES`` unless given)."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
@@ -187,43 +208,43 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document and item that contaminates it, with the best agreeing stretch in words."""
     spark = prepare(docs.sparkSession)
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    out = spark.createDataFrame([], HITS)
-    for block in blocks_of(benchmark):
-        shared = spark.sparkContext.broadcast(block)
-
-        def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = _index(shared)
-            for batch in batches:
-                rows = [
-                    (doc_id, item_id, *hit)
-                    for doc_id, hits in zip(batch.column(0).to_pylist(), index.find(batch.column(1).to_pylist()), strict=True)
-                    for item, *hit in hits
-                    for item_id in index.ids[item]
-                ]
-                if rows:
-                    kinds = (pa.int64(), pa.int64(), *[pa.int32()] * 4)
-                    columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
-                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "item_id", "start_word", "end_word", "item_start", "n_equal"])
-
-        out = out.unionByName(narrow.mapInArrow(search, HITS))
-    return out
+    blocks = [spark.sparkContext.broadcast(block) for block in blocks_of(benchmark)]
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, lambda b: b.column(1).to_pylist(), len(blocks)):
+            for shared in blocks:
+                index = _index(shared)
+                for batch, texts in group:
+                    rows = [
+                        (doc_id, item_id, *hit)
+                        for doc_id, hits in zip(batch.column(0).to_pylist(), index.find(texts), strict=True)
+                        for item, *hit in hits
+                        for item_id in index.ids[item]
+                    ]
+                    if rows:
+                        kinds = (pa.int64(), pa.int64(), *[pa.int32()] * 4)
+                        columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
+                        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "item_id", "start_word", "end_word", "item_start", "n_equal"])
+
+    return narrow.mapInArrow(search, HITS)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that no benchmark item contaminates."""
     spark = prepare(docs.sparkSession)
-    for block in blocks_of(benchmark):
-        docs = docs.where(_clean(spark.sparkContext.broadcast(block))(F.col("text").cast("string")))
-    return docs
-
-
-def _clean(shared):
-    """Whether a text has no hit in a broadcast block."""
-
-    def clean(texts: pd.Series) -> pd.Series:
-        return pd.Series([not hits for hits in _index(shared).find(list(texts))], dtype=bool)
-
-    return pandas_udf(clean, "boolean")
+    blocks = [spark.sparkContext.broadcast(block) for block in blocks_of(benchmark)]
+
+    @pandas_udf("boolean")
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for group in _groups(batches, list, len(blocks)):
+            hit = [np.zeros(len(texts), bool) for _, texts in group]
+            for shared in blocks:
+                index = _index(shared)
+                for found, (_, texts) in zip(hit, group, strict=True):
+                    found |= np.array([bool(hits) for hits in index.find(texts)], bool)
+            yield from (pd.Series(~found) for found in hit)
+
+    return docs.where(clean(F.col("text").cast("string"))) if blocks else docs
 
 
 def op5_decontaminate(spark, sf_dir: str) -> DataFrame:

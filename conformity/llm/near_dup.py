@@ -54,7 +54,7 @@ MULTIPLY = (_random.integers(0, 1 << 31, SAMPLES, dtype=np.uint64) * 2 + 1).asty
 ADD = _random.integers(0, 1 << 32, SAMPLES, dtype=np.uint64).astype(np.uint32)
 SALT = _random.integers(0, 1 << 63, SAMPLES, dtype=np.uint64)
 _words: dict[bytes, int] = {}
-SIGNATURES = "doc_id long, n_shingles long, digest binary, bands array<long>, sketch array<long>"
+SIGNATURES = "doc_id long, text_key long, n_shingles long, digest binary, bands array<long>, sketch array<long>"
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -110,7 +110,7 @@ def differing_bits(similarity: float) -> int:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, digest, bands, sketch; no digest, bands or sketch for documents without a set."""
+    """doc_id, text_key, n_shingles, digest, bands, sketch; no digest, bands or sketch for documents without a set."""
     prepare(docs.sparkSession)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,11 +129,11 @@ def signatures(docs: DataFrame) -> DataFrame:
                 sketches.append(odd_sketch(samples))
             lists = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, lists), pa.array(sketches, lists)],
-                names=["doc_id", "n_shingles", "digest", "bands", "sketch"],
+                [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, lists), pa.array(sketches, lists)],
+                names=["doc_id", "text_key", "n_shingles", "digest", "bands", "sketch"],
             )
 
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), text_key(F.col("text")).alias("text_key"))
     return narrow.mapInArrow(sign, SIGNATURES)
 
 
@@ -252,7 +252,7 @@ def components(links: DataFrame, reps: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every document."""
+    """doc_id, text_key, n_shingles, component_id and kept of every document."""
     signed = saved(signatures(docs), "near-signatures")
     classes = signed.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
     reps = (
@@ -301,19 +301,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         comps = components(links, reps)
     found = comps.select(F.col("key").alias("digest"), F.col("comp.doc").alias("of"))
     same = classes.withColumnRenamed("doc_id", "least").join(found, "digest", "left").select("digest", F.coalesce("of", "least").alias("component_id"))
-    verdict = signed.select("doc_id", "n_shingles", "digest").join(same, "digest", "left")
+    verdict = signed.select("doc_id", "text_key", "n_shingles", "digest").join(same, "digest", "left")
     component = F.when(F.col("doc_id").isNull() | F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return verdict.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return verdict.select("doc_id", "text_key", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def text_key(text: F.Column) -> F.Column:
+    """What tells rows of one doc_id apart."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are the least doc_id of their component."""
-    gone = saved(near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct(), "near-gone")
-    return docs.join(small(gone), docs["doc_id"].cast("long") == gone["__gone"], "left_anti")
+    """The rows of ``docs`` that are the least doc_id of their component. A row of a repeated doc_id goes for its
+    own text only."""
+    gone = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("__gone"), F.col("text_key").alias("__gone_text"))
+    gone = saved(gone.distinct(), "near-gone")
+    same = (docs["doc_id"].cast("long") == gone["__gone"]) & (text_key(docs["text"]) == gone["__gone_text"])
+    return docs.join(small(gone), same, "left_anti")
 
 
 def op2_near_duplicates(spark, sf_dir: str) -> DataFrame:
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("text_key")
 
 
 OP2_SQL = r"""

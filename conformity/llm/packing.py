@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import bisect
 import struct
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -110,6 +111,8 @@ def configurations(sizes: list[int], demand: list[int], capacity: int) -> list[t
         row = inverse[out] / step[out]
         inverse = inverse - np.outer(step, row)
         inverse[out] = row
+    else:  # the last plan is a plan too, only not proven to be the best
+        warnings.warn("The configuration program stopped before its optimum", RuntimeWarning, stacklevel=2)
     return [(basis[:, j].astype(int).tolist(), int(use[j] + 1e-6)) for j in range(m) if use[j] + 1e-6 >= 1]
 
 

@@ -8,9 +8,11 @@ A byte is removed if some ``LENGTH``-byte string that covers it also starts anyw
    anchors with one hash, wherever they are. Each window belongs to exactly one anchor.
 2. *Classes.* Anchors with equal hash and digest are one class and counted. A hash seen once holds no
    repeat; what has one seen more often is a repetitive collection.
+   All starts of a class that is counted twice are repeats: that is decided by counting, on 128-bit digests,
+   not by an index.
 3. *Indexes.* The bytes of one occurrence of each class are fetched, and batches of whole hashes are
-   indexed. The index is the Burrows-Wheeler transform in runs with the text positions of the run ends; the
-   copies of a class only lengthen its runs, so the index has its string once with the number of copies.
+   indexed. The index is the Burrows-Wheeler transform in runs with the text positions of the run ends. It has
+   the string of a class once; that a class has copies is an input of its statistics (a match to the string's end).
    Longest matches with the neighbours in suffix order are computed at run ends only; along the text they
    fall by one per byte until the next sampled position (which holds for all positions inside runs), so a
    single stream over the text gives every position's matching statistic against all other positions.
@@ -210,9 +212,9 @@ def common_prefix(a: np.ndarray, b: np.ndarray, ranks: list[tuple[int, np.ndarra
 class RunLengthIndex:
     """Run-length Burrows-Wheeler transform of some strings with text positions sampled at run ends.
 
-    ``copies`` says how often each string occurs (once unless given). A further copy has the symbols of the
-    first before and after its own, so it makes runs longer; only where the copies start is a run of its own,
-    whose sample matches to the string's end.
+    ``copies`` says how often each string occurs (once unless given). Copies are not put into the transform, whose
+    runs they would only make longer: the start of a string with copies is a further sample, which matches to the
+    string's end.
     """
 
     def __init__(self, strings: list[bytes], copies: list[int] | None = None):

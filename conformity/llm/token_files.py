@@ -235,7 +235,3 @@ def op8_token_files(spark, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-files")
     manifest = write_token_files(spark.read.parquet(f"{sf_dir}/documents.parquet"), folder)
     return read_token_files(manifest, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
-
-
-def crc(ids: bytes) -> int:
-    return zlib.crc32(ids)

@@ -38,6 +38,9 @@ FIELD_DOCS = 1000
 #: Tokens to a row of the tables that chains are laid out in; a chain takes as many rows as it needs.
 ROW = 64
 BITS = 20
+#: A row of the sample stands for as many labelled rows as its class has for each of its rows, up to this many: a
+#: class that is far larger than the sample would otherwise drown the other in the regression.
+MOST_WEIGHT = 20.0
 MIN_DOCS = 4
 #: A cue may occur in this share of the documents of the other class, relative to its share of toxic ones.
 MAX_LEAK = 0.05
@@ -343,7 +346,7 @@ def train_on(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> Tagg
         odds = -40.0 if not len(rows) or not toxic.any() else 40.0
         return Tagger(np.zeros(1 << BITS), -20.0, np.zeros((2, 2)), np.array([odds, 0.0, 0.0]))
     share = np.array([totals.get(0, 0) / max(1, int((~toxic).sum())), totals.get(1, 0) / max(1, int(toxic.sum()))])
-    weight = np.minimum(share[toxic.astype(int)], 20.0)
+    weight = np.minimum(share[toxic.astype(int)], MOST_WEIGHT)
     del rows
     return train(known_texts, toxic, weight)
 

@@ -134,6 +134,18 @@ def brute_quality(text):
     return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(covered)
 
 
+def test_configuration_programs_reach_their_optimum():
+    import warnings
+
+    rng = random.Random(8)
+    with warnings.catch_warnings():
+        warnings.simplefilter("error")
+        for _ in range(60):
+            capacity = rng.choice([100, 2048])
+            sizes = sorted(rng.sample(range(capacity // 12, capacity), rng.randrange(1, 14)), reverse=True)
+            packing.configurations(sizes, [rng.choice([1, 1, 7, 300]) for _ in sizes], capacity)
+
+
 def test_quality_counts_match_brute_force(spark):
     rng = random.Random(3)
     texts = [None, "", "one", "a b c d e", "a b c d e " * 3, "x y\n \nx y\n\nx y\n#*$%&|<>\x0b\x85q", "é " * 40, "ab cd ef"]

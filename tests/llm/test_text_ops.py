@@ -67,6 +67,14 @@ def test_components_match_brute_force(spark, seed, clash):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in out)
 
 
+def test_rows_of_a_repeated_id_go_for_their_own_text_only(spark):
+    rng = random.Random(21)
+    base, own = words(rng, 80), words(rng, 80)
+    rows = [(3, base, "en", "s", 1), (5, base + " more", "en", "s", 1), (5, own, "en", "s", 1), (7, own + " more", "en", "s", 1), (None, base, "en", "s", 1)]
+    left = Counter((r["doc_id"], r["text"]) for r in near_dup.drop_near_duplicates(docs_frame(spark, rows, True)).collect())
+    assert left == Counter([(3, base), (5, own), (None, base)])
+
+
 def test_rare_shingles_bound_similarity_from_above(spark):
     rng = random.Random(11)
     template = words(rng, 61, 10**6).split()
@@ -225,6 +233,32 @@ def test_passages_are_found_with_words_replaced_and_clean_text_is_left(spark):
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter(r[0] for r in rows if r[0] not in {i for i, _, _ in plants} | {110, 111, 113, 114})
 
 
+def test_indexes_are_built_once_for_each_block_or_group(monkeypatch):
+    class Held:
+        def __init__(self, value):
+            self.value = value
+
+    built = []
+    monkeypatch.setattr(decontaminate, "SeedIndex", lambda items: built.append(items) or len(built))
+    blocks = [Held([(k, "x" * 100)]) for k in range(8)]
+    batches = [["t" * 50] * 4] * 30
+    decontaminate._indexes.clear()
+    for group in decontaminate._groups(batches, list, len(blocks)):  # all indexes are kept
+        [decontaminate._index(b) for b in blocks]
+    assert len(built) == 8
+    monkeypatch.setattr(decontaminate, "INDEXED_BYTES", 300)
+    monkeypatch.setattr(decontaminate, "GROUP_CHARS", 2000)  # ten batches
+    decontaminate._indexes.clear()
+    built.clear()
+    groups = list(decontaminate._groups(batches, list, len(blocks)))
+    assert [len(g) for g in groups] == [10, 10, 10]
+    for _ in groups:
+        [decontaminate._index(b) for b in blocks]
+    assert len(built) == 24 and len(decontaminate._indexes) <= 3
+    assert [len(g) for g in decontaminate._groups(batches, list, 1)] == [1] * 30
+    decontaminate._indexes.clear()
+
+
 @pytest.mark.parametrize("n", range(6, 18))
 def test_every_placement_of_replaced_words_is_found(n):
     item = [f"v{i}" for i in range(n)]
@@ -317,6 +351,76 @@ def test_main_text(spark):
     assert html_text.extract_main_text(pages.limit(0)).count() == 0
 
 
+def test_article_content_with_names_like_roles_stays(spark):
+    inner = '<div class="related"><p>Related work</p></div><div id="social-history"><p>Society</p></div><table class="toc"><tr><td>Cell</td></tr></table><math>x</math>'
+    drop = '<div class="ad">Buy</div><aside>Aside</aside><nav>Menu</nav><form>Search</form><div class="comments"><p>Nice</p></div><p hidden>no</p>'
+    page = "<html><body><div class='topbar'>Bar</div><{w}><h1>Title {i}</h1>{inner}{drop}<p>Text {i}</p></{w}><footer>Foot</footer></body></html>"
+    rows = [(i, f"http://h/{i}", page.format(i=i, w=w, inner=inner.replace("ork", f"ork {i}").replace("iety", f"iety {i}").replace("Cell", f"Cell {i}").replace("x<", f"x {i}<"), drop=drop)) for i, w in enumerate(["main", "article"] * 4)]
+    rows += [(20 + i, f"http://w/{i}", f"<body><div class='sidebar-layout'><h1>T {i}</h1><p>All of the text {i}</p></div><div class='sidebar'>s{i}</div></body>") for i in range(6)]
+    out = {r["page_id"]: r["text"] for r in html_text.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert out == {i: f"Title {i} Related work {i} Society {i} Cell {i} x {i} Text {i}" for i in range(8)} | {20 + i: f"T {i} All of the text {i}" for i in range(6)}
+
+
+def test_menus_go_without_any_mark(spark, monkeypatch):
+    """Menus of links that differ from page to page, and what is on all pages, go by importance alone."""
+    rng = random.Random(3)
+    row = "<html><body><div class='xa'><ul>{links}</ul></div><div class='xb'><p>Rights reserved</p></div><div class='xc'><p>{text}</p></div></body></html>"
+    rows = [(i, f"http://h/{i}", row.format(links="".join(f"<li><a href='/{w}'>{w}</a></li>" for w in words(rng, 5).split()), text=f"Text {words(rng, 20, 10**6)}")) for i in range(10)]
+    out = html_text.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert all(r["text"].startswith("Text ") for r in out)
+
+
+def brute_importance(pages):
+    """Importance of every node of one host's tree, from the definition; pages differ in their main content."""
+    import math
+    from collections import defaultdict
+
+    content, style, on, chars, links = defaultdict(Counter), defaultdict(Counter), defaultdict(set), Counter(), Counter()
+    for k, page in enumerate(pages):
+        found, styles = html_text.blocks(page)
+        for path, text in {(b[0], b[1]) for b in found}:
+            content[path][text] += 1
+            on[0, path].add(k)
+        for path, text, n, link in {(b[0], b[1], b[2], b[3]) for b in found}:
+            chars[path] += n
+            links[path] += link
+        for path, children in set(styles):
+            style[path][children] += 1
+            on[1, path].add(k)
+    own = {}
+    for path in {p[: p.find(">", i)] if p.find(">", i) > 0 else p for p in content for i in [k + 1 for k, c in enumerate(p) if c == ">"]}:
+        below = [q for q in content if q == path or q.startswith(path + ">")]
+        total = sum(len(content[q]) for q in below)
+        value = 0.0
+        for q in below:
+            m = len(on[0, q])
+            mean = sum(math.log(c) / math.log(max(m, 2)) for c in content[q].values()) / len(content[q])
+            value += (1.0 if m <= 1 else 1 - mean) * len(content[q]) / total
+        if path in style:
+            m = len(on[1, path])
+            entropy = -sum(c / m * math.log(c / m) for c in style[path].values()) / math.log(max(m, 2)) if m > 1 else 1.0
+            value = (1 - html_text.GAMMA) * entropy + html_text.GAMMA * value
+        value *= 1 - sum(links[q] for q in below) / max(1, sum(chars[q] for q in below))
+        marked = path.endswith(html_text.MARK) and sum(chars[q] for q in below) <= html_text.WRAPPER * sum(chars.values())
+        own[path] = (len({k for q in below for k in on[0, q]}), max(len(on[0, q]) for q in below), value, html_text.MARKED if marked else 1)
+    return own
+
+
+def test_importance_matches_brute_force(spark):
+    rng = random.Random(12)
+    pages = [SHELL.format(i=i % 7, text=words(rng, 30, 10**6)) for i in range(12)]
+    pages += [f"<html><body><article><h1>H {i}</h1><p>{words(rng, 9)}</p><p>same</p></article><nav><a href='/'>x {i % 3}</a> y</nav></body></html>" for i in range(9)]
+    rows = [(i, "http://h/", p) for i, p in enumerate(pages)]
+    hosted = html_text.with_host(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    got = {r["path"]: (r["pages"], r["importance"]) for r in html_text.branch_importance(html_text.tree_features(hosted)).collect()}
+    want = brute_importance(pages)
+    assert got.keys() == {p for p in want if p.count(">") >= 1} and len(want) > 15
+    for path, (_, most, value, mark) in want.items():
+        seen = most - 1
+        prior = (seen * value + 1) / (seen + 1)  # one host: the corpus is this host and a page of importance 1
+        assert got[path][0] == most and got[path][1] == pytest.approx(mark * (seen * value + html_text.PRIOR_PAGES * prior) / (seen + html_text.PRIOR_PAGES)), path
+
+
 @pytest.mark.parametrize("wrap", ["article", "div"])
 def test_copies_of_few_articles_keep_their_text(spark, wrap):
     texts = [f"Report {k} on rivers and lakes of the north." for k in range(2)]
