@@ -35,12 +35,36 @@ class Rule:
     values: dict[str, Column] = field(default_factory=dict)
 
 
-def require_rules(df: DataFrame, rules: Iterable[Rule], also: Iterable[Check] = ()) -> None:
-    """Check all rules in a single job with one aggregation per grouping; raise the first that is broken.
+@dataclass(frozen=True)
+class Same:
+    """Two frames that must hold the same rows, as often each, in some columns.
 
-    ``df`` should be held: it is read once per grouping. ``also``: checks of other frames, after the rules.
+    The job of the rules compares their fingerprints. Only if these differ the rows themselves are compared, by
+    ``exact``: pairs of frames with who would have changed the first into the second.
     """
-    rules, also = list(rules), list(also)
+
+    left: DataFrame
+    right: DataFrame
+    columns: list[str]
+    exact: list[tuple[DataFrame, DataFrame, str]]
+
+
+def fingerprint(columns: list[str]) -> Column:
+    """An aggregate that is equal for equal multisets of rows in any order: how many there are, and sums of two
+    hashes of each. Sums of decimals do not overflow."""
+    held = [F.col(f"`{c}`") for c in columns]
+    total = lambda h: F.sum(h.cast("decimal(20,0)")).cast("string")
+    return F.concat_ws("/", F.count(F.lit(1)).cast("string"), total(F.xxhash64(*held, F.lit(0))), total(F.xxhash64(F.lit("second"), *held, F.lit(1))))
+
+
+def require_rules(df: DataFrame, rules: Iterable[Rule], same: Iterable[Same] = (), first: int = 0) -> None:
+    """Check all rules in a single job with one aggregation per grouping; raise one of the ``first`` rules that
+    is broken, or else what changed rows, or else another rule that is broken.
+
+    ``df`` should be held: it is read once per grouping. ``same``: frames to compare in the same job, which
+    aggregates each once and shuffles no rows of them.
+    """
+    rules, same = list(rules), list(same)
     parts = []
     for by in dict.fromkeys(r.by for r in rules):
         mine = [(i, r) for i, r in enumerate(rules) if r.by == by]
@@ -49,13 +73,28 @@ def require_rules(df: DataFrame, rules: Iterable[Rule], also: Iterable[Check] =
             held = df.where(F.col(by).isNotNull()).groupBy(by).agg(*[c.alias(n) for n, c in {n: c for _, r in mine for n, c in r.values.items()}.items()])
         counts = held.agg(*[F.count_if(r.bad).alias(f"n{i}") for i, r in mine])
         parts.append(counts.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"n{i}").alias("n")) for i, _ in mine])).alias("c")).select("c.*"))
-    for i, (frame, bad, _) in enumerate(also, len(rules)):
-        parts.append(frame.agg(F.count_if(bad).alias("n")).select(F.lit(i).alias("i"), "n"))
+    parts = [p.withColumn("said", F.lit(None).cast("string")) for p in parts]
+    sides = {}  # a frame that several pairs have is aggregated once for all its columns
+    for i, s in enumerate(same):
+        for side, frame in enumerate((s.left, s.right)):
+            sides.setdefault(id(frame), (frame, []))[1].append((-1 - 2 * i - side, s.columns))
+    for frame, asked in sides.values():
+        marks = frame.agg(*[fingerprint(columns).alias(f"f{-i}") for i, columns in asked])
+        told = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(1).cast("long").alias("n"), F.col(f"f{-i}").alias("said")) for i, _ in asked])
+        parts.append(marks.select(F.explode(told).alias("c")).select("c.*"))
     if not parts:
         return
-    failed = reduce(DataFrame.unionByName, parts).where("n > 0").collect()  # at most one row per rule
-    if failed:
-        raise ValueError([*[r.message for r in rules], *[message for _, _, message in also]][min(r["i"] for r in failed)])
+    found = reduce(DataFrame.unionByName, parts).where("n > 0").collect()  # at most one row per rule and side
+    broken = min((r["i"] for r in found if r["i"] >= 0), default=len(rules))
+    if broken < first:
+        raise ValueError(rules[broken].message)
+    said = {r["i"]: r["said"] for r in found}
+    for i, s in enumerate(same):
+        if said[-1 - 2 * i] != said[-2 - 2 * i]:
+            require([(same_rows(got.select(*given.columns), given), F.lit(True), message) for given, got, message in s.exact])
+            raise ValueError(s.exact[-1][2])
+    if broken < len(rules):
+        raise ValueError(rules[broken].message)
 
 
 def same_rows(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -23,8 +23,6 @@ class RunContext:
     audits: dict[str, DataFrame] = field(default_factory=dict)
     #: Per table: identity fields -> (source_identity, canonical_identity).
     aliases: dict[str, dict[tuple[str, ...], DataFrame]] = field(default_factory=dict)
-    #: Also compare what custom matchers and selectors return with what they were given.
-    strict: bool = False
     #: Split keys with more than this share of a table's rows in lookups; None looks for none.
     split_share: float | None = None
     #: Rows of each table that the run published.

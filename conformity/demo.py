@@ -28,7 +28,7 @@ from .plans.catalog import build_catalog
 from .plans.gold import run_gold
 from .plans.validate import validate_tables
 from .registry import REGISTRY
-from .sources.extract import flatten, shape_rows
+from .sources.extract import flatten, read_records, shape_rows
 from .sources.shared import scratch
 from .sources.tables import join_sources, load_source, read_or_none, upsert
 
@@ -254,6 +254,14 @@ def json_flatten(spark: SparkSession, d: str) -> DataFrame:
     return shape_rows(table(spark, d, "events").select("event_id", "event_type", parsed.alias("props"), nested.alias("more")), {"shape": "object", "drop": ["absent"]})
 
 
+@query("json_scan", "SELECT event_id, event_type, props FROM events")
+def json_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Events written as JSON files and read back by ranges, whatever the files' size."""
+    path = scratch(spark, "events-json")
+    table(spark, d, "events").select("event_id", "event_type", "props").write.json(path)
+    return read_records(spark, path, split_above=0).select("event_id", "event_type", "props")
+
+
 def _conversations(spark: SparkSession, d: str) -> DataFrame:
     """One record per conversation with its turns as edges of nodes."""
     node = F.struct(F.struct("turn", F.struct("role", "text").alias("said")).alias("node"))
@@ -677,19 +685,36 @@ def gold_companies(spark: SparkSession, d: str) -> DataFrame:
     return gold(spark, d)["companies"].select(*kept, F.round("company_e_ltv", 2).alias("company_e_ltv"))
 
 
+PUBLIC = ("sales_reps", "companies", "orders")
+
+
 @query(
     "catalog_fields",
-    """SELECT * FROM (VALUES ('sales_reps', 'sales_rep_e_id', 'string', true, 'native'), ('sales_reps', 'sales_rep_e_email', 'string', true, 'native'),
-         ('companies', 'company_e_name', 'string', true, 'native'), ('companies', 'company_e_ltv', 'currency', false, 'enriched'), ('companies', 'company_e_active', 'boolean', true, 'derived'),
-         ('orders', 'company_e_id', 'string', true, 'resolved'), ('orders', 'sales_rep_e_email', 'string', true, 'resolved'), ('orders', 'orders_e_date', 'date', true, 'native'),
-         ('orders', 'orders_e_amount', 'currency', false, 'native'), ('orders', 'company_e_lifetime_value', 'currency', false, 'metric'),
-         ('orders', 'orders_e_company_name', 'string', true, 'enriched'), ('orders', 'orders_e_kind', 'string', true, 'derived'))
-       AS t(table_name, field, data_type, groupable, provenance)""",
+    f"""WITH {GOLD} SELECT 'orders' AS table_name, 'company_e_id' AS field, 'string' AS data_type, true AS groupable, 'resolved' AS provenance, count(company_e_id) AS filled FROM measured
+        UNION ALL SELECT 'orders', 'sales_rep_e_email', 'string', true, 'resolved', count(sales_rep_e_email) FROM measured
+        UNION ALL SELECT 'orders', 'orders_e_date', 'date', true, 'native', count(date) FROM measured
+        UNION ALL SELECT 'orders', 'orders_e_amount', 'currency', false, 'native', count(amount) FROM measured
+        UNION ALL SELECT 'orders', 'company_e_lifetime_value', 'currency', false, 'metric', count(ltv) FROM measured
+        UNION ALL SELECT 'orders', 'orders_e_company_name', 'string', true, 'enriched', count(c_name) FROM measured LEFT JOIN customer ON CAST(c_custkey AS VARCHAR) = company_e_id
+        UNION ALL SELECT 'orders', 'orders_e_kind', 'string', true, 'derived', count(*) FROM measured
+        UNION ALL SELECT 'companies', 'company_e_name', 'string', true, 'native', count(c_name) FROM customer
+        UNION ALL SELECT 'companies', 'company_e_ltv', 'currency', false, 'enriched', count(ltv) FROM customer LEFT JOIN (SELECT company_e_id, min(ltv) AS ltv FROM measured GROUP BY 1) ON CAST(c_custkey AS VARCHAR) = company_e_id
+        UNION ALL SELECT 'companies', 'company_e_active', 'boolean', true, 'derived', count(*) FROM customer
+        UNION ALL SELECT 'sales_reps', 'sales_rep_e_id', 'string', true, 'native', count(s_suppkey) FROM supplier
+        UNION ALL SELECT 'sales_reps', 'sales_rep_e_email', 'string', true, 'native', count(s_name) FROM supplier""",
 )
 def catalog_fields(spark: SparkSession, d: str) -> DataFrame:
-    found = build_catalog(TABLES, REGISTRY.definitions(), run_id="demo")
-    rows = [(t, f["key"], f["dataType"], f["groupable"], f["provenance"]["type"]) for t, entry in found["tables"].items() for f in entry["fields"]]
-    return spark.createDataFrame(rows, "table_name string, field string, data_type string, groupable boolean, provenance string")
+    """The catalog of the gold tables as built, with how many rows have a value of each public field."""
+    frames = gold(spark, d)
+    found = build_catalog(TABLES, REGISTRY.definitions(), {n: df.columns for n, df in frames.items()}, "demo")
+    parts = []
+    for t in PUBLIC:
+        fields = found["tables"][t]["fields"]
+        counts = frames[t].agg(*[F.count(f["key"]).alias(f["key"]) for f in fields])
+        told = [F.struct(F.lit(t).alias("table_name"), F.lit(f["key"]).alias("field"), F.lit(f["dataType"]).alias("data_type"), F.lit(f["groupable"]).alias("groupable"),
+                         F.lit(f["provenance"]["type"]).alias("provenance"), F.col(f["key"]).alias("filled")) for f in fields]
+        parts.append(counts.select(F.explode(F.array(*told)).alias("f")).select("f.*"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 FLAGSHIP = gold_orders

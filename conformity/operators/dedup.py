@@ -2,7 +2,7 @@
 
 Internally a row's identity and members are structs-as-JSON of few columns; a whole row's JSON exists only
 as the record that matching versions and auditing need. A step's decisions are held, and all its checks read
-them in one job with one aggregation per grouping.
+them in one job with one aggregation per grouping; that they are the rows as given shows by order-free fingerprints in the same job.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..checks import Check, Rule, require_rules, same_rows
+from ..checks import Rule, Same, require_rules
 from ..context import RunContext
 from ..evidence import KEEP_NULLS, as_json
 from ..functions.keys import NORMALIZERS, identity_json, is_usable
@@ -246,10 +246,10 @@ def _integrity(before: DataFrame, matched: DataFrame, chosen: DataFrame, step: s
     ]
 
 
-def _unchanged(before: DataFrame, matched: DataFrame, chosen: DataFrame, step: str) -> list[Check]:
-    """The rows themselves as given and as returned."""
-    pairs = ((before, matched, "matcher"), (matched, chosen, "selector"))
-    return [(same_rows(got.select(*given.columns), given), F.lit(True), f"{step}: the {who} changed its input rows") for given, got, who in pairs]
+def _unchanged(before: DataFrame, matched: DataFrame, decided: DataFrame, step: str) -> list[Same]:
+    """The rows themselves as given, as matched and as decided; matchers and selectors may be anyone's."""
+    exact = [(before, matched, f"{step}: the matcher changed its input rows"), (matched, decided, f"{step}: the selector changed its input rows")]
+    return [Same(before, decided, before.columns, exact), Same(matched, decided, list(MATCH), exact)]
 
 
 def registered_dedup(df: DataFrame, name: str, spec: dict[str, Any], ctx: RunContext, registry: Registry = REGISTRY) -> DataFrame:
@@ -267,7 +267,9 @@ def registered_dedup(df: DataFrame, name: str, spec: dict[str, Any], ctx: RunCon
         matcher, selector = registry.get("dedup", step["strategy"]), registry.get("selection", step["selection"]["strategy"])
         matched: Annotated = matcher.run(rows, step.get("params", {}), ctx)
         chosen: Annotated = selector.run(matched.rows, step["selection"].get("params", {}), ctx)
-        rules += [*matched.rules, *chosen.rules, *_integrity(rows, matched.rows, chosen.rows, step["id"])]
+        rules += [*matched.rules, *chosen.rules]
+        own = len(rules)  # what strategies say of their rows is said first
+        rules += [*_integrity(rows, matched.rows, chosen.rows, step["id"])]
         decision = as_json(
             [
                 ("run_id", F.lit(ctx.run_id)), ("step", F.lit(step["id"])), ("strategy", F.lit(matcher.ref)), ("selection_strategy", F.lit(selector.ref)),
@@ -281,7 +283,7 @@ def registered_dedup(df: DataFrame, name: str, spec: dict[str, Any], ctx: RunCon
         if step is spec["strategies"][-1]:
             left = {"left": F.count_if("__dd_kept")}
             rules.append(Rule(F.col("left") > 1, "Several versions of one row identity are left", "__dd_identity", left))
-        require_rules(decided, rules, _unchanged(rows, matched.rows, chosen.rows, step["id"]) if ctx.strict else ())
+        require_rules(decided, rules, _unchanged(rows, matched.rows, decided, step["id"]), own)
         rules = []
         if matcher.grain is not None:
             grain = tuple(matcher.grain(step.get("params", {}), identity))

@@ -26,7 +26,7 @@ RUN, PREFIX = "stages/run", "stages/"
 
 def fingerprint(metas: dict[str, Any], inputs: dict[str, Any], registry: Registry, ctx: RunContext) -> str:
     """One digest of all that decides what a build gives."""
-    said = {"tables": metas, "inputs": inputs, "strategies": registry.definitions(), "as_of": str(ctx.as_of), "strict": ctx.strict}
+    said = {"tables": metas, "inputs": inputs, "strategies": registry.definitions(), "as_of": str(ctx.as_of)}
     return hashlib.sha256(json.dumps(said, sort_keys=True, default=str).encode()).hexdigest()
 
 

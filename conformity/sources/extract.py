@@ -9,9 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .json_ranges import json_lines, large_files
 
-def read_records(spark: SparkSession, path: str | list[str], results_key: str = "results") -> DataFrame:
-    """A multi-line JSON file; if it wraps its records in ``results_key``, one row per record."""
+
+#: Files above so many bytes are cut into records by many tasks; smaller ones are read whole, one to a task.
+SPLIT_ABOVE = 64 << 20
+
+
+def read_records(spark: SparkSession, path: str | list[str], results_key: str = "results", split_above: int | None = None) -> DataFrame:
+    """JSON files; if one wraps its records in ``results_key``, one row per record."""
+    files = large_files(spark, [path] if isinstance(path, str) else path, SPLIT_ABOVE if split_above is None else split_above)
+    if files:
+        return spark.read.json(json_lines(spark, files, results_key))
     raw = spark.read.option("multiLine", True).json(path)
     if results_key not in raw.columns:
         return raw

@@ -1,12 +1,14 @@
 import json
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
+from conformity.checks import fingerprint
 from conformity.context import RunContext
-from conformity.operators.dedup import alias_lookup, deduplicate
+from conformity.operators.dedup import Annotated, alias_lookup, deduplicate
 from conformity.plans.gold import run_gold
-from conformity.registry import REGISTRY
+from conformity.registry import REGISTRY, Registry
 
 IDENTITY = ["platform", "account", "id"]
 LATEST = [{"field": "modified", "direction": "desc"}]
@@ -21,8 +23,8 @@ def ordered(*order):
     return {"strategy": "ordered", "params": {"order_by": list(order)}}
 
 
-def run(spark, rows, schema, *steps, identity=IDENTITY, strict=True):
-    ctx = RunContext(run_id="r", processed_at="2024-01-01T00:00:00+00:00", strict=strict)
+def run(spark, rows, schema, *steps, identity=IDENTITY):
+    ctx = RunContext(run_id="r", processed_at="2024-01-01T00:00:00+00:00")
     spec = {"identity": identity, "allow_identity_merge": True, "strategies": list(steps)}
     out = deduplicate(spark.createDataFrame(rows, schema), "t", {"dedup": spec}, ctx)
     return out, ctx
@@ -197,3 +199,53 @@ def test_the_winner_of_a_hot_group_is_found_per_task(spark):
     got = chosen.rows.selectExpr("__dd_group", "__dd_member", "__dd_winner").collect()
     assert len(got) == 20000
     assert all(r["__dd_winner"] == ("19999" if r["__dd_group"] else r["__dd_member"]) for r in got)
+
+
+def tampering(stage, change):
+    """The registry with a matcher or selector that changes the rows it was given."""
+    registry = Registry()
+    registry._held = dict(REGISTRY._held)
+    matcher, selector = REGISTRY.get("dedup", "same_source_identity"), REGISTRY.get("selection", "ordered")
+
+    def run(df, params, ctx):
+        found = (matcher if stage == "dedup" else selector).run(df, params, ctx)
+        return Annotated(change(found.rows), found.rules)
+
+    about = {"selectors": frozenset({"ordered", "tampers"}), "check": matcher.check} if stage == "dedup" else {"check": selector.check}
+    if stage == "selection":
+        registry._held["dedup", "same_source_identity"] = replace(matcher, selectors=frozenset({"ordered", "tampers"}))
+    registry.add(stage, "tampers", **about)(run)
+    return registry
+
+
+CHANGES = {
+    "duplicated": lambda df: df.unionByName(df.where("id = '2'")),
+    "lost": lambda df: df.where("id <> '2'"),
+    "changed": lambda df: df.withColumn("name", F.when(F.col("id") == "2", "x").otherwise(F.col("name"))),
+    "exchanged": lambda df: df.withColumn("name", F.when(F.col("id") == "2", "a").when(F.col("id") == "1", "b").otherwise(F.col("name"))),
+}
+
+
+@pytest.mark.parametrize("stage", ["dedup", "selection"])
+@pytest.mark.parametrize("what", CHANGES)
+def test_strategies_that_change_their_rows_are_stopped(spark, stage, what):
+    df = spark.createDataFrame([("1", "a", 1), ("2", "b", 1), ("3", None, 1)], "id string, name string, n int")
+    spec = {"id": "s", "strategy": "tampers" if stage == "dedup" else "same_source_identity", "selection": {"strategy": "ordered", "params": {"order_by": [{"field": "n"}]}}}
+    if stage == "selection":
+        spec["selection"] = {"strategy": "tampers", "params": spec["selection"]["params"]}
+    with pytest.raises(ValueError, match="matcher changed its input" if stage == "dedup" else "selector changed its input"):
+        deduplicate(df, "t", {"dedup": {"identity": ["id"], "strategies": [spec]}}, RunContext(), tampering(stage, CHANGES[what]))
+
+
+def test_fingerprints_compare_multisets_in_the_job_of_the_rules(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "i int, s string")
+    print_of = lambda d: d.agg(fingerprint(["i", "s"]).alias("f")).first()["f"]
+    assert print_of(df) == print_of(df.repartition(3).orderBy("s")) != print_of(df.distinct())
+    assert print_of(df) != print_of(df.unionByName(df.limit(0)).withColumn("s", F.coalesce("s", F.lit("a"))))
+    assert print_of(df.limit(0)) == print_of(df.where("i > 5"))
+    # whole rows are hashed where they are: what is shuffled are the sums of each task
+    plan = df.repartition(3).agg(fingerprint(["i", "s"]).alias("f"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Except" not in plan
+    out = RunContext()
+    deduplicate(df, "t", {"dedup": {"identity": ["i"], "strategies": [step("same_source_identity", ordered({"field": "s"}))]}}, out)
+    out.release()
