@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..context import RunContext
 from ..registry import Registry
-from ..sources.store import Entry, Store, Transaction
+from ..sources.store import Conflict, Entry, Store, Transaction
 
 RUN, PREFIX = "stages/run", "stages/"
 
@@ -50,7 +50,7 @@ class Stages:
     """The barriers of one build."""
 
     def __init__(self, store: Store, ctx: RunContext, mark: str):
-        self.store, self.ctx = store, ctx
+        self.store, self.ctx, self.mark = store, ctx, mark
         held = store.document(RUN)
         if held and held["fingerprint"] == mark:
             ctx.run_id, ctx.processed_at = held["run_id"], held["processed_at"]
@@ -66,18 +66,25 @@ class Stages:
             if name.startswith(PREFIX):
                 run.remove(name)
 
+    def _mine(self) -> dict[str, Entry]:
+        """The tables of the store, while the stages in it are this build's."""
+        tables = self.store.state().tables
+        if tables.get(RUN, {}).get("document", {}).get("fingerprint") != self.mark:
+            raise Conflict("Another build of this client began, and dropped the stages of this one")
+        return tables
+
     def settle(self, stage: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         """The frame as it was written, now or by the run that this one goes on from."""
         at = f"{PREFIX}{stage}/{name}"
-        if at not in self.store.state().tables:
+        if at not in self._mine():
             with self.store.begin(self.ctx.run_id) as run:
                 run.write(at, make())
-        return self.store.read(at)
+        return self.store.frame(self._mine()[at])
 
     def settle_dedup(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         """A deduplicated table with its audit and aliases."""
         at, ctx = f"{PREFIX}dims/{name}", self.ctx
-        if at not in self.store.state().tables:
+        if at not in self._mine():
             df = make()
             with self.store.begin(ctx.run_id) as run:
                 run.write(at, df)
@@ -87,11 +94,11 @@ class Stages:
                     run.write(f"{at}/alias_{i}", with_grain(mapping, grain))
                 run.put(f"{at}/grains", [list(g) for g in ctx.aliases.get(name, {})])
             ctx.release()
-        state = self.store.state()
-        if f"{at}/audit" in state.tables:
-            ctx.audits[name] = self.store.read(f"{at}/audit")
-            ctx.aliases[name] = {tuple(g): self.store.read(f"{at}/alias_{i}") for i, g in enumerate(state.tables[f"{at}/grains"]["document"])}
-        return self.store.read(at)
+        tables, frame = self._mine(), self.store.frame
+        if f"{at}/audit" in tables:
+            ctx.audits[name] = frame(tables[f"{at}/audit"])
+            ctx.aliases[name] = {tuple(g): frame(tables[f"{at}/alias_{i}"]) for i, g in enumerate(tables[f"{at}/grains"]["document"])}
+        return frame(tables[at])
 
     def entry(self, stage: str) -> Entry | None:
         """A stage that is written."""

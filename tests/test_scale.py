@@ -13,8 +13,9 @@ from conformity.operators.lookup import SALT, frequent_keys, outer_lookup
 from conformity.operators.metrics import add_metrics
 from conformity.operators.ranking import PART, in_order
 from conformity.plans.gold import build
+from conformity.plans.stages import Stages
 from conformity.sources.layout import Layout
-from conformity.sources.store import Transaction
+from conformity.sources.store import Conflict, Store, Transaction
 from conformity.sources.tables import write_table
 
 
@@ -193,3 +194,16 @@ def test_other_inputs_or_configuration_start_anew(spark, tmp_path, monkeypatch):
     build(spark, demo.TABLES, layout, (last := ctx("four")))
     assert last.run_id == "four" and {r["sales_rep_e_email"] for r in store.read(layout.gold("companies")).collect()} == {"new@x", "s@x"}
     assert os.path.isdir(tmp_path / "client/_data")
+
+
+def test_a_build_stops_when_another_takes_over(spark, tmp_path):
+    store, df = Store(spark, f"file://{tmp_path}/s"), spark.createDataFrame([(1,)], "i int")
+    first = Stages(store, ctx("one"), "a")
+    assert first.settle("dims", "t", lambda: df).count() == 1 and first.entry("dims/t")
+    again = ctx("again")
+    assert Stages(store, again, "a").settle("dims", "t", lambda: None).count() == 1 and again.run_id == "one"
+    second = Stages(store, ctx("two"), "b")
+    assert not second.entry("dims/t")
+    with pytest.raises(Conflict, match="Another build"):
+        first.settle("dims", "t", lambda: df)
+    assert second.settle("dims", "t", lambda: df).count() == 1
