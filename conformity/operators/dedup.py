@@ -39,8 +39,14 @@ class Annotated:
 
 
 def _differ(name: str, by: str, value: Column, message: str) -> Rule:
-    """A group's values must be one; null is none."""
-    return Rule(F.col(f"{name}_lo") != F.col(f"{name}_hi"), message, by, {f"{name}_lo": F.min(value), f"{name}_hi": F.max(value)})
+    """A group's values must be one; null is none. They are compared by 128 bits of hash: least and greatest of
+    numbers are kept in hash tables, of strings only by sorting all rows."""
+    values, bad = {}, F.lit(False)
+    for i, seed in enumerate(("", "second")):
+        digest = F.when(value.isNotNull(), F.xxhash64(F.lit(seed), value))
+        values |= {f"{name}_lo{i}": F.min(digest), f"{name}_hi{i}": F.max(digest)}
+        bad = bad | (F.col(f"{name}_lo{i}") != F.col(f"{name}_hi{i}"))
+    return Rule(bad, message, by, values)
 
 
 def _match(df: DataFrame, group: Column, member: Column, role: Column, inputs: Column) -> DataFrame:
