@@ -10,8 +10,8 @@ A file is
 
 A reader opens the two trailing tables, then decompresses only the frames of the documents asked for.
 
-Null texts count as empty (the end id alone); a null doc_id sorts first; repeated rows are written each;
-an empty table gives no rows.
+Null texts count as empty (the end id alone); a null doc_id sorts first; repeated rows are written each, rows of
+one doc_id (or of none) in the table's order, by as many tasks as they fill; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -175,12 +175,10 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str | None = Non
                 {"part": pa.array([part], pa.int32()), "path": [name], "n_docs": [len(writer.counts)], "n_ids": [sum(writer.counts)]}
             )
 
-    ordered = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", F.xxhash64("text"))
-    )
-    manifest = ordered.mapInArrow(write, MANIFEST)
+    # ranges are cut within a doc_id too: a frequent one, or null, is many tasks
+    numbered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.monotonically_increasing_id().alias("place"))
+    ordered = numbered.repartitionByRange("doc_id", "place").sortWithinPartitions("doc_id", "place")
+    manifest = ordered.select("doc_id", "text").mapInArrow(write, MANIFEST)
     kept = f"{folder}/manifest"
     manifest.write.mode("overwrite").parquet(kept)
     return spark.read.schema(MANIFEST).parquet(kept)

@@ -11,8 +11,9 @@ gives the score.
 A chain is a whole document, however long.
 
 Training rows are labelled rows outside the held-out third, at most ``TRAIN_DOCS`` of each class (the
-first by hash of the doc_id): a stated bound on what the driver fits. Cues and the regression come from all of
-them, the field's weights from ``FIELD_DOCS`` of each class. If one class is missing, every score
+first by hash of the doc_id) and, of these, as many as fit into ``TRAIN_BYTES``: a stated bound on what the
+driver fits, in rows and in bytes. Each is taken with its whole text; one whose text alone is longer is passed over.
+Cues and the regression come from all of them, the field's weights from ``FIELD_DOCS`` of each class. If one class is missing, every score
 is the share of the other's rows (0 without labels). Null and empty texts are scored by the intercept.
 Repeated labels of a document count once (toxic if any is), null labels are ignored, repeated rows are
 scored each, a null doc_id is not held out, and of several texts with one labelled doc_id the least trains. An empty table gives no rows.
@@ -26,13 +27,15 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import claim, prepare
+from .common import claim, drop_saved, prepare, saved
 
 TRAIN_DOCS = 2000
+#: UTF-8 bytes of their texts, for each class.
+TRAIN_BYTES = 128 << 20
 #: Of these so many of each class fit the field itself, with all their tokens.
 FIELD_DOCS = 1000
 #: Tokens to a row of the tables that chains are laid out in; a chain takes as many rows as it needs.
@@ -328,8 +331,8 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
 
-def train_on(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> Tagger:
-    """Train on at most ``most`` labelled documents of each class outside the held-out third."""
+def train_on(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS, most_bytes: int = TRAIN_BYTES) -> Tagger:
+    """Train on at most ``most`` labelled documents of each class outside the held-out third, of ``most_bytes`` at most."""
     known = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
         .groupBy(F.col("doc_id").alias("doc_id"))
@@ -340,7 +343,12 @@ def train_on(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> Tagg
     chosen = ways[0].unionByName(ways[1])  # 2 * most rows at most
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
     # of several texts with one doc_id the least
-    rows = texts.groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"), F.max("toxic").alias("toxic")).orderBy("doc_id").collect()
+    sample = saved(texts.groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"), F.max("toxic").alias("toxic")), "toxic-sample")
+    size = F.octet_length("text")
+    so_far = F.sum(size).over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))  # a window of ``most`` rows
+    fits = sample.where(size <= most_bytes).select("doc_id", so_far.alias("__bytes")).where(F.col("__bytes") <= most_bytes).select("doc_id")
+    rows = sample.join(F.broadcast(fits), "doc_id").orderBy("doc_id").collect()
+    drop_saved(sample)
     toxic, known_texts = np.array([r["toxic"] == 1 for r in rows], bool), [r["text"] or "" for r in rows]
     if not len(rows) or toxic.all() or not toxic.any():
         odds = -40.0 if not len(rows) or not toxic.any() else 40.0

@@ -56,6 +56,18 @@ def test_token_files_round_trip(spark, tokenizer, clash):
     for r in out:
         assert (r["start"], r["n_tokens"]) == (at, len(r["ids"]) // 4)
         at += r["n_tokens"]
+    # a doc_id with most rows, and rows without one, are many files
+    hot = [(None if i % 3 == 0 else 7, f"text {i}", "en", "s", 1) for i in range(400)]
+    folder = scratch_path(spark, "test-tokens")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        manifest = token_files.write_token_files(docs_frame(spark, hot), folder)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    files = [r["n_docs"] for r in manifest.collect()]
+    assert sum(files) == 400 and max(files) <= 200 and len(files) >= 3
+    out = token_files.read_token_files(manifest, folder).orderBy("start").collect()
+    assert [r["doc_id"] for r in out] == [None] * 134 + [7] * 266 and len({bytes(r["ids"]) for r in out}) == 400
     empty = scratch_path(spark, "test-tokens")
     assert token_files.read_token_files(token_files.write_token_files(docs_frame(spark, []), empty), empty).count() == 0
 

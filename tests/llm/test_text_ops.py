@@ -502,6 +502,13 @@ def test_toxic_documents_are_scored_and_tagged(spark):
     awkward_out = toxicity.score_documents(docs_frame(spark, awkward(rng), True), tagger).collect()
     assert len(awkward_out) == len(awkward(rng)) and all(0 <= r["score"] <= 1 for r in awkward_out)
     assert toxicity.score_documents(docs_frame(spark, []), tagger).count() == 0
+    # the bound in bytes passes a text over that is longer alone, and reads it no further
+    whole = {tuple(r) for r in toxicity.score_documents(docs, tagger).select("doc_id", "predicted").collect()}
+    huge = docs.union(docs_frame(spark, [(6002, "idiot " * 200_000, "en", "s", 1)])).alias("d")
+    more = held.union(spark.createDataFrame([(6002, 1, 1)], held.schema))
+    least = toxicity.train_on(huge, more, most_bytes=1_000_000)
+    assert (least.weights == tagger.weights).all() and {tuple(r) for r in toxicity.score_documents(docs, least).select("doc_id", "predicted").collect()} == whole
+    assert toxicity.train_on(docs, held, most_bytes=50_000).weights.any() and not toxicity.train_on(docs, held, most_bytes=5).weights.any()
     none = toxicity.train_on(docs, held.where("toxic = 0"))
     assert {r["predicted"] for r in toxicity.score_documents(docs, none).collect()} == {0}
     assert {r["predicted"] for r in toxicity.score_documents(docs, toxicity.train_on(docs, held.limit(0))).collect()} == {0}
