@@ -24,6 +24,12 @@ A byte is removed if some ``LENGTH``-byte string that covers it also starts anyw
 
 Repeated starts go back to the anchors of all documents and from there to byte spans of documents.
 
+``remove_repeats(words=n)`` also cuts passages of ``n`` words that occur elsewhere, however few bytes they have. The
+steps are the same with words (between white space) as symbols: windows of ``n`` words pick a gram of ``WORD_GRAM``
+words, classes still compare bytes, and indexes hold words, so that white space between them may differ. Words are
+compared by 64-bit hashes. The windows of heavy hashes are decided on 128-bit digests at once, since an anchor has
+few windows of words.
+
 Null texts are empty. Texts shorter than ``LENGTH`` have nothing to remove. Repeated rows are strings that
 also start elsewhere. Rows with null doc_id take part like others. An empty table gives no rows. When
 removal cuts a character, its remaining bytes count in the byte results; the text returned by
@@ -43,7 +49,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import claim, drop_saved, prepare, saved
+from .common import BROADCAST_ROWS, claim, drop_saved, prepare, saved, small
 
 LENGTH = 400
 GRAM = 100
@@ -51,6 +57,7 @@ GRAM = 100
 INDEX_BYTES = 1 << 19
 HEAVY = 1000
 RANGE = 16
+WORD_GRAM = 8
 #: Bytes whose windows are picked at once; positions inside need ``POSITION`` bits.
 CHUNK, POSITION = 1 << 20, 21
 ANCHORS = "h long, rh binary, k1 long, k2 long, lo int, hi int"
@@ -75,17 +82,41 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def gram_hashes(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
-    """A 64-bit hash of the ``gram`` bytes at each position."""
-    up, down = _power(len(data) + 1)
-    q = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_table[data] * up[: len(data)], out=q[1:])
-    h = (q[gram:] - q[:-gram]) * down[: len(data) - gram + 1]
+    """A 64-bit hash of the ``gram`` bytes, or symbols of 64 bits, at each position."""
+    q, down = _sums(data if data.dtype == np.uint64 else _table[data])
+    return _mixed((q[gram:] - q[:-gram]) * down[: len(data) - gram + 1])
+
+
+def _sums(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of values times powers up to each position, and the powers that undo a start's."""
+    up, down = _power(len(values) + 1)
+    q = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up[: len(values)], out=q[1:])
+    return q, down
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
     h ^= h >> np.uint64(32)
     h *= np.uint64(0xD6E8FEB86659FD93)
     h ^= h >> np.uint64(32)
     return h
 
 
+def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte of each word, and the byte after its last."""
+    gap = np.ones(len(data) + 2, bool)
+    gap[1:-1] = (data == 0x20) | ((data >= 0x09) & (data <= 0x0D))
+    edges = np.flatnonzero(gap[1:] != gap[:-1])
+    return edges[::2], edges[1::2]
+
+
+def word_symbols(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word, and the words' bounds."""
+    first, after = word_bounds(data)
+    q, down = _sums(_table[data])
+    return _mixed((q[after] - q[first]) * down[first]), first, after
+
+
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     """The least value of every ``width`` neighbours."""
     n = len(values)
@@ -98,6 +129,9 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
 
 def pick_anchors(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(hash, gram position, first start, last start) of the anchors of concatenated texts ending at ``ends``."""
+    if len(data) < length:
+        none = np.zeros(0, np.int64)
+        return none, none, none, none
     h = gram_hashes(data, gram)
     mask = np.uint64((1 << POSITION) - 1)
     least = sliding_least((h & ~mask) | np.arange(len(h), dtype=np.uint64), length - gram + 1)
@@ -121,6 +155,11 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("k1"), F.xxhash64(text).alias("k2"), text.alias("text"))
 
 
+def _least_bytes(words: int | None) -> int:
+    """What a text must have to hold a window."""
+    return LENGTH if words is None else 2 * words - 1
+
+
 def anchors(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """The anchors of all texts (columns of ``ANCHORS``)."""
 
@@ -162,6 +201,56 @@ def anchors(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     return keyed(docs).where(F.octet_length("text") >= length).mapInArrow(run, ANCHORS)
 
 
+def word_pieces(data: bytes, words: int) -> Iterator[tuple[int, bytes]]:
+    """Parts of a text, each with its place, so that every window of ``words`` words lies in one."""
+    if len(data) <= CHUNK // 2:
+        yield 0, data
+        return
+    first, after = word_bounds(np.frombuffer(data, np.uint8))
+    a = 0
+    while a + words <= len(first):
+        b = min(max(int(np.searchsorted(after, first[a] + CHUNK // 2, "right")), a + words), len(first))
+        yield int(first[a]), data[first[a] : after[b - 1]]
+        a = b - words + 1
+
+
+def word_anchors(docs: DataFrame, words: int) -> DataFrame:
+    """Like ``anchors`` for windows of ``words`` words; ``lo`` is the first one's byte, the last ends at ``hi + LENGTH``."""
+
+    def emit(keys: list, texts: list[bytes], bases: list[int]) -> pa.RecordBatch:
+        joined = b"\n".join(texts)
+        symbols, start, after = word_symbols(np.frombuffer(joined, np.uint8))
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        h, at, first, last = pick_anchors(symbols, np.searchsorted(start, ends), words, WORD_GRAM)
+        lo, hi = start[first], after[last + words - 1]
+        owner = np.searchsorted(ends, lo, "right")
+        begin = np.concatenate([[0], ends[:-1]])[owner] - np.array(bases, np.int64)[owner]
+        view = memoryview(joined)
+        digest = xxhash.xxh3_128_digest
+        rh = [digest(view[a:b], seed=p) for a, b, p in zip(lo.tolist(), hi.tolist(), (at - first).tolist(), strict=True)]
+        k1, k2 = np.array([k for k, _ in keys], np.int64)[owner], np.array([k for _, k in keys], np.int64)[owner]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(h), pa.array(rh, pa.binary()), pa.array(k1), pa.array(k2), pa.array((lo - begin).astype(np.int32)), pa.array((hi - begin - LENGTH).astype(np.int32))],
+            names=["h", "rh", "k1", "k2", "lo", "hi"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("suffix", _powers.clear)
+        keys, texts, bases, held = [], [], [], 0
+        for batch in batches:
+            for k1, k2, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for at, piece in word_pieces(text.encode("utf-8", "surrogatepass"), words):
+                    if texts and held + len(piece) + 1 > CHUNK:
+                        yield emit(keys, texts, bases)
+                        keys, texts, bases, held = [], [], [], 0
+                    keys.append((k1, k2)), texts.append(piece), bases.append(at)
+                    held += len(piece) + 1
+        if texts:
+            yield emit(keys, texts, bases)
+
+    return keyed(docs).where(F.octet_length("text") >= _least_bytes(words)).mapInArrow(run, ANCHORS)
+
+
 def suffix_order(symbols: np.ndarray) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
     """Suffix array of ``symbols`` and the ranks of prefixes of 1, 2, 4, ... symbols, by doubling.
 
@@ -212,14 +301,18 @@ def common_prefix(a: np.ndarray, b: np.ndarray, ranks: list[tuple[int, np.ndarra
 class RunLengthIndex:
     """Run-length Burrows-Wheeler transform of some strings with text positions sampled at run ends.
 
+    Strings are bytes, or arrays of small numbers.
     ``copies`` says how often each string occurs (once unless given). Copies are not put into the transform, whose
     runs they would only make longer: the start of a string with copies is a further sample, which matches to the
     string's end.
     """
 
-    def __init__(self, strings: list[bytes], copies: list[int] | None = None):
+    def __init__(self, strings: list[bytes] | list[np.ndarray], copies: list[int] | None = None):
         self.lengths = np.array([len(s) for s in strings], np.int64)
-        joined = np.frombuffer(b"".join(s + b"\0" for s in strings), np.uint8).astype(np.int64) + len(strings)
+        if isinstance(strings[0], bytes):
+            joined = np.frombuffer(b"".join(s + b"\0" for s in strings), np.uint8).astype(np.int64) + len(strings)
+        else:
+            joined = np.concatenate([x for s in strings for x in (s, np.zeros(1, np.int64))]) + len(strings)
         self.ends = np.cumsum(self.lengths + 1) - 1
         joined[self.ends] = np.arange(len(strings))  # every string ends with a symbol of its own
         order, ranks = suffix_order(joined)
@@ -280,13 +373,17 @@ def _classes(table: DataFrame, carried: list[str]) -> DataFrame:
     return saved(held.join(many, "h"), "repeat-counts")
 
 
-def _texts_of(wanted: DataFrame, docs: DataFrame, name: str) -> DataFrame:
-    """h, rh, cnt, classes and the bytes of one occurrence of every class in ``wanted``."""
+def _texts_of(wanted: DataFrame, docs: DataFrame, name: str, least: int) -> DataFrame:
+    """h, rh, cnt, classes and the bytes of one occurrence of every class in ``wanted``, from texts of ``least`` bytes."""
     by_doc = wanted.groupBy(F.col("rep.k1").alias("k1"), F.col("rep.k2").alias("k2")).agg(
         F.collect_list(F.struct("h", "rh", "cnt", "classes", F.col("rep.lo").alias("lo"), F.col("rep.hi").alias("hi"))).alias("want")
     )
-    source = keyed(docs).where(F.octet_length("text") >= LENGTH)
-    met = source.join(saved(by_doc, f"{name}-docs"), ["k1", "k2"])
+    by_doc = saved(by_doc, f"{name}-docs")
+    source = keyed(docs).where(F.octet_length("text") >= least)
+    n = by_doc.count()
+    if n <= BROADCAST_ROWS:  # texts without such a class are not shuffled
+        source = source.join(small(by_doc.select("k1", "k2"), n), ["k1", "k2"], "left_semi")
+    met = source.join(by_doc, ["k1", "k2"])
     # repeated rows of a document bring the same bytes: one of them stays
     sliced = met.select(F.encode("text", "UTF-8").alias("text"), F.explode("want").alias("w")).select(
         "w.*", F.substring("text", F.col("w.lo") + 1, F.col("w.hi") - F.col("w.lo") + LENGTH).alias("bytes")
@@ -294,8 +391,19 @@ def _texts_of(wanted: DataFrame, docs: DataFrame, name: str) -> DataFrame:
     return saved(sliced, name)
 
 
-def _indexed(regions: DataFrame) -> DataFrame:
-    """h, rh, first, last: runs of window starts (from the class's first) that start elsewhere too."""
+def _word_parts(strings: list[bytes]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Symbols of the words of each string, and their bounds in it."""
+    symbols, first, after = word_symbols(np.frombuffer(b"\n".join(strings), np.uint8))
+    begin = np.concatenate([[0], np.cumsum([len(s) + 1 for s in strings])])
+    at = np.searchsorted(first, begin)
+    return [(symbols[a:b], first[a:b] - c, after[a:b] - c) for a, b, c in zip(at[:-1].tolist(), at[1:].tolist(), begin.tolist(), strict=False)]
+
+
+def _indexed(regions: DataFrame, words: int | None = None) -> DataFrame:
+    """h, rh, first, last: runs of window starts (from the class's first) that start elsewhere too.
+
+    With ``words``, windows are of so many words, and a run's last window ends ``LENGTH`` bytes after ``last``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("suffix", _powers.clear)
@@ -304,9 +412,19 @@ def _indexed(regions: DataFrame) -> DataFrame:
 
         def flush() -> pa.RecordBatch:
             out: tuple[list, ...] = ([], [], [], [])
-            index = RunLengthIndex([r[2] for r in rows], [r[3] for r in rows])
-            for (h, rh, *_), starts in zip(rows, index.long_starts(LENGTH), strict=True):
-                for a, b in ranges(starts):
+            strings, copies = [r[2] for r in rows], [r[3] for r in rows]
+            if words is None:
+                found = [ranges(starts) for starts in RunLengthIndex(strings, copies).long_starts(LENGTH)]
+            else:
+                parts = _word_parts(strings)
+                numbers = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)[1].astype(np.int64)
+                index = RunLengthIndex(np.split(numbers, np.cumsum([len(p[0]) for p in parts])[:-1]), copies)
+                found = [
+                    [(int(first[a]), int(after[b + words - 1]) - LENGTH) for a, b in ranges(starts)]
+                    for (_, first, after), starts in zip(parts, index.long_starts(words), strict=True)
+                ]
+            for (h, rh, *_), spans in zip(rows, found, strict=True):
+                for a, b in spans:
                     for column, value in zip(out, (h, rh, a, b), strict=True):
                         column.append(value)
             kinds = (pa.int64(), pa.binary(), pa.int32(), pa.int32())
@@ -386,6 +504,32 @@ def _heavy(regions: DataFrame) -> DataFrame:
     )
 
 
+def _heavy_words(regions: DataFrame, words: int) -> DataFrame:
+    """Like ``_indexed`` with ``words``, for hashes with any number of classes: every window on its digest."""
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("suffix", _powers.clear)
+        digest = xxhash.xxh3_128_digest
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            out: tuple[list, ...] = tuple([] for _ in range(6))
+            hs, rhs, texts, counts = (batch.column(i).to_pylist() for i in range(4))
+            for h, rh, cnt, (symbols, first, after) in zip(hs, rhs, counts, _word_parts(texts), strict=True):
+                view = symbols.tobytes()
+                for s in range(len(symbols) - words + 1):
+                    window = (h, rh, int(first[s]), int(after[s + words - 1]) - LENGTH, digest(view[8 * s : 8 * (s + words)]), cnt)
+                    for column, value in zip(out, window, strict=True):
+                        column.append(value)
+            kinds = (pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=["h", "rh", "first", "last", "digest", "cnt"])
+
+    once = regions.dropDuplicates(["h", "rh"]).select("h", "rh", "bytes", "cnt")
+    single = saved(once.mapInArrow(windows, "h long, rh binary, first int, last int, digest binary, cnt long"), "repeat-windows")
+    twice = single.groupBy("h", "digest").agg(F.sum("cnt").alias("n")).where("n > 1").select("h", "digest")
+    return single.join(twice, ["h", "digest"]).select("h", "rh", "first", "last")
+
+
 def gram_pick(data: bytes) -> np.ndarray:
     """Order values of a region's grams that any of its windows can pick; the picked one is the least."""
     h = gram_hashes(np.frombuffer(data, np.uint8), GRAM)
@@ -398,16 +542,17 @@ def gram_pick(data: bytes) -> np.ndarray:
     return value
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """k1, k2 and spans (array of [from, to) bytes, not merged) of every document with repeats."""
+def repeated_spans(docs: DataFrame, words: int | None = None) -> DataFrame:
+    """k1, k2 and spans (array of [from, to) bytes, not merged) of every document with repeats, of ``LENGTH`` bytes or
+    of so many ``words``."""
     prepare(docs.sparkSession)
-    held = saved(anchors(docs), "repeat-anchors")
+    held = saved(anchors(docs) if words is None else word_anchors(docs, words), "repeat-anchors")
     classes = _classes(held, ["k1", "k2", "lo", "hi"])
-    regions = _texts_of(classes, docs, "repeat-regions")
-    marks = _indexed(regions.where(F.col("classes") <= HEAVY))
+    regions = _texts_of(classes, docs, "repeat-regions", _least_bytes(words))
+    marks = _indexed(regions.where(F.col("classes") <= HEAVY), words)
     heavy = regions.where(F.col("classes") > HEAVY)
     if heavy.limit(1).count():
-        marks = marks.unionByName(_heavy(heavy))
+        marks = marks.unionByName(_heavy(heavy) if words is None else _heavy_words(heavy, words))
     marks = saved(marks.groupBy("h", "rh").agg(F.collect_list(F.struct("first", "last")).alias("marks")), "repeat-marks")
     met = held.join(marks, ["h", "rh"]).select("k1", "k2", "lo", F.explode("marks").alias("m"))
     spans = met.select("k1", "k2", F.struct((F.col("lo") + F.col("m.first")).alias("a"), (F.col("lo") + F.col("m.last") + LENGTH).alias("b")).alias("s"))
@@ -446,7 +591,8 @@ def _with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("k1"),
         F.xxhash64(text).alias("k2"),
     )
-    return row.join(spans, ["k1", "k2"], "left")
+    n = spans.agg(F.sum(F.size("spans"))).first()[0] or 0
+    return row.join(small(spans, n), ["k1", "k2"], "left")
 
 
 def dedup_report(docs: DataFrame) -> DataFrame:
@@ -469,9 +615,16 @@ def dedup_report(docs: DataFrame) -> DataFrame:
     return found.withColumn("repeated", F.col("n_removed") > 0)
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with repeated strings cut out of ``text`` (and ``n_chars``, if it is there, counted anew)."""
-    joined = _with_spans(docs, repeated_spans(docs))
+def remove_repeats(docs: DataFrame, words: int | None = None) -> DataFrame:
+    """``docs`` with repeated strings cut out of ``text`` (and ``n_chars``, if it is there, counted anew).
+
+    With ``words``, passages of so many words that occur elsewhere go too.
+    """
+    spans = repeated_spans(docs)
+    if words is not None:
+        both = spans.unionByName(repeated_spans(docs, words))
+        spans = saved(both.groupBy("k1", "k2").agg(F.flatten(F.collect_list("spans")).alias("spans")), "repeat-spans")
+    joined = _with_spans(docs, spans)
 
     def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series([t if s is None or t is None else kept_bytes(t, s)[0].decode("utf-8", "ignore") for t, s in zip(texts, spans, strict=True)])

@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from conformity.llm import decontaminate, near_dup, packing, quality, suffix_dedup
 from conformity.llm.common import drop_saved, saved
 
+#: Passages of over 50 words that occur elsewhere are cut, besides the strings of 400 bytes of op6's contract.
+PASSAGE_WORDS = 51
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep; the cutoffs are learned from ``labels``."""
@@ -25,8 +28,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the bytes of long strings that occur elsewhere too."""
-    return suffix_dedup.remove_repeats(docs)
+    """All documents, without the bytes of long strings, and of passages of over 50 words, that occur elsewhere too."""
+    return suffix_dedup.remove_repeats(docs, words=PASSAGE_WORDS)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

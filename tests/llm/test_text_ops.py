@@ -171,6 +171,62 @@ def test_removal_keeps_columns_and_empty_tables(spark):
     assert suffix_dedup.dedup_report(docs_frame(spark, [])).count() == 0
 
 
+def without_passages(rows, n, length):
+    """Texts without the bytes of windows of n words, or of ``length`` bytes, that also start elsewhere."""
+    word, seen, cut = re.compile(rb"[^\x20\x09-\x0D]+"), Counter(), []
+    for r in rows:
+        data = (r[1] or "").encode()
+        spans = [m.span() for m in word.finditer(data)]
+        held = [data[a:b] for a, b in spans]
+        windows = [(tuple(held[i : i + n]), spans[i][0], spans[i + n - 1][1]) for i in range(len(held) - n + 1)]
+        windows += [(data[i : i + length], i, i + length) for i in range(len(data) - length + 1)]
+        seen.update(w for w, _, _ in windows)
+        cut.append((data, windows))
+    out = Counter()
+    for r, (data, windows) in zip(rows, cut, strict=True):
+        gone = bytearray(len(data))
+        for w, a, b in windows:
+            if seen[w] > 1:
+                gone[a:b] = b"\1" * (b - a)
+        out[r[0], None if r[1] is None else bytes(x for x, g in zip(data, gone, strict=True) if not g).decode("utf-8", "ignore")] += 1
+    return out
+
+
+@pytest.mark.parametrize("heavy", [1500, 1])
+def test_short_passages_of_many_words_are_cut(spark, monkeypatch, heavy):
+    monkeypatch.setattr(suffix_dedup, "HEAVY", heavy)
+    rng = random.Random(31)
+    few = lambda n: " ".join("".join(rng.choices("abcdeé", k=rng.randrange(1, 7))) for _ in range(n))
+    shared = [few(n) for n in (50, 51, 52, 60, 70, 110)]
+    rows = [(i, t[:20_000] if t else t, lang, s, n) for i, t, lang, s, n in awkward(rng)]
+    for i in range(60):
+        parts = [few(rng.randrange(1, 40)) for _ in range(3)]
+        for p in rng.sample(shared, rng.randrange(3)):
+            at = rng.randrange(10)
+            held = p.split(" ")[at if i % 3 else 0 :]
+            parts.insert(rng.randrange(3), rng.choice([" ", "\n", " \t"]).join(held))
+        rows.append((100 + i, rng.choice([" ", "\n\n"]).join(parts), "en", "s", 1))
+    rows.append((200, f"{shared[1]} {few(9)} {shared[2]} {few(9)} {shared[2]}", "en", "s", 1))
+    assert all(len(p.encode()) < suffix_dedup.LENGTH for p in shared[:4])
+    docs = docs_frame(spark, rows)
+    want = without_passages(rows, 51, suffix_dedup.LENGTH)
+    assert Counter((r["doc_id"], r["text"]) for r in suffix_dedup.remove_repeats(docs, words=51).collect()) == want
+    assert want != without_passages(rows, 10**6, suffix_dedup.LENGTH)
+
+
+def test_every_window_of_words_lies_in_one_piece(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "CHUNK", 2048)
+    rng = random.Random(32)
+    for data in (words(rng, 2000).encode(), ("x" * 5000 + " " + words(rng, 300)).encode(), b"y" * 9000, b" " * 3000, b""):
+        found = Counter()
+        for at, piece in suffix_dedup.word_pieces(data, 51):
+            assert data[at : at + len(piece)] == piece
+            a, b = suffix_dedup.word_bounds(np.frombuffer(piece, np.uint8))
+            found.update({(at + int(x), at + int(y)) for x, y in zip(a, b[50:], strict=False)})
+        a, b = suffix_dedup.word_bounds(np.frombuffer(data, np.uint8))
+        assert found.keys() == {(int(x), int(y)) for x, y in zip(a, b[50:], strict=False)}
+
+
 def test_long_documents_go_in_pieces(spark, monkeypatch):
     rng = random.Random(5)
     a = words(rng, 3000, 10**6)
