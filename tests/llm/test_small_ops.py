@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conformity.llm import packing, quality, sharding, token_files, warc
+from conformity.llm import packing, quality, sharding, token_files, tokens, warc
 from conformity.llm.common import numbered, scratch_path
 from conformity.llm.tokens import PieceEncoder, default_vocabulary
 
@@ -43,6 +43,23 @@ def test_pieces_encode_like_whole_texts(tokenizer):
         assert encoder.encode(texts) == [packed(ids(tokenizer, t)[:-1]) for t in texts]
 
 
+def test_pieces_are_split_and_kept_in_arrays(tokenizer, monkeypatch):
+    rng = random.Random(9)
+    letters = "ab sstmdrevl'''  \n\t\xa0\x85.,1²éß\x00\x1c"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(60))) for _ in range(600)]
+    texts += ["", "'", "'s", "a'", "a'r", "it's'll've'dx 'm", "\n", "x" * 19, "x" * 18, "y" * 300 + " " + "y" * 300, " " * 40]
+    joined = "".join(t + tokens.END for t in texts)
+    at = np.flatnonzero(tokens.piece_starts(np.frombuffer(joined.encode("utf-16-le"), "<u2"))).tolist()
+    assert [joined[a:b] for a, b in zip(at, [*at[1:], len(joined)], strict=True)] == [p for t in texts for p in [*tokens.PIECES.findall(t), tokens.END]]
+    # a table that keeps few pieces drops the others and spells the same ids
+    monkeypatch.setattr(tokens, "KEPT_PIECES", 40)
+    monkeypatch.setattr(tokens, "LOOKED_UP", 64)
+    encoder = PieceEncoder(default_vocabulary())
+    for _ in range(2):
+        assert encoder.encode(texts) == [packed(ids(tokenizer, t)[:-1]) for t in texts]
+        assert encoder.table.n <= 2 * 40 + 64
+
+
 @pytest.mark.parametrize("clash", [False, True])
 def test_token_files_round_trip(spark, tokenizer, clash):
     rows = awkward(random.Random(1))
