@@ -6,6 +6,7 @@ import random
 import struct
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -60,6 +61,13 @@ def test_pieces_are_split_and_kept_in_arrays(tokenizer, monkeypatch):
         assert encoder.table.n <= 2 * 40 + 64
 
 
+def test_new_pieces_are_not_split_again(tokenizer):
+    encoder = PieceEncoder(default_vocabulary())
+    encoder.tokenizer = SimpleNamespace(model=tokenizer.model)  # without the library's own splitting
+    texts = ["Unheard-of pieces,\n\n they've  gone straight", "to the 1 model's\tmerges é", ""]
+    assert encoder.encode(texts) == [packed(ids(tokenizer, t)[:-1]) for t in texts]
+
+
 @pytest.mark.parametrize("clash", [False, True])
 def test_token_files_round_trip(spark, tokenizer, clash):
     rows = awkward(random.Random(1))
