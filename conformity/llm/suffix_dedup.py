@@ -24,7 +24,8 @@ A byte is removed if some ``LENGTH``-byte string that covers it also starts anyw
 
 Repeated starts go back to the anchors of all documents and from there to byte spans of documents.
 
-``remove_repeats(words=n)`` also cuts passages of ``n`` words that occur elsewhere, however few bytes they have. The
+Passages of ``n`` words that occur elsewhere are found too, however few bytes they have: ``dedup_report`` counts them
+beside what is removed, ``remove_repeats(words=n)`` also cuts them. The
 steps are the same with words (between white space) as symbols: windows of ``n`` words pick a gram of ``WORD_GRAM``
 words, classes still compare bytes, and indexes hold words, so that white space between them may differ. Words are
 compared by 64-bit hashes. The windows of heavy hashes are decided on 128-bit digests at once, since an anchor has
@@ -58,6 +59,8 @@ INDEX_BYTES = 1 << 19
 HEAVY = 1000
 RANGE = 16
 WORD_GRAM = 8
+#: Passages of over 50 words are reported.
+PASSAGE_WORDS = 51
 #: Bytes whose windows are picked at once; positions inside need ``POSITION`` bits.
 CHUNK, POSITION = 1 << 20, 21
 ANCHORS = "h long, rh binary, k1 long, k2 long, lo int, hi int"
@@ -286,10 +289,15 @@ def suffix_order(symbols: np.ndarray) -> tuple[np.ndarray, list[tuple[int, np.nd
         size *= 2
 
 
-def common_prefix(a: np.ndarray, b: np.ndarray, ranks: list[tuple[int, np.ndarray]]) -> np.ndarray:
-    """Longest common prefixes of suffixes a and b, from the ranks of doubled prefixes."""
+def common_prefix(a: np.ndarray, b: np.ndarray, ranks: list[tuple[int, np.ndarray]], least: int = 1) -> np.ndarray:
+    """Longest common prefixes of suffixes a and b, from the ranks of doubled prefixes; those below ``least`` may be 0."""
     n = len(ranks[0][1])
     out = np.zeros(len(a), np.int64)
+    size, rank = max((r for r in ranks if r[0] <= least), key=lambda r: r[0])
+    if size > 1:  # most neighbours share less
+        some = np.flatnonzero(rank[a] == rank[b])
+        out[some] = common_prefix(a[some], b[some], ranks)
+        return out
     for size, rank in reversed(ranks):
         x, y = a + out, b + out
         inside = (x < n) & (y < n)
@@ -304,17 +312,22 @@ class RunLengthIndex:
     Strings are bytes, or arrays of small numbers.
     ``copies`` says how often each string occurs (once unless given). Copies are not put into the transform, whose
     runs they would only make longer: the start of a string with copies is a further sample, which matches to the
-    string's end.
+    string's end. Matches shorter than ``least`` may count as none.
     """
 
-    def __init__(self, strings: list[bytes] | list[np.ndarray], copies: list[int] | None = None):
+    def __init__(self, strings: list[bytes] | list[np.ndarray], copies: list[int] | None = None, least: int = 1):
         self.lengths = np.array([len(s) for s in strings], np.int64)
+        self.ends = np.cumsum(self.lengths + 1) - 1
         if isinstance(strings[0], bytes):
-            joined = np.frombuffer(b"".join(s + b"\0" for s in strings), np.uint8).astype(np.int64) + len(strings)
+            joined = np.frombuffer(b"".join(s + b"\0" for s in strings), np.uint8)
+            # few numbers, so that many symbols are sorted at once
+            joined = np.cumsum(np.bincount(joined, minlength=256) > 0)[joined] + 1
         else:
-            joined = np.concatenate([x for s in strings for x in (s, np.zeros(1, np.int64))]) + len(strings)
-        self.ends = np.cumsum(self.lengths + 1) - 1
-        joined[self.ends] = np.arange(len(strings))  # every string ends with a symbol of its own
+            joined = np.concatenate([x for s in strings for x in (s, np.zeros(1, np.int64))]) + 2
+        # strings end with the same symbol, the last with one of its own: matches may run over it, and are cut there by
+        # ``statistics``
+        joined[self.ends] = 1
+        joined[-1] = 0
         order, ranks = suffix_order(joined)
         transform = joined[order - 1]
         head = np.concatenate([[True], transform[1:] != transform[:-1]])
@@ -325,7 +338,7 @@ class RunLengthIndex:
         # matches with the suffix before a run's head and after its tail
         self.head_matches, self.tail_matches = np.zeros(len(tails), np.int64), np.zeros(len(tails), np.int64)
         if len(tails) > 1:
-            between = common_prefix(self.tail_positions[:-1], self.head_positions[1:], ranks)
+            between = common_prefix(self.tail_positions[:-1], self.head_positions[1:], ranks, least)
             self.head_matches[1:] = between
             self.tail_matches[:-1] = between
         self.size = len(order)
@@ -342,7 +355,7 @@ class RunLengthIndex:
             reach = np.full(self.size, -1, np.int64)
             reach[positions] = matches + positions
             np.maximum(best, np.maximum.accumulate(reach) - here, out=best)
-        return best
+        return np.minimum(best, np.repeat(self.ends, self.lengths + 1) - here)
 
     def long_starts(self, length: int) -> list[np.ndarray]:
         """For every string the starts whose ``length`` bytes also start elsewhere."""
@@ -414,11 +427,11 @@ def _indexed(regions: DataFrame, words: int | None = None) -> DataFrame:
             out: tuple[list, ...] = ([], [], [], [])
             strings, copies = [r[2] for r in rows], [r[3] for r in rows]
             if words is None:
-                found = [ranges(starts) for starts in RunLengthIndex(strings, copies).long_starts(LENGTH)]
+                found = [ranges(starts) for starts in RunLengthIndex(strings, copies, LENGTH).long_starts(LENGTH)]
             else:
                 parts = _word_parts(strings)
                 numbers = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)[1].astype(np.int64)
-                index = RunLengthIndex(np.split(numbers, np.cumsum([len(p[0]) for p in parts])[:-1]), copies)
+                index = RunLengthIndex(np.split(numbers, np.cumsum([len(p[0]) for p in parts])[:-1]), copies, words)
                 found = [
                     [(int(first[a]), int(after[b + words - 1]) - LENGTH) for a, b in ranges(starts)]
                     for (_, first, after), starts in zip(parts, index.long_starts(words), strict=True)
@@ -591,28 +604,44 @@ def _with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("k1"),
         F.xxhash64(text).alias("k2"),
     )
-    n = spans.agg(F.sum(F.size("spans"))).first()[0] or 0
+    n = spans.agg(F.sum(sum(F.size(c) for c in spans.columns if c not in ("k1", "k2")))).first()[0] or 0
     return row.join(small(spans, n), ["k1", "k2"], "left")
 
 
-def dedup_report(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and repeated (whether bytes were removed) of every document."""
-    joined = _with_spans(docs.select("doc_id", F.col("text").cast("string").alias("text")), repeated_spans(docs))
+def spans_and_passages(docs: DataFrame, words: int) -> DataFrame:
+    """k1, k2, the spans of ``repeated_spans`` and, as ``passages``, those of passages of so many words."""
+    spans, passages = repeated_spans(docs), repeated_spans(docs, words)
+    both = spans.unionByName(passages.withColumnRenamed("spans", "passages"), allowMissingColumns=True)
+    out = saved(both.groupBy("k1", "k2").agg(*[F.flatten(F.collect_list(c)).alias(c) for c in ("spans", "passages")]), "repeat-both")
+    drop_saved(spans, passages)
+    return out
+
+
+def dedup_report(docs: DataFrame, words: int = PASSAGE_WORDS) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and repeated (whether bytes were removed) of every document.
+
+    Passages of ``words`` words that occur elsewhere follow, of any number of bytes and removed or not: the bytes that
+    they cover (n_passage_bytes), how many maximal runs these are (n_passages) and passage_repeated, whether there is one.
+    """
+    joined = _with_spans(docs.select("doc_id", F.col("text").cast("string").alias("text")), spans_and_passages(docs, words))
 
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: tuple[list, ...] = ([], [], [], [])
-            for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            out: tuple[list, ...] = ([], [], [], [], [], [])
+            for text, spans, passages in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
                 kept, gone = kept_bytes(text, spans)
-                removed = sum(b - a for a, b in gone)
-                for column, value in zip(out, (len(kept) + removed, removed, len(gone), hashlib.sha256(kept).hexdigest()), strict=True):
+                removed, held = sum(b - a for a, b in gone), merged(passages)
+                row = (len(kept) + removed, removed, len(gone), hashlib.sha256(kept).hexdigest(), sum(b - a for a, b in held), len(held))
+                for column, value in zip(out, row, strict=True):
                     column.append(value)
-            arrays = [pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64())
+            names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passage_bytes", "n_passages"]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, t) for c, t in zip(out, kinds, strict=True)]], names=names)
 
-    narrow = joined.select(F.col("__row.doc_id").cast("long").alias("doc_id"), F.col("__row.text").alias("text"), "spans")
-    found = narrow.mapInArrow(report, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-    return found.withColumn("repeated", F.col("n_removed") > 0)
+    narrow = joined.select(F.col("__row.doc_id").cast("long").alias("doc_id"), F.col("__row.text").alias("text"), "spans", "passages")
+    found = narrow.mapInArrow(report, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passage_bytes long, n_passages long")
+    columns = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", (F.col("n_removed") > 0).alias("repeated"), "n_passage_bytes", "n_passages")
+    return found.select(*columns, (F.col("n_passages") > 0).alias("passage_repeated"))
 
 
 def remove_repeats(docs: DataFrame, words: int | None = None) -> DataFrame:
@@ -620,10 +649,10 @@ def remove_repeats(docs: DataFrame, words: int | None = None) -> DataFrame:
 
     With ``words``, passages of so many words that occur elsewhere go too.
     """
-    spans = repeated_spans(docs)
-    if words is not None:
-        both = spans.unionByName(repeated_spans(docs, words))
-        spans = saved(both.groupBy("k1", "k2").agg(F.flatten(F.collect_list("spans")).alias("spans")), "repeat-spans")
+    if words is None:
+        spans = repeated_spans(docs)
+    else:
+        spans = spans_and_passages(docs, words).select("k1", "k2", F.concat("spans", "passages").alias("spans"))
     joined = _with_spans(docs, spans)
 
     def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:

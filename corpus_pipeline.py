@@ -14,7 +14,7 @@ from conformity.llm import decontaminate, near_dup, packing, quality, suffix_ded
 from conformity.llm.common import drop_saved, saved
 
 #: Passages of over 50 words that occur elsewhere are cut, besides the strings of 400 bytes of op6's contract.
-PASSAGE_WORDS = 51
+PASSAGE_WORDS = suffix_dedup.PASSAGE_WORDS
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -192,6 +192,21 @@ def without_passages(rows, n, length):
     return out
 
 
+def covered(rows, n):
+    """Bytes in windows of n words that also start elsewhere, in how many runs, and whether there are any."""
+    texts = [(r[1] or "").encode() for r in rows]
+    spans = [[m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", t)] for t in texts]
+    windows = [[(tuple(t[a:b] for a, b in s[i : i + n]), s[i][0], s[i + n - 1][1]) for i in range(len(s) - n + 1)] for t, s in zip(texts, spans, strict=True)]
+    seen, out = Counter(w for ws in windows for w, _, _ in ws), Counter()
+    for r, t, ws in zip(rows, texts, windows, strict=True):
+        held = bytearray(len(t))
+        for w, a, b in ws:
+            if seen[w] > 1:
+                held[a:b] = b"\1" * (b - a)
+        out[r[0], sum(held), len(re.findall(b"\1+", bytes(held))), any(held)] += 1
+    return out
+
+
 @pytest.mark.parametrize("heavy", [1500, 1])
 def test_short_passages_of_many_words_are_cut(spark, monkeypatch, heavy):
     monkeypatch.setattr(suffix_dedup, "HEAVY", heavy)
@@ -212,6 +227,12 @@ def test_short_passages_of_many_words_are_cut(spark, monkeypatch, heavy):
     want = without_passages(rows, 51, suffix_dedup.LENGTH)
     assert Counter((r["doc_id"], r["text"]) for r in suffix_dedup.remove_repeats(docs, words=51).collect()) == want
     assert want != without_passages(rows, 10**6, suffix_dedup.LENGTH)
+    # the report counts them beside the bytes that are removed, which stay those of ``LENGTH``
+    report = suffix_dedup.dedup_report(docs, words=51).collect()
+    assert Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in report) == brute_removal(rows, suffix_dedup.LENGTH)
+    found = covered(rows, 51)
+    assert Counter((r["doc_id"], r["n_passage_bytes"], r["n_passages"], r["passage_repeated"]) for r in report) == found
+    assert any(p and not r["n_removed"] for r in report for p in [r["passage_repeated"]]) and not all(x[3] for x in found)
 
 
 def test_every_window_of_words_lies_in_one_piece(monkeypatch):
