@@ -376,13 +376,17 @@ def ranges(starts: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _classes(table: DataFrame, carried: list[str]) -> DataFrame:
-    """Classes (h, rh) of a table with their count, one occurrence ``rep``, and the hash's class count;
-    hashes seen once are left out."""
+    """Classes (h, rh) of a table with their count, one occurrence ``rep``, and the hash's class count and its least
+    count of a class; hashes seen once are left out."""
     weight = F.sum("cnt") if "cnt" in table.columns else F.count(F.lit(1))
+    hashes = saved(table.groupBy("h").agg(weight.alias("seen")).where("seen > 1").select("h"), "repeat-hashes")
+    n = hashes.count()
+    if n <= BROADCAST_ROWS:  # other rows are neither sorted nor shuffled
+        table = table.join(small(hashes, n), "h", "left_semi")
     classes = table.groupBy("h", "rh").agg(weight.alias("cnt"), F.min(F.struct(*carried)).alias("rep"))
-    hashes = table.groupBy("h").agg(weight.alias("seen")).where("seen > 1").select("h")
-    held = saved(classes.join(hashes, "h"), "repeat-classes")
-    many = held.groupBy("h").agg(F.count(F.lit(1)).alias("classes"))
+    held = saved(classes if n <= BROADCAST_ROWS else classes.join(hashes, "h"), "repeat-classes")
+    drop_saved(hashes)
+    many = held.groupBy("h").agg(F.count(F.lit(1)).alias("classes"), F.min("cnt").alias("least"))
     return saved(held.join(many, "h"), "repeat-counts")
 
 
@@ -561,11 +565,16 @@ def repeated_spans(docs: DataFrame, words: int | None = None) -> DataFrame:
     prepare(docs.sparkSession)
     held = saved(anchors(docs) if words is None else word_anchors(docs, words), "repeat-anchors")
     classes = _classes(held, ["k1", "k2", "lo", "hi"])
-    regions = _texts_of(classes, docs, "repeat-regions", _least_bytes(words))
+    # passages of hashes whose classes all have copies are decided by counting alone
+    unsure = classes if words is None else classes.where("least = 1")
+    regions = _texts_of(unsure, docs, "repeat-regions", _least_bytes(words))
     marks = _indexed(regions.where(F.col("classes") <= HEAVY), words)
     heavy = regions.where(F.col("classes") > HEAVY)
     if heavy.limit(1).count():
         marks = marks.unionByName(_heavy(heavy) if words is None else _heavy_words(heavy, words))
+    if words is not None:
+        whole = classes.where("least > 1").select("h", "rh", F.lit(0).alias("first"), (F.col("rep.hi") - F.col("rep.lo")).alias("last"))
+        marks = marks.unionByName(whole)
     marks = saved(marks.groupBy("h", "rh").agg(F.collect_list(F.struct("first", "last")).alias("marks")), "repeat-marks")
     met = held.join(marks, ["h", "rh"]).select("k1", "k2", "lo", F.explode("marks").alias("m"))
     spans = met.select("k1", "k2", F.struct((F.col("lo") + F.col("m.first")).alias("a"), (F.col("lo") + F.col("m.last") + LENGTH).alias("b")).alias("s"))

@@ -235,6 +235,20 @@ def test_short_passages_of_many_words_are_cut(spark, monkeypatch, heavy):
     assert any(p and not r["n_removed"] for r in report for p in [r["passage_repeated"]]) and not all(x[3] for x in found)
 
 
+@pytest.mark.parametrize("few", [500_000, 0])
+def test_copied_passages_are_counted_with_few_or_many_hashes(spark, monkeypatch, few):
+    monkeypatch.setattr(suffix_dedup, "BROADCAST_ROWS", few)
+    rng = random.Random(8)
+    text = lambda n: " ".join("".join(rng.choices("abcd", k=rng.randrange(1, 5))) for _ in range(n))
+    copy, part = text(90), text(55)
+    rows = [(1, copy, "en", "s", 1), (2, copy, "en", "s", 1), (3, f"{text(9)} {part} {text(5)}", "en", "s", 1), (4, f"{part} {text(20)}", "en", "s", 1), (5, text(80), "en", "s", 1)]
+    docs = docs_frame(spark, rows)
+    report = suffix_dedup.dedup_report(docs, words=51).collect()
+    assert Counter((r["doc_id"], r["n_passage_bytes"], r["n_passages"], r["passage_repeated"]) for r in report) == covered(rows, 51)
+    classes = suffix_dedup._classes(suffix_dedup.word_anchors(docs, 51), ["k1", "k2", "lo", "hi"])
+    assert classes.where("least > 1").count() > 0
+
+
 def test_every_window_of_words_lies_in_one_piece(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "CHUNK", 2048)
     rng = random.Random(32)
