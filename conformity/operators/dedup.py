@@ -1,13 +1,15 @@
 """Auditable deduplication: matchers group rows, selectors name each group's winner.
 
 Internally a row's identity and members are structs-as-JSON of few columns; a whole row's JSON exists only
-as the record that matching versions and auditing need. A step's decisions are held, and all its checks read
-them in one job with one aggregation per grouping; that they are the rows as given shows by order-free fingerprints in the same job.
+as the record that matching versions and auditing need. Whole rows are shuffled once, to the task of their identity;
+groups are decided on their keys, and rows meet their winner where they lie. Nothing is kept: what JSON says of a row is
+several times the row, so decisions are plans, and a step's checks read them in one job with one aggregation per grouping;
+that they are the rows as given shows by order-free fingerprints in the same job.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 from typing import Any
 
@@ -28,6 +30,15 @@ MATCH = ("__dd_group", "__dd_member", "__dd_role", "__dd_inputs")
 CHOICE = ("__dd_winner", "__dd_selection")
 #: Columns of this prefix serve rules and go once these are checked.
 PROBE = "__dd_probe_"
+#: What matchers of the engine add for selectors and checks. Flags: groups and inputs are identities, members hash whole
+#: records; members are identities.
+#: What the rows of a group, and no others, have in common, in at most 64 characters.
+BY_IDENTITY, OF_IDENTITY, KEY = f"{PROBE}by_identity", f"{PROBE}of_identity", f"{PROBE}key"
+#: The values of the rule that a member is in one group.
+NAMED = "__dd_named"
+#: What the runner adds before a selector: whether a row has no group, whether what the matcher left is as it says,
+#: and a hash of what the selector is given.
+ALONE, SOUND, MARK = f"{PROBE}alone", f"{PROBE}sound", f"{PROBE}mark"
 
 
 @dataclass(frozen=True)
@@ -65,7 +76,8 @@ def _no_params(params: dict, columns: list[str], identity: list[str]) -> None:
     "dedup", "same_source_identity", description="Versions of one source record.", check=_no_params, selectors=frozenset({"ordered"})
 )
 def same_source_identity(df: DataFrame, params: dict[str, Any], ctx: RunContext) -> Annotated:
-    return Annotated(_match(df, F.col("__dd_identity"), F.sha2("__dd_record", 256), F.lit("version"), F.col("__dd_identity")))
+    matched = _match(df, F.col("__dd_identity"), F.sha2("__dd_record", 256), F.lit("version"), F.col("__dd_identity"))
+    return Annotated(matched.withColumn(BY_IDENTITY, F.lit(True)))
 
 
 def _check_key(params: dict, columns: list[str], identity: list[str]) -> None:
@@ -182,18 +194,29 @@ def ordering(entry: dict[str, Any]) -> Column:
 
 @REGISTRY.add("selection", "ordered", description="The first by the declared ordering; different members tied at the top fail.", check=_check_ordered)
 def ordered(df: DataFrame, params: dict[str, Any], ctx: RunContext) -> Annotated:
-    # the first rows of a group are found per task before they are shuffled (WindowGroupLimit), so that no task
-    # sorts a large group; its rows then meet their winner in a join, which Spark splits where it is skewed
-    window = Window.partitionBy("__dd_group").orderBy(*map(ordering, params["order_by"]))
-    used = list(dict.fromkeys(e["field"] for e in params["order_by"]))
-    first = df.where(F.col("__dd_group").isNotNull()).withColumn("__dd_rank", F.rank().over(window)).where("__dd_rank = 1")
-    tied = f"{PROBE}tied"
-    tops = first.groupBy(F.col("__dd_group").alias("__dd_g")).agg(F.min("__dd_member").alias("__dd_top"), (F.min("__dd_member") != F.max("__dd_member")).alias(tied))
-    # an unmatched member is a group of its own
-    alone = F.col("__dd_group").isNull()
-    out = df.join(tops, F.coalesce("__dd_group", "__dd_member") == F.col("__dd_g"), "left")
-    out = out.withColumns({"__dd_winner": F.when(alone, F.col("__dd_member")).otherwise(F.col("__dd_top")), "__dd_selection": identity_json(used), tied: ~alone & F.col(tied)})
-    return Annotated(out.drop("__dd_g", "__dd_top"), (Rule(F.col(tied), "Selection is tied: the ordering needs another key"),))
+    order, used, tied = [*map(ordering, params["order_by"])], list(dict.fromkeys(e["field"] for e in params["order_by"])), f"{PROBE}tied"
+    member, group = F.col("__dd_member"), F.col("__dd_group")
+    if BY_IDENTITY in df.columns:  # a group lies in one task; hashes sort faster than JSON that begins alike
+        window = Window.partitionBy("__dd_hash", "__dd_identity")
+        ranked = df.withColumn("__dd_hash", F.xxhash64("__dd_identity")).withColumn("__dd_rank", F.rank().over(window.orderBy(*order)))
+        top = F.when(F.col("__dd_rank") == 1, member)
+        out = ranked.withColumns({"__dd_top": F.min(top).over(window), "__dd_last": F.max(top).over(window)})
+    else:
+        # the first rows of a group are found per task before they are shuffled (WindowGroupLimit), so that no task
+        # sorts a large group; its rows then meet their winner in a join, which Spark splits where it is skewed
+        key = F.col(KEY) if KEY in df.columns else group
+        lean = df.where(group.isNotNull()).select(*used, member.alias("__dd_m"), key.alias("__dd_g"))
+        first = lean.withColumn("__dd_rank", F.rank().over(Window.partitionBy("__dd_g").orderBy(*order))).where("__dd_rank = 1")
+        tops = first.groupBy("__dd_g").agg(F.min("__dd_m").alias("__dd_top"), F.max("__dd_m").alias("__dd_last"))
+        if OF_IDENTITY in df.columns:  # only keys are moved; whole rows stay in the task of their identity
+            tops = lean.select("__dd_m", "__dd_g").join(tops, "__dd_g").drop("__dd_g")
+            out = df.join(tops, member == F.col("__dd_m"), "left").drop("__dd_m")
+        else:
+            out = df.join(tops, F.coalesce(group, member) == F.col("__dd_g"), "left").drop("__dd_g")  # an unmatched member is a group of its own
+    alone = F.col(ALONE) if ALONE in df.columns else group.isNull()
+    winner = F.when(alone, member).otherwise(F.col("__dd_top"))
+    out = out.withColumns({"__dd_winner": winner, "__dd_selection": identity_json(used), tied: ~alone & (F.col("__dd_top") != F.col("__dd_last"))})
+    return Annotated(out.drop("__dd_hash", "__dd_rank", "__dd_top", "__dd_last"), (Rule(F.col(tied), "Selection is tied: the ordering needs another key"),))
 
 
 @REGISTRY.add("selection", "referenced_record", description="The referenced unit, with all its lines.", check=_no_params)
@@ -229,11 +252,11 @@ def keep_first(df: DataFrame, spec: dict[str, Any], ctx: RunContext) -> DataFram
 
 
 def _collapsed(df: DataFrame, identity: list[str]) -> DataFrame:
-    """Equal rows once, with how many there were, their record and their identity."""
-    native = df.columns
-    return df.groupBy(*[F.col(f"`{c}`") for c in native]).agg(F.count(F.lit(1)).alias("__dd_occurrences")).withColumns(
-        {"__dd_record": identity_json(sorted(native)), "__dd_identity": identity_json(identity), "__dd_history": F.array().cast("array<string>")}
-    )
+    """Equal rows once, with how many there were, their record and their identity, in the task of the identity."""
+    native, own = df.columns, identity_json(identity)
+    counted = df.repartition(own).groupBy(*[F.col(f"`{c}`") for c in native], own.alias("__dd_identity")).agg(F.count(F.lit(1)).alias("__dd_occurrences"))
+    record = identity_json(sorted(native))
+    return counted.select(*[F.col(f"`{c}`") for c in native], "__dd_occurrences", record.alias("__dd_record"), "__dd_identity", F.array().cast("array<string>").alias("__dd_history"))
 
 
 def _integrity(before: DataFrame, matched: DataFrame, chosen: DataFrame, step: str) -> list[Rule]:
@@ -246,18 +269,53 @@ def _integrity(before: DataFrame, matched: DataFrame, chosen: DataFrame, step: s
     is_winner = F.col("__dd_member") == F.col("__dd_winner")
     return [
         Rule(missing, f"{step}: a member, winner or its evidence is missing"),
-        _differ("named", "__dd_member", F.coalesce(F.col("__dd_group"), F.lit("")), f"{step}: a member is in conflicting groups"),
+        _differ(NAMED, "__dd_member", F.coalesce(F.col("__dd_group"), F.lit("")), f"{step}: a member is in conflicting groups"),
         _differ("winner", "__dd_group", F.col("__dd_winner"), f"{step}: a group has no single winner among its members"),
         Rule(F.col("there") != 1, f"{step}: a group has no single winner among its members", "__dd_group", {"there": F.max(is_winner.cast("int"))}),
     ]
 
 
-def _unchanged(before: DataFrame, matched: DataFrame, decided: DataFrame, step: str) -> list[Same]:
+def _plain(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c.startswith(PROBE)])
+
+
+def _mark(native: list[str]) -> Column:
+    """A hash of a row with what its matcher said."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in (*native, "__dd_occurrences", "__dd_identity", *MATCH)])
+
+
+def _sound(columns: list[str], native: list[str], identity: list[str]) -> Column:
+    """Whether a matched row has the identity and record that it is made of, and the group and member of the flags."""
+    made = [("__dd_record", identity_json(sorted(native))), ("__dd_identity", identity_json(identity))]
+    if BY_IDENTITY in columns:
+        made += [("__dd_group", F.col("__dd_identity")), ("__dd_inputs", F.col("__dd_identity")), ("__dd_member", F.sha2("__dd_record", 256))]
+    if OF_IDENTITY in columns:
+        made += [("__dd_member", F.col("__dd_identity"))]
+    return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(v) for c, v in made])
+
+
+def _unchanged(before: DataFrame, matched: DataFrame, decided: DataFrame, step: str, native: list[str]) -> list[Same]:
     """The rows themselves as given, as matched and as decided; matchers and selectors may be anyone's."""
-    exact = [(before, matched, f"{step}: the matcher changed its input rows"), (matched, decided, f"{step}: the selector changed its input rows")]
+    exact = [(before, _plain(matched), f"{step}: the matcher changed its input rows"), (_plain(matched), decided, f"{step}: the selector changed its input rows")]
+    if {ALONE, SOUND, MARK} <= set(decided.columns):
+        wrong = ~F.col(SOUND) | ~F.col(MARK).eqNullSafe(_mark(native)) | ~F.col(ALONE).eqNullSafe(F.col("__dd_group").isNull())
+        return [Same(before, decided, [*native, "__dd_occurrences", "__dd_history"], exact, wrong)]
     return [Same(before, decided, before.columns, exact), Same(matched, decided, list(MATCH), exact)]
 
 
+def _gathered(rules: list[Rule], columns: list[str]) -> list[Rule]:
+    """The rules, with those of groups or members that are identities checked by identity.
+
+    A member that hashes the record, of which the identity is part, is in the group of that identity and in no other.
+    """
+    same = {by for by, flag in (("__dd_group", BY_IDENTITY), ("__dd_member", OF_IDENTITY)) if flag in columns}
+    taken = [n for by in ("__dd_identity", *same) for n in {n for r in rules if r.by == by for n in r.values}]
+    if SOUND not in columns or len(taken) > len(set(taken)):  # values of one name need groupings of their own
+        return rules
+    out = [replace(r, by="__dd_identity") if r.by in same else r for r in rules]
+    return [replace(r, bad=~F.col(SOUND), by=None, values={}) if BY_IDENTITY in columns and f"{NAMED}_lo0" in r.values else r for r in out]
+
+
 def registered_dedup(df: DataFrame, name: str, spec: dict[str, Any], ctx: RunContext, registry: Registry = REGISTRY) -> DataFrame:
     """Run the steps of a dedup section; audits and aliases go to the context."""
     check_dedup(spec, df.columns, registry)
@@ -266,16 +324,21 @@ def registered_dedup(df: DataFrame, name: str, spec: dict[str, Any], ctx: RunCon
         raise ValueError("Columns that begin with __dd_ are reserved")
     native, identity = df.columns, spec["identity"]
     rules = [Rule(~is_usable(F.col(c)), f"Missing dedup identity: {c}") for c in identity]
-    rows = ctx.hold(_collapsed(df, identity))
+    rows = _collapsed(df, identity)
     audits: list[DataFrame] = []
     aliases: dict[tuple[str, ...], DataFrame] = {}
     for step in spec["strategies"]:
         matcher, selector = registry.get("dedup", step["strategy"]), registry.get("selection", step["selection"]["strategy"])
         matched: Annotated = matcher.run(rows, step.get("params", {}), ctx)
-        chosen: Annotated = selector.run(matched.rows, step["selection"].get("params", {}), ctx)
+        given = matched.rows.withColumns({ALONE: F.col("__dd_group").isNull(), SOUND: _sound(matched.rows.columns, native, identity), MARK: _mark(native)})
+        chosen: Annotated = selector.run(given, step["selection"].get("params", {}), ctx)
         rules += [*matched.rules, *chosen.rules]
         own = len(rules)  # what strategies say of their rows is said first
         rules += [*_integrity(rows, matched.rows, chosen.rows, step["id"])]
+        # what is made of other columns is made again, so that rows need not carry it through the selector
+        again = {"__dd_record": identity_json(sorted(native))}
+        if {BY_IDENTITY, SOUND} <= set(chosen.rows.columns):
+            again |= {c: F.col("__dd_identity") for c in ("__dd_group", "__dd_inputs")}
         decision = as_json(
             [
                 ("run_id", F.lit(ctx.run_id)), ("step", F.lit(step["id"])), ("strategy", F.lit(matcher.ref)), ("selection_strategy", F.lit(selector.ref)),
@@ -283,13 +346,14 @@ def registered_dedup(df: DataFrame, name: str, spec: dict[str, Any], ctx: RunCon
                 ("match_inputs", F.col("__dd_inputs")), ("selection_inputs", F.col("__dd_selection")),
             ]
         )
-        alone = F.col("__dd_group").isNull()
+        alone = F.col(ALONE) if ALONE in chosen.rows.columns else F.col("__dd_group").isNull()
         kept = alone | (F.col("__dd_member") == F.col("__dd_winner"))
-        decided = ctx.hold(chosen.rows.withColumns({"__dd_decision": decision, "__dd_kept": kept}))
+        decided = chosen.rows.withColumns(again).withColumns({"__dd_decision": decision, "__dd_kept": kept})
         if step is spec["strategies"][-1]:
             left = {"left": F.count_if("__dd_kept")}
             rules.append(Rule(F.col("left") > 1, "Several versions of one row identity are left", "__dd_identity", left))
-        require_rules(decided, rules, _unchanged(rows, matched.rows, decided, step["id"]), own)
+        unchanged = _unchanged(rows, matched.rows, decided, step["id"], native)
+        require_rules(decided, _gathered(rules, decided.columns), unchanged, own, "__dd_identity", ("__dd_group", "__dd_member"))
         rules = []
         if matcher.grain is not None:
             grain = tuple(matcher.grain(step.get("params", {}), identity))

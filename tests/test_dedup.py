@@ -42,6 +42,18 @@ def test_versions_keep_the_latest_and_count_equal_rows(spark):
     assert [r["outcome"] for r in audit].count("excluded") == 1
 
 
+def moved(df):
+    """The plan, and how often it deals rows by a key."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan, plan.count("Exchange hashpartitioning")
+
+
+def test_versions_keep_nothing_and_move_rows_once(spark):
+    out, ctx = run(spark, VERSION_ROWS, VERSIONS, step("same_source_identity", ordered(*LATEST)))
+    plan, times = moved(out.select(*IDENTITY, "name"))
+    assert times == 1 and "InMemory" not in plan and not ctx.held
+
+
 def test_tied_versions_fail(spark):
     with pytest.raises(ValueError, match="tied"):
         run(spark, [("p", "a", "1", "x", 1), ("p", "a", "1", "y", 1)], VERSIONS, step("same_source_identity", ordered(*LATEST)))
