@@ -88,34 +88,34 @@ def _told(row: DataFrame, n: dict[int, str], said: dict[int, str]) -> DataFrame:
     return row.select(F.explode(F.array(*each)).alias("c")).select("c.*")
 
 
-def _aggregated(df: DataFrame, by: str | None, groups: dict[int, Rule], rows: dict[int, Column], prints: dict[int, list[str]], short: bool = False) -> DataFrame:
+def _aggregated(df: DataFrame, by: str | None, keys: list[Column], groups: dict[int, Rule], rows: dict[int, Column], prints: dict[int, list[str]]) -> DataFrame:
     """How many groups break each rule and how many rows are bad, and fingerprints, by one aggregation of the groups and
-    one of their results. ``short`` groups by 64 bits of hash, which can only join groups."""
+    one of their results."""
     held = [(f"b{i}", F.count_if(bad)) for i, bad in rows.items()]
     held += [(f"f{-i}_{j}", part) for i, columns in prints.items() for j, part in enumerate(_sums(columns))]
     if by is None:
         df = df.agg(*[part.alias(name) for name, part in held])
     else:
-        df = df if held else df.where(F.col(by).isNotNull())  # rows without a value are in no group
+        # rows without a value are in no group; a filter would be pushed below the exchange of rows that other parts read
+        here = F.min(F.col(by).isNotNull()).alias("__here")
         values = {n: c for r in groups.values() for n, c in r.values.items()} | dict(held)
-        df = df.groupBy((F.xxhash64(by) if short else F.col(by)).alias("__key")).agg(*[c.alias(n) for n, c in values.items()])
-        here = F.col("__key").isNotNull()
-        df = df.agg(*[F.count_if(here & r.bad).alias(f"n{i}") for i, r in groups.items()], *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name, _ in held])
+        df = df.groupBy(*[c.alias(f"__key{i}") for i, c in enumerate(keys)]).agg(here, *[c.alias(n) for n, c in values.items()])
+        df = df.agg(*[F.count_if(F.col("__here") & r.bad).alias(f"n{i}") for i, r in groups.items()], *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name, _ in held])
     for i, columns in prints.items():
         df = df.withColumn(f"f{-i}", F.concat_ws("/", *[F.col(f"f{-i}_{j}").cast("string") for j in range(len(_sums(columns)))]))
     return _told(df, {i: f"n{i}" for i in groups} | {i: f"b{i}" for i in rows}, {i: f"f{-i}" for i in prints})
 
 
 def require_rules(
-    df: DataFrame, rules: Iterable[Rule], same: Iterable[Same] = (), first: int = 0, whole: str | None = None, long: Collection[str] = ()
+    df: DataFrame, rules: Iterable[Rule], same: Iterable[Same] = (), first: int = 0, whole: tuple[str, list[str]] = ("", []), long: Collection[str] = ()
 ) -> None:
     """Check all rules in a single job with one aggregation per grouping; raise one of the ``first`` rules that
     is broken, or else what changed rows, or else another rule that is broken.
 
     ``same``: frames to compare in the same job, which aggregates each once and shuffles no rows of them. ``whole``:
-    a column whose groups lie in one task each; what is asked of rows is aggregated with its groups. ``long``:
-    columns to group by their hashes, which are less to shuffle; a rule that groups of these break is checked again
-    with the values.
+    a column whose groups lie in one task each, and columns that give the same groups; what is asked of rows is aggregated
+    with these. ``long``: columns to group by 64 bits of hash, which are less to shuffle and can only join groups; a rule
+    that such groups break is checked again with the values.
     """
     rules, same = list(rules), list(same)
     groupings = {by: {i: r for i, r in enumerate(rules) if r.by == by} for by in dict.fromkeys(r.by for r in rules)}
@@ -127,13 +127,16 @@ def require_rules(
         if s.wrong is not None:
             sides[id(s.right)][1][-3 - 3 * i] = s.wrong
     with cleaned_up(df.sparkSession):
-        _, rows, prints = sides.pop(id(df)) if whole in groupings else (df, {}, {})
-        parts = [_aggregated(df, by, mine, rows if by == whole else {}, prints if by == whole else {}, by in long) for by, mine in groupings.items()]
-        parts += [_aggregated(frame, None, {}, bad, columns) for frame, bad, columns in sides.values() if bad or columns]
+        parts = []
+        _, rows, prints = sides.pop(id(df)) if whole[0] in groupings else (df, {}, {})
+        for by, mine in groupings.items():
+            keys = [*map(F.col, whole[1])] if by == whole[0] else [F.xxhash64(by) if by in long else F.col(by)]
+            parts.append(_aggregated(df, by, keys, mine, *((rows, prints) if by == whole[0] else ({}, {}))))
+        parts += [_aggregated(frame, None, [], {}, bad, columns) for frame, bad, columns in sides.values() if bad or columns]
         found = {r["i"]: r["said"] for r in reduce(DataFrame.unionByName, parts).where("n > 0").collect()} if parts else {}  # a row per rule and side
         for by in long:
             if again := {i: r for i, r in groupings.get(by, {}).items() if i in found}:
-                held = {r["i"] for r in _aggregated(df, by, again, {}, {}).where("n > 0").collect()}
+                held = {r["i"] for r in _aggregated(df, by, [F.col(by)], again, {}, {}).where("n > 0").collect()}
                 found = {i: said for i, said in found.items() if i in held or i not in again}
     broken = min((i for i in found if i >= 0), default=len(rules))
     if broken < first:

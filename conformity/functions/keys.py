@@ -25,7 +25,8 @@ NORMALIZERS = {"exact": lambda c: c, "lower_trim": lambda c: F.lower(F.trim(c)),
 
 
 def identity_json(columns: list[str]) -> Column:
-    return F.to_json(F.struct(*[F.col(f"`{c}`").alias(c) for c in columns]), {"ignoreNullFields": "false"})
+    """Never null, as the second value tells the optimizer: whether it is null need not be found out by making it."""
+    return F.coalesce(F.to_json(F.struct(*[F.col(f"`{c}`").alias(c) for c in columns]), {"ignoreNullFields": "false"}), F.lit(""))
 
 
 def identity_field(identity: Column | str, name: str) -> Column:

@@ -15,6 +15,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..checks import Rule, Same, require_rules
 from ..context import RunContext
@@ -32,11 +33,13 @@ CHOICE = ("__dd_winner", "__dd_selection")
 PROBE = "__dd_probe_"
 #: What matchers of the engine add for selectors and checks. Flags: groups and inputs are identities, members hash whole
 #: records; members are identities.
-#: What the rows of a group, and no others, have in common, in at most 64 characters.
+#: What the rows of a group, and no others, have in common, in 64 characters.
 BY_IDENTITY, OF_IDENTITY, KEY = f"{PROBE}by_identity", f"{PROBE}of_identity", f"{PROBE}key"
+#: Columns, by the names of identity fields, that rows lie in tasks by.
+AT = f"{PROBE}at_"
 #: The values of the rule that a member is in one group.
 NAMED = "__dd_named"
-#: What the runner adds before a selector: whether a row has no group, whether what the matcher left is as it says,
+#: What the runner adds before a selector: whether a row has no group (or the matcher, if that takes less), whether what the matcher left is as it says,
 #: and a hash of what the selector is given.
 ALONE, SOUND, MARK = f"{PROBE}alone", f"{PROBE}sound", f"{PROBE}mark"
 
@@ -64,6 +67,33 @@ def _match(df: DataFrame, group: Column, member: Column, role: Column, inputs: C
     return df.withColumns(dict(zip(MATCH, (group, member, role, inputs), strict=True)))
 
 
+def _at(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c.startswith(AT)] or ["__dd_identity"]
+
+
+def _plain_types(df: DataFrame, columns: list[str]) -> bool:
+    """Whether equal values, and no others, have equal JSON."""
+    return all(isinstance(df.schema[c].dataType, T.StringType | T.IntegralType | T.BooleanType | T.DateType) for c in columns)
+
+
+def _alone(df: DataFrame) -> Column:
+    return F.col(ALONE) if ALONE in df.columns else F.col("__dd_group").isNull()
+
+
+def _here(c: Column) -> Column:
+    """The same of collapsed rows; but filters of it are not pushed below the exchange of rows, so one serves all reads."""
+    return F.when(F.col("__dd_occurrences") > 0, c)
+
+
+def _met(df: DataFrame, tops: DataFrame, key: Column) -> DataFrame:
+    """Rows, whose members are identities, with what ``tops`` says of their group by ``__dd_g``. Only keys are moved:
+    whole rows stay in the task of their identity."""
+    at = _at(df)
+    keys = df.where(_here(~_alone(df))).select(*[_here(F.col(c)).alias(f"__dd_to{i}") for i, c in enumerate(at)], _here(key).alias("__dd_g"))
+    found = keys.join(tops, "__dd_g").drop("__dd_g")
+    return df.join(found, reduce(lambda a, b: a & b, [F.col(c) == F.col(f"__dd_to{i}") for i, c in enumerate(at)]), "left").drop(*[f"__dd_to{i}" for i in range(len(at))])
+
+
 def _no_params(params: dict, columns: list[str], identity: list[str]) -> None:
     if params:
         raise ValueError(f"This strategy takes no parameters: {sorted(params)}")
@@ -108,6 +138,12 @@ def normalized_key(df: DataFrame, params: dict[str, Any], ctx: RunContext) -> An
     group = F.when(complete, as_json([*[(c, F.col(c)) for c in scope], *[(f"key_{i}", c) for i, c in enumerate(normal)]]))
     used = list(dict.fromkeys([*scope, *[k["field"] for k in keys], *agree]))
     out = _match(df, group, F.col("__dd_identity"), F.lit("candidate"), identity_json(used))
+    # keys move as SHA-256 of their parts with the lengths of these, for which no JSON of long texts is made
+    parts = [*map(F.col, scope), *normal]
+    key = F.sha2(F.concat(*[F.concat(F.length(c.cast("string")).cast("string"), F.lit(":"), c.cast("string")) for c in parts]), 256)
+    if not _plain_types(df, [*scope, *[k["field"] for k in keys]]):
+        key = F.sha2(group, 256)
+    out = out.withColumns({KEY: F.when(complete, key), ALONE: ~complete, OF_IDENTITY: F.lit(True)})
     rules = [Rule(F.col("copies") > 1, "Source versions must be resolved before business keys are matched", "__dd_identity", {"copies": F.count(F.lit(1))})]
     for i, c in enumerate(agree):  # null counts as a value: a struct of a null is not null
         rules.append(_differ(f"agree{i}", "__dd_group", F.to_json(F.struct(c), KEEP_NULLS), f"Records of one key disagree in a protected field: {c}"))
@@ -143,15 +179,24 @@ def external_reference(df: DataFrame, params: dict[str, Any], ctx: RunContext) -
     unit, ends = params["unit_by"], (params["from"], params["to"])
     within = [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in end["where"].items()]) for end in ends]
     ref, target = F.col(ends[0]["reference_field"]), F.col(ends[1]["identity_field"])
+    own = [c.removeprefix(AT) for c in _at(df)] == unit  # a unit is one row
     base = df.withColumn("__dd_unit", identity_json(unit))
-    sources = base.where(within[0] & is_usable(ref)).select(F.col("__dd_unit").alias("__dd_from"), ref.cast("string").alias("__dd_ref")).distinct()
-    targets = base.where(within[1] & target.isNotNull()).select(F.col("__dd_unit").alias("__dd_to"), target.cast("string").alias("__dd_ref")).distinct()
-    links = sources.join(targets, "__dd_ref")
-    role = lambda end, kind: F.struct(F.col(end).alias("unit"), F.col("__dd_to").alias("link"), F.lit(kind).alias("role"), F.col("__dd_ref").alias("ref"))
+    keys = [f"`{c}`" for c in unit] if own else ["__dd_unit"]
+    side = lambda where, at, c: base.where(_here(where)).select(*[_here(F.col(k)).alias(f"{at}{i}") for i, k in enumerate(keys)], _here(c.cast("string")).alias("__dd_ref"))
+    sources, targets = side(within[0] & is_usable(ref), "__dd_from", ref), side(within[1] & target.isNotNull(), "__dd_to", target)
+    links = sources.join(targets, "__dd_ref").distinct() if own else sources.distinct().join(targets.distinct(), "__dd_ref")
+    name = lambda at: as_json([(c, F.col(f"{at}{i}")) for i, c in enumerate(unit)]) if own else F.col(f"{at}0")
+    role = lambda at, kind: F.struct(
+        *[F.col(f"{at}{i}").alias(f"unit{i}") for i in range(len(keys))], name("__dd_to").alias("link"), F.lit(kind).alias("role"), F.col("__dd_ref").alias("ref")
+    )
     both = links.select(F.explode(F.array(role("__dd_from", "referencing"), role("__dd_to", "referenced"))).alias("__dd_as"))
-    joined = base.join(both, F.col("__dd_unit") == F.col("__dd_as.unit"), "left")
-    inputs = as_json([("reference", F.col("__dd_as.ref")), ("unit", F.col("__dd_unit"))])
-    out = _match(joined, F.col("__dd_as.link"), F.col("__dd_unit"), F.coalesce("__dd_as.role", F.lit("unmatched")), inputs).drop("__dd_unit", "__dd_as")
+    both = both.select("__dd_as.*").withColumnsRenamed({c: f"__dd_as_{c}" for c in (*[f"unit{i}" for i in range(len(keys))], "link", "role", "ref")})
+    joined = base.join(both, reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__dd_as_unit{i}") for i, k in enumerate(keys)]), "left")
+    inputs = as_json([("reference", F.col("__dd_as_ref")), ("unit", F.col("__dd_unit"))])
+    out = _match(joined, F.col("__dd_as_link"), F.col("__dd_unit"), F.coalesce("__dd_as_role", F.lit("unmatched")), inputs)
+    out = out.drop("__dd_unit", *[c for c in out.columns if c.startswith("__dd_as_")])
+    if own:
+        out = out.withColumn(OF_IDENTITY, F.lit(True))
     nameless = reduce(lambda a, b: a | b, [~is_usable(F.col(c)) for c in unit])
     claimed = F.when(within[0], F.to_json(F.struct(ref.alias("r")), KEEP_NULLS))
     referencing = F.when(F.col("__dd_role") == "referencing", F.col("__dd_member"))
@@ -197,23 +242,24 @@ def ordered(df: DataFrame, params: dict[str, Any], ctx: RunContext) -> Annotated
     order, used, tied = [*map(ordering, params["order_by"])], list(dict.fromkeys(e["field"] for e in params["order_by"])), f"{PROBE}tied"
     member, group = F.col("__dd_member"), F.col("__dd_group")
     if BY_IDENTITY in df.columns:  # a group lies in one task; hashes sort faster than JSON that begins alike
-        window = Window.partitionBy("__dd_hash", "__dd_identity")
-        ranked = df.withColumn("__dd_hash", F.xxhash64("__dd_identity")).withColumn("__dd_rank", F.rank().over(window.orderBy(*order)))
+        at = _at(df)
+        window = Window.partitionBy("__dd_hash", *at)
+        ranked = df.withColumn("__dd_hash", F.xxhash64(*at)).withColumn("__dd_rank", F.rank().over(window.orderBy(*order)))
         top = F.when(F.col("__dd_rank") == 1, member)
         out = ranked.withColumns({"__dd_top": F.min(top).over(window), "__dd_last": F.max(top).over(window)})
     else:
         # the first rows of a group are found per task before they are shuffled (WindowGroupLimit), so that no task
         # sorts a large group; its rows then meet their winner in a join, which Spark splits where it is skewed
         key = F.col(KEY) if KEY in df.columns else group
-        lean = df.where(group.isNotNull()).select(*used, member.alias("__dd_m"), key.alias("__dd_g"))
+        held = _here if OF_IDENTITY in df.columns else lambda c: c
+        lean = df.where(held(~_alone(df))).select(*used, member.alias("__dd_m"), held(key).alias("__dd_g"))
         first = lean.withColumn("__dd_rank", F.rank().over(Window.partitionBy("__dd_g").orderBy(*order))).where("__dd_rank = 1")
         tops = first.groupBy("__dd_g").agg(F.min("__dd_m").alias("__dd_top"), F.max("__dd_m").alias("__dd_last"))
-        if OF_IDENTITY in df.columns:  # only keys are moved; whole rows stay in the task of their identity
-            tops = lean.select("__dd_m", "__dd_g").join(tops, "__dd_g").drop("__dd_g")
-            out = df.join(tops, member == F.col("__dd_m"), "left").drop("__dd_m")
+        if OF_IDENTITY in df.columns:
+            out = _met(df, tops, key)
         else:
             out = df.join(tops, F.coalesce(group, member) == F.col("__dd_g"), "left").drop("__dd_g")  # an unmatched member is a group of its own
-    alone = F.col(ALONE) if ALONE in df.columns else group.isNull()
+    alone = _alone(df)
     winner = F.when(alone, member).otherwise(F.col("__dd_top"))
     out = out.withColumns({"__dd_winner": winner, "__dd_selection": identity_json(used), tied: ~alone & (F.col("__dd_top") != F.col("__dd_last"))})
     return Annotated(out.drop("__dd_hash", "__dd_rank", "__dd_top", "__dd_last"), (Rule(F.col(tied), "Selection is tied: the ordering needs another key"),))
@@ -221,10 +267,13 @@ def ordered(df: DataFrame, params: dict[str, Any], ctx: RunContext) -> Annotated
 
 @REGISTRY.add("selection", "referenced_record", description="The referenced unit, with all its lines.", check=_no_params)
 def referenced_record(df: DataFrame, params: dict[str, Any], ctx: RunContext) -> Annotated:
-    held = df.where("__dd_role = 'referenced'").groupBy(F.col("__dd_group").alias("__dd_g")).agg(F.max("__dd_member").alias("__dd_top"))
-    out = df.join(held, F.col("__dd_group") == F.col("__dd_g"), "left")
-    winner = F.when(F.col("__dd_group").isNull(), F.col("__dd_member")).otherwise(F.col("__dd_top"))
-    return Annotated(out.withColumns({"__dd_winner": winner, "__dd_selection": as_json([("role", F.col("__dd_role"))])}).drop("__dd_g", "__dd_top"))
+    held = df.where(_here(F.col("__dd_role") == "referenced")).groupBy(F.col("__dd_group").alias("__dd_g")).agg(F.max("__dd_member").alias("__dd_top"))
+    if OF_IDENTITY in df.columns:
+        out = _met(df, held, F.col("__dd_group"))
+    else:
+        out = df.join(held, F.col("__dd_group") == F.col("__dd_g"), "left").drop("__dd_g")
+    winner = F.when(_alone(df), F.col("__dd_member")).otherwise(F.col("__dd_top"))
+    return Annotated(out.withColumns({"__dd_winner": winner, "__dd_selection": as_json([("role", F.col("__dd_role"))])}).drop("__dd_top"))
 
 
 # ---- simple strategies
@@ -254,9 +303,13 @@ def keep_first(df: DataFrame, spec: dict[str, Any], ctx: RunContext) -> DataFram
 def _collapsed(df: DataFrame, identity: list[str]) -> DataFrame:
     """Equal rows once, with how many there were, their record and their identity, in the task of the identity."""
     native, own = df.columns, identity_json(identity)
-    counted = df.repartition(own).groupBy(*[F.col(f"`{c}`") for c in native], own.alias("__dd_identity")).agg(F.count(F.lit(1)).alias("__dd_occurrences"))
-    record = identity_json(sorted(native))
-    return counted.select(*[F.col(f"`{c}`") for c in native], "__dd_occurrences", record.alias("__dd_record"), "__dd_identity", F.array().cast("array<string>").alias("__dd_history"))
+    at = [] if _plain_types(df, identity) else [own]
+    counted = df.repartition(*(at or [F.col(f"`{c}`") for c in identity])).groupBy(*[F.col(f"`{c}`") for c in native], *[c.alias("__dd_own") for c in at])
+    rows = counted.agg(F.count(F.lit(1)).alias("__dd_occurrences"))
+    return rows.select(
+        *[F.col(f"`{c}`") for c in native], "__dd_occurrences", identity_json(sorted(native)).alias("__dd_record"),
+        (F.col("__dd_own") if at else own).alias("__dd_identity"), F.array().cast("array<string>").alias("__dd_history"),
+    )
 
 
 def _integrity(before: DataFrame, matched: DataFrame, chosen: DataFrame, step: str) -> list[Rule]:
@@ -279,9 +332,10 @@ def _plain(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith(PROBE)])
 
 
-def _mark(native: list[str]) -> Column:
-    """A hash of a row with what its matcher said."""
-    return F.xxhash64(*[F.col(f"`{c}`") for c in (*native, "__dd_occurrences", "__dd_identity", *MATCH)])
+def _mark(native: list[str], again: dict[str, Column]) -> Column:
+    """A hash of a row with what its matcher said and is not made again."""
+    said = [c for c in MATCH if c not in again]
+    return F.xxhash64(*[F.col(f"`{c}`") for c in (*native, "__dd_occurrences", *said)])
 
 
 def _sound(columns: list[str], native: list[str], identity: list[str]) -> Column:
@@ -294,11 +348,11 @@ def _sound(columns: list[str], native: list[str], identity: list[str]) -> Column
     return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(v) for c, v in made])
 
 
-def _unchanged(before: DataFrame, matched: DataFrame, decided: DataFrame, step: str, native: list[str]) -> list[Same]:
+def _unchanged(before: DataFrame, matched: DataFrame, decided: DataFrame, step: str, native: list[str], again: dict[str, Column]) -> list[Same]:
     """The rows themselves as given, as matched and as decided; matchers and selectors may be anyone's."""
     exact = [(before, _plain(matched), f"{step}: the matcher changed its input rows"), (_plain(matched), decided, f"{step}: the selector changed its input rows")]
     if {ALONE, SOUND, MARK} <= set(decided.columns):
-        wrong = ~F.col(SOUND) | ~F.col(MARK).eqNullSafe(_mark(native)) | ~F.col(ALONE).eqNullSafe(F.col("__dd_group").isNull())
+        wrong = ~F.col(SOUND) | ~F.col(MARK).eqNullSafe(_mark(native, again)) | ~F.col(ALONE).eqNullSafe(F.col("__dd_group").isNull())
         return [Same(before, decided, [*native, "__dd_occurrences", "__dd_history"], exact, wrong)]
     return [Same(before, decided, before.columns, exact), Same(matched, decided, list(MATCH), exact)]
 
@@ -324,21 +378,21 @@ def registered_dedup(df: DataFrame, name: str, spec: dict[str, Any], ctx: RunCon
         raise ValueError("Columns that begin with __dd_ are reserved")
     native, identity = df.columns, spec["identity"]
     rules = [Rule(~is_usable(F.col(c)), f"Missing dedup identity: {c}") for c in identity]
-    rows = _collapsed(df, identity)
+    rows, plain = _collapsed(df, identity), _plain_types(df, identity)
     audits: list[DataFrame] = []
     aliases: dict[tuple[str, ...], DataFrame] = {}
     for step in spec["strategies"]:
         matcher, selector = registry.get("dedup", step["strategy"]), registry.get("selection", step["selection"]["strategy"])
-        matched: Annotated = matcher.run(rows, step.get("params", {}), ctx)
-        given = matched.rows.withColumns({ALONE: F.col("__dd_group").isNull(), SOUND: _sound(matched.rows.columns, native, identity), MARK: _mark(native)})
+        matched: Annotated = matcher.run(rows.withColumns({f"{AT}{c}": F.col(f"`{c}`") for c in (identity if plain else [])}), step.get("params", {}), ctx)
+        # what is made of other columns is made again, so that rows need not carry it through the selector
+        flags, own = matched.rows.columns, F.col("__dd_identity")
+        again = {"__dd_record": identity_json(sorted(native))} | ({"__dd_identity": identity_json(identity)} if plain else {})
+        again |= {"__dd_group": own, "__dd_inputs": own} if BY_IDENTITY in flags else {"__dd_member": own} if OF_IDENTITY in flags else {}
+        given = matched.rows.withColumns({ALONE: _alone(matched.rows), SOUND: _sound(flags, native, identity), MARK: _mark(native, again)})
         chosen: Annotated = selector.run(given, step["selection"].get("params", {}), ctx)
         rules += [*matched.rules, *chosen.rules]
-        own = len(rules)  # what strategies say of their rows is said first
+        first = len(rules)  # what strategies say of their rows is said first
         rules += [*_integrity(rows, matched.rows, chosen.rows, step["id"])]
-        # what is made of other columns is made again, so that rows need not carry it through the selector
-        again = {"__dd_record": identity_json(sorted(native))}
-        if {BY_IDENTITY, SOUND} <= set(chosen.rows.columns):
-            again |= {c: F.col("__dd_identity") for c in ("__dd_group", "__dd_inputs")}
         decision = as_json(
             [
                 ("run_id", F.lit(ctx.run_id)), ("step", F.lit(step["id"])), ("strategy", F.lit(matcher.ref)), ("selection_strategy", F.lit(selector.ref)),
@@ -346,14 +400,17 @@ def registered_dedup(df: DataFrame, name: str, spec: dict[str, Any], ctx: RunCon
                 ("match_inputs", F.col("__dd_inputs")), ("selection_inputs", F.col("__dd_selection")),
             ]
         )
-        alone = F.col(ALONE) if ALONE in chosen.rows.columns else F.col("__dd_group").isNull()
+        alone = _alone(chosen.rows)
         kept = alone | (F.col("__dd_member") == F.col("__dd_winner"))
-        decided = chosen.rows.withColumns(again).withColumns({"__dd_decision": decision, "__dd_kept": kept})
+        decided = chosen.rows
+        if SOUND in decided.columns:
+            decided = decided.withColumns({c: v for c, v in again.items() if c not in MATCH}).withColumns({c: v for c, v in again.items() if c in MATCH})
+        decided = decided.withColumns({"__dd_decision": decision, "__dd_kept": kept})
         if step is spec["strategies"][-1]:
             left = {"left": F.count_if("__dd_kept")}
             rules.append(Rule(F.col("left") > 1, "Several versions of one row identity are left", "__dd_identity", left))
-        unchanged = _unchanged(rows, matched.rows, decided, step["id"], native)
-        require_rules(decided, _gathered(rules, decided.columns), unchanged, own, "__dd_identity", ("__dd_group", "__dd_member"))
+        unchanged = _unchanged(rows, matched.rows, decided, step["id"], native, again)
+        require_rules(decided, _gathered(rules, decided.columns), unchanged, first, ("__dd_identity", _at(decided)), ("__dd_group", "__dd_member"))
         rules = []
         if matcher.grain is not None:
             grain = tuple(matcher.grain(step.get("params", {}), identity))

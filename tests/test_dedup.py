@@ -42,10 +42,11 @@ def test_versions_keep_the_latest_and_count_equal_rows(spark):
     assert [r["outcome"] for r in audit].count("excluded") == 1
 
 
-def moved(df):
-    """The plan, and how often it deals rows by a key."""
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    return plan, plan.count("Exchange hashpartitioning")
+def moved(df, how="Exchange hashpartitioning"):
+    """The plan as it ran, and how many exchanges of a kind it had."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return plan, sum(how in line and "Reused" not in line for line in plan.splitlines())
 
 
 def test_versions_keep_nothing_and_move_rows_once(spark):
@@ -54,6 +55,17 @@ def test_versions_keep_nothing_and_move_rows_once(spark):
     assert times == 1 and "InMemory" not in plan and not ctx.held
 
 
+LONG = "x" * 80
+LONG_ROWS = [("p", "a", "1", f"{LONG}1", "o"), ("p", "a", "2", f"{LONG}1", "o"), ("p", "a", "3", f"{LONG}2", "o"), ("p", "a", "4", None, "o")]
+
+
+def test_long_keys_move_as_hashes(spark):
+    out, ctx = run(spark, LONG_ROWS, KEYED, step("normalized_key", scope_by=["platform"], keys=[{"field": "name"}]))
+    assert sorted(r["id"] for r in out.collect()) == ["1", "3", "4"]
+    plan, times = moved(out.select("id", "name"), "REPARTITION_BY_COL")
+    assert times == 1 and "sha2" in plan and "InMemory" not in plan and not ctx.held
+
+
 def test_tied_versions_fail(spark):
     with pytest.raises(ValueError, match="tied"):
         run(spark, [("p", "a", "1", "x", 1), ("p", "a", "1", "y", 1)], VERSIONS, step("same_source_identity", ordered(*LATEST)))
