@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from conformity.checks import fingerprint
 from conformity.context import RunContext
+from conformity.functions.keys import identity_json
 from conformity.operators.dedup import Annotated, alias_lookup, deduplicate
 from conformity.plans.gold import run_gold
 from conformity.registry import REGISTRY, Registry
@@ -55,6 +56,14 @@ def test_versions_keep_nothing_and_move_rows_once(spark):
     assert times == 1 and "InMemory" not in plan and not ctx.held
 
 
+def test_counting_equal_rows_makes_no_json_to_see_whether_it_is_null(spark):
+    out, _ = run(spark, [*VERSION_ROWS, VERSION_ROWS[0]], VERSIONS, step("same_source_identity", ordered(*LATEST)))
+    counted = out.select("id", F.get_json_object("__mm_dedup_evidence", "$.identical_occurrences").alias("n"))
+    assert {tuple(r) for r in counted.collect()} == {("1", "2"), ("2", "1")}
+    assert moved(counted)[1] == 1
+    assert not spark.range(1).select(identity_json(["id"])).schema[0].nullable
+
+
 LONG = "x" * 80
 LONG_ROWS = [("p", "a", "1", f"{LONG}1", "o"), ("p", "a", "2", f"{LONG}1", "o"), ("p", "a", "3", f"{LONG}2", "o"), ("p", "a", "4", None, "o")]
 
