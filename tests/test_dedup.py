@@ -64,6 +64,16 @@ def test_counting_equal_rows_makes_no_json_to_see_whether_it_is_null(spark):
     assert not spark.range(1).select(identity_json(["id"])).schema[0].nullable
 
 
+def test_checks_leave_no_shuffle_files_to_the_audit(spark):
+    shuffles = spark.sparkContext._jsc.sc().env().mapOutputTracker().shuffleStatuses()
+    before = shuffles.size()
+    _, ctx = run(spark, VERSION_ROWS, VERSIONS, step("same_source_identity", ordered(*LATEST)))
+    assert shuffles.size() <= before
+    audit = ctx.audits["t"].groupBy("step", "outcome").count()
+    assert {tuple(r)[1:] for r in audit.collect()} == {("retained", 2), ("excluded", 1)}
+    assert "InMemory" not in moved(audit)[0]
+
+
 LONG = "x" * 80
 LONG_ROWS = [("p", "a", "1", f"{LONG}1", "o"), ("p", "a", "2", f"{LONG}1", "o"), ("p", "a", "3", f"{LONG}2", "o"), ("p", "a", "4", None, "o")]
 
