@@ -85,6 +85,14 @@ def test_long_keys_move_as_hashes(spark):
     assert times == 1 and "sha2" in plan and "InMemory" not in plan and not ctx.held
 
 
+def test_alias_maps_are_plans_over_keys(spark):
+    _, ctx = run(spark, LONG_ROWS, KEYED, step("normalized_key", scope_by=["platform"], keys=[{"field": "name"}]))
+    aliases = ctx.aliases["t"][tuple(IDENTITY)]
+    got = {json.loads(r[0])["id"]: json.loads(r[1])["id"] for r in aliases.collect()}
+    assert got == {"1": "1", "2": "1", "3": "3", "4": "4"}
+    assert "InMemory" not in moved(aliases)[0]
+
+
 def test_tied_versions_fail(spark):
     with pytest.raises(ValueError, match="tied"):
         run(spark, [("p", "a", "1", "x", 1), ("p", "a", "1", "y", 1)], VERSIONS, step("same_source_identity", ordered(*LATEST)))
