@@ -93,6 +93,14 @@ def test_alias_maps_are_plans_over_keys(spark):
     assert "InMemory" not in moved(aliases)[0]
 
 
+def test_alias_lookups_keep_nothing(spark):
+    _, ctx = run(spark, LONG_ROWS, KEYED, step("normalized_key", scope_by=["platform"], keys=[{"field": "name"}]))
+    seen = spark.createDataFrame([("p", "a", "2"), ("p", "a", "9")], "platform string, account string, id string")
+    found = alias_lookup(seen, "t", {c: c for c in IDENTITY}, ctx, "canonical")
+    assert sorted(json.loads(r["canonical"])["id"] for r in found.collect()) == ["1", "9"]
+    assert "InMemory" not in moved(found)[0]
+
+
 def test_tied_versions_fail(spark):
     with pytest.raises(ValueError, match="tied"):
         run(spark, [("p", "a", "1", "x", 1), ("p", "a", "1", "y", 1)], VERSIONS, step("same_source_identity", ordered(*LATEST)))
