@@ -101,6 +101,17 @@ def test_alias_lookups_keep_nothing(spark):
     assert "InMemory" not in moved(found)[0]
 
 
+def test_units_of_one_row_stay_in_their_task(spark):
+    rows = [("shop", "a", "S", "1", None), ("shop", "a", "T", "1", None), ("erp", "a", "C", "1", "S"), ("erp", "a", "U", "1", "missing")]
+    unit = ["platform", "account", "order_id"]
+    out, ctx = run(spark, rows, REFERENCE, COPY, identity=unit)
+    assert sorted(r["order_id"] for r in out.collect()) == ["S", "T", "U"]
+    plan, times = moved(out.select(*unit), "REPARTITION_BY_COL")
+    assert times == 1 and "InMemory" not in plan and not ctx.held
+    with pytest.raises(ValueError, match="one-to-one"):
+        run(spark, [*rows, ("erp", "a", "D", "1", "S")], REFERENCE, COPY, identity=unit)
+
+
 def test_tied_versions_fail(spark):
     with pytest.raises(ValueError, match="tied"):
         run(spark, [("p", "a", "1", "x", 1), ("p", "a", "1", "y", 1)], VERSIONS, step("same_source_identity", ordered(*LATEST)))
